@@ -179,7 +179,7 @@ def reduce_repeats(text: Column) -> Column:
     such a repeat.  Longer units need two gates first: four copies share a 20-gram at a
     distance that is a multiple of three, so a text without duplicates among its grams at
     every third position has none; then a scan over multiples of the unit picks the few unit
-    lengths that a regex must try.  No unit length is left out.
+    lengths that a regex must confirm.  No unit length is left out.
     """
 
     def fold_short(t: Column) -> Column:
@@ -191,19 +191,34 @@ def reduce_repeats(text: Column) -> Column:
             ).otherwise(a),
         )
 
-    def state(t: Column) -> Column:
-        return F.struct(t.alias("t"), chars(t).alias("c"))
+    def next_unit(t: Column, last: Column) -> Column:
+        """Smallest unit above ``last`` that repeats four times in ``t``; null without one."""
+
+        def search(c: Column) -> Column:
+            n = F.size(c)
+            top = F.floor((n - 1) / 4).cast("int")
+            units = F.filter(
+                F.sequence(last + 1, F.greatest(top, last + 1)),
+                lambda u: (u <= top) & _may_repeat(c, n, u, 4) & F.rlike(t, _unit_regex(u, r"})\1{3}")),
+            )
+            return F.get(units, F.lit(0))
+
+        return let(chars(t), search)
 
     def fold_long(t: Column) -> Column:
-        def step(a: Column, u: Column) -> Column:
-            n = F.size(a["c"])
-            return F.when(
-                (u * 4 < n) & _may_repeat(a["c"], n, u, 4),
-                let(F.regexp_replace(a["t"], _unit_regex(u, r"})(?=\1{3})"), F.lit("")), state),
-            ).otherwise(a)
-
-        top = F.floor(F.length(t) / 4).cast("int")
-        return F.aggregate(F.sequence(F.lit(SHORT_UNIT + 1), top), state(t), step, lambda a: a["t"])
+        # one round per unit that really repeats; rounds after the last one do nothing
+        def cut(a: Column, u: Column) -> Column:
+            shorter = F.regexp_replace(a["t"], _unit_regex(u, r"})(?=\1{3})"), F.lit(""))
+            return F.struct(
+                F.coalesce(shorter, a["t"]).alias("t"), F.coalesce(u, a["last"]).alias("last"), u.isNull().alias("done")
+            )
+
+        def step(a: Column, _: Column) -> Column:
+            return F.when(a["done"], a).otherwise(let(next_unit(a["t"], a["last"]), lambda u: cut(a, u)))
+
+        start = F.struct(t.alias("t"), F.lit(SHORT_UNIT).alias("last"), F.lit(False).alias("done"))
+        rounds = F.sequence(F.lit(1), F.floor(F.length(t) / 4).cast("int"))
+        return F.aggregate(rounds, start, step, lambda a: a["t"])
 
     def long_gate(t: Column) -> Column:
         dup = let(grams(t, SHORT_UNIT, 3), lambda g: F.size(F.array_distinct(g)) < F.size(g))

@@ -9,14 +9,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuswash.functions import text as T
-from corpuswash.model import SEGMENT, SESSION, UTTERANCE
+from corpuswash.model import POSITION, SEGMENT, SESSION, UTTERANCE
 from corpuswash.operators import blocks as B
 from corpuswash.operators import corpus, lexicon, sessions
 from corpuswash.operators.lexicon import Lexicon
 from corpuswash.operators.rowchain import HIT, apply_rule, apply_rules, explode_hits, hit, prepare
 from corpuswash.operators.rules import BACK_RULES, FINAL_STRIP, FRONT_RULES, TM_RULE, Rule
 from corpuswash.plans.config import CleanConfig
-from corpuswash.plans.scale import checkpoint, tune
+from corpuswash.plans.scale import checkpoint, fence, shared, tune
 
 
 @dataclass(frozen=True)
@@ -66,10 +66,14 @@ def _log(rows: DataFrame, when: Column, entry: Column) -> DataFrame:
 def clean_utterances(rows: DataFrame, cfg: CleanConfig, lex: Lexicons = Lexicons(), ext: Extensions = Extensions()) -> DataFrame:
     """All utterance and word rules; the result still holds emptied turns, and ``hits`` with audit.
 
-    ``rows`` may be partitioned by session block; every join here is on keys that extend it.
+    ``rows`` carry ``block``; every join here is on keys that extend (session, block), so one
+    partitioning serves them all.
     """
-    key = [*SESSION, "block", "turn", "part"] if "block" in rows.columns else UTTERANCE
+    key = [*SESSION, "block", *POSITION]
     rows = apply_rules(prepare(rows, cfg.audit), _chosen(FRONT_RULES, cfg))
+    if cfg.joins:
+        # the joins read these rows twice each: once for the hits, once to apply them
+        rows = shared(rows, [*SESSION, "block"])
     if cfg.no_special_topic and lex.special_topic is not None:
         rows = lexicon.first_contained(rows, T.tight(F.col("orig")), lex.special_topic, "_topic", key)
         rows = _drop_on(rows, "_topic", "special_topic", cfg.audit).drop("_topic")
@@ -81,8 +85,10 @@ def clean_utterances(rows: DataFrame, cfg: CleanConfig, lex: Lexicons = Lexicons
         rows = rows.drop("_black")
     rows = apply_rules(rows, [*_chosen(BACK_RULES, cfg), *ext.rules, FINAL_STRIP])
     if cfg.word_level:
+        if cfg.joins:
+            rows = shared(rows, [*SESSION, "block"])
         rows = _word_level(rows, cfg, lex, ext, key)
-    return rows
+    return fence(rows, ["text", "hits"] if cfg.audit else ["text"])
 
 
 def _word_level(rows: DataFrame, cfg: CleanConfig, lex: Lexicons, ext: Extensions, key: list[str]) -> DataFrame:
@@ -112,12 +118,13 @@ def clean(
     cfg: CleanConfig,
     lex: Lexicons = Lexicons(),
     ext: Extensions = Extensions(),
-    materialize: bool = False,
+    materialize: bool | None = None,
 ) -> Cleaned:
     """Run the whole job.
 
-    ``materialize`` checkpoints the cleaned utterances once, so that writing the segments and
-    writing the audit do not both run the rules.
+    ``materialize`` checkpoints the cleaned utterances once, so that writing the segments,
+    writing the audit and the later passes do not each run the rules.  By default this happens
+    when a name or corpus pass is on: those read the utterances more than once.
     """
     tune(utterances.sparkSession)
     rows = utterances.select(*UTTERANCE, "text")
@@ -132,7 +139,7 @@ def clean(
         if cfg.no_toupiao:
             side.append(log)
     rows = clean_utterances(rows, cfg, lex, ext)
-    if materialize:
+    if materialize or (materialize is None and cfg.later_passes):
         rows = checkpoint(rows)
     audit = None
     if cfg.audit:

@@ -70,6 +70,15 @@ class CleanConfig:
     def word_level(self) -> bool:
         return self.no_alpha_noise or self.check_confuse_word or self.no_word_blacklist or self.yda_dedupl
 
+    @property
+    def joins(self) -> bool:
+        """Is any rule on that joins the utterances with a lexicon?"""
+        return self.no_special_topic or self.no_str_blacklist or self.no_alpha_noise or self.no_word_blacklist
+
+    @property
+    def later_passes(self) -> bool:
+        return self.re_name or self.no_ad or self.de_generic_dialog
+
     @staticmethod
     def flags() -> tuple[str, ...]:
         return tuple(f.name for f in fields(CleanConfig) if f.type == "bool" and f.name != "audit")

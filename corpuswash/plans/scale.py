@@ -39,6 +39,28 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def fence(rows: DataFrame, computed: list[str]) -> DataFrame:
+    """Keep filters above from being pushed into the expressions of ``computed``.
+
+    Pushing ``text <> ''`` through a chain of rules would repeat the chain inside the filter,
+    once per use of the text; a generated column is where that pushing stops.
+    """
+    rest = [c for c in rows.columns if c not in computed]
+    packed = F.array(F.struct(*computed))
+    return rows.select(*rest, F.inline(packed)).select(*rows.columns)
+
+
+def shared(rows: DataFrame, by: list[str]) -> DataFrame:
+    """Partition by ``by`` so that every use of the result reads one and the same shuffle.
+
+    Column pruning would give each use its own, narrower shuffle and run everything below it
+    again; packing the columns into one keeps the shuffles equal, and Spark reuses them.
+    """
+    rest = [c for c in rows.columns if c not in by]
+    packed = rows.select(*by, F.array(F.struct(*rest)).alias("_row"))
+    return packed.repartition(*by).select(*by, F.inline("_row")).select(*rows.columns)
+
+
 def measure(df: DataFrame) -> tuple[int, int]:
     """Rows and approximate bytes (strings at their byte length, other columns at 8)."""
     size = F.lit(0)

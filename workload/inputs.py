@@ -63,7 +63,7 @@ UTTERANCES_SQL = f"""
 SELECT 'chats' AS dataset,
        CASE conv_id % 3 WHEN 0 THEN 'weibo_tang_chats' WHEN 1 THEN 'zhihu_chats' ELSE 'forum_chats' END AS file_id,
        conv_id AS session_id, turn AS turn, 0 AS part,
-       {_inject("conv_id * 8 + turn", "text")} AS text
+       CASE WHEN conv_id % 9 = 4 THEN 'the same words in every turn' ELSE {_inject("conv_id * 8 + turn", "text")} END AS text
 FROM conversations
 UNION ALL
 SELECT 'docs' AS dataset,

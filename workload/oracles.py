@@ -217,13 +217,13 @@ def stats(source: str, by: str, key: str = SESSION) -> str:
     cols = f"{by}, " if by else ""
     return f"""
 SELECT {cols}count(*) AS sessions, count(*) FILTER (turns > 2) AS multi, CAST(sum(turns) AS BIGINT) AS utterances,
-       CAST(sum(chars) AS BIGINT) AS chars, count(*) FILTER (at) AS have_at,
+       CAST(sum(chars) AS BIGINT) AS chars, count(*) FILTER (has_at) AS have_at,
        CAST(sum(chars) AS DOUBLE) / sum(turns) AS avg_word,
        count(*) - count(*) FILTER (turns > 2) AS single,
        CASE WHEN count(*) FILTER (turns > 2) > 0 THEN
          CAST(sum(turns) - 2 * (count(*) - count(*) FILTER (turns > 2)) AS DOUBLE) / count(*) FILTER (turns > 2) END AS avg_multi_utter
 FROM (SELECT {key}, count(*) AS turns, sum(length({tight("text")})) AS chars,
-             {has_mention("string_agg(text, ' ' ORDER BY turn, part)")} AS at
+             {has_mention("string_agg(text, ' ' ORDER BY turn, part)")} AS has_at
       FROM {source} GROUP BY {key}) s {group}"""
 
 
@@ -278,7 +278,7 @@ def removal(text_cte: str, key: str = f"{KEYS}, part") -> str:
     """Ordered hits per utterance, then removal one by one."""
     k = key.replace(" ", "").split(",")
     return f"""
-occ AS (
+occ AS MATERIALIZED (
   SELECT {', '.join('x.' + c for c in k)}, l.word, p + length(l.word) - 2 AS fin
   FROM (SELECT * FROM {text_cte}) x JOIN black l ON contains(x.text, l.word),
        unnest(range(1, length(x.text) + 1)) AS pos(p)
@@ -321,7 +321,7 @@ def oracle_sql() -> dict[str, str]:
     )
     listed = f"SELECT {KEYS}, list(word ORDER BY fin, -length(word)) AS words FROM occ GROUP BY {KEYS}"
     out["substring_remove"] = (
-        f"WITH {U}, {BLACK}, {removal('u')}, l AS ({listed}) "
+        f"WITH {U}, {BLACK}, {removal('u')}, l AS MATERIALIZED ({listed}) "
         f"SELECT u.dataset, u.file_id, u.session_id, u.turn, list_reduce(words, lambda a, w: replace(a, w, ''), text) AS text, "
         f"words[-1] AS black_word FROM u JOIN l USING ({KEYS}) "
         f"UNION ALL SELECT u.dataset, u.file_id, u.session_id, u.turn, text, NULL FROM u ANTI JOIN l USING ({KEYS})"
@@ -449,11 +449,11 @@ def _audit_oracles() -> dict[str, str]:
         "audit_counts": f"{base} SELECT category, reason, count(*) AS utterances FROM (SELECT DISTINCT category, reason, before, after FROM audit) d GROUP BY category, reason",
         "audit_deltas": f"{base} SELECT {KEYS}, category, reason, length(before) AS len_before, length(after) AS len_after, length(before) - length(after) AS removed FROM audit WHERE after IS NOT NULL",
         "word_counts": (
-            f"WITH {U}, {BLACK}, {removal('u')}, l AS (SELECT {KEYS}, list(word ORDER BY fin, -length(word))[-1] AS word FROM occ GROUP BY {KEYS}) "
+            f"WITH {U}, {BLACK}, {removal('u')}, l AS MATERIALIZED (SELECT {KEYS}, max_by(word, fin * 1000 - length(word)) AS word FROM occ GROUP BY {KEYS}) "
             f"SELECT word, count(DISTINCT text) AS utterances FROM l JOIN u USING ({KEYS}) GROUP BY word"
         ),
         "word_utterances": (
-            f"WITH {U}, {BLACK}, {removal('u')}, l AS (SELECT {KEYS}, list(word ORDER BY fin, -length(word))[-1] AS word FROM occ GROUP BY {KEYS}) "
+            f"WITH {U}, {BLACK}, {removal('u')}, l AS MATERIALIZED (SELECT {KEYS}, max_by(word, fin * 1000 - length(word)) AS word FROM occ GROUP BY {KEYS}) "
             f"SELECT DISTINCT dataset, file_id, word, text AS utterance FROM l JOIN u USING ({KEYS})"
         ),
     }
