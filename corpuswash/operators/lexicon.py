@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from corpuswash.functions import patterns as P
 from corpuswash.functions import text as T
 from corpuswash.model import UTTERANCE
-from corpuswash.plans.scale import BROADCAST_BYTES, BROADCAST_ROWS, SALTS
+from corpuswash.plans.scale import BROADCAST_BYTES, BROADCAST_ROWS, SALTS, checkpoint
 
 PREFIX = 4
 PIECE = 256
@@ -34,15 +34,16 @@ class Lexicon:
 
     @staticmethod
     def of(words: DataFrame, word: str = "word", ord: str | None = "ord", first: int | None = None) -> Lexicon:
-        """Strip, drop blanks, keep the first position of each word, and measure.
+        """Strip, drop blanks, keep the first position of each word, store and measure.
 
-        ``first`` keeps the first entries of the list only.
+        ``first`` keeps the first entries of the list only.  A word list is read by several
+        joins, so it is written once to the checkpoint folder.
         """
         order = F.col(ord) if ord else F.monotonically_increasing_id()
         df = words.select(T.strip(F.col(word)).alias("word"), order.cast("long").alias("ord")).where("word != ''")
         if first is not None:
             df = df.where(F.col("ord") < first)
-        df = df.groupBy("word").agg(F.min("ord").alias("ord"))
+        df = checkpoint(df.groupBy("word").agg(F.min("ord").alias("ord")))
         n = F.length("word")
         m = df.agg(
             F.count("*").alias("rows"),

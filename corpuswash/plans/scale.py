@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 2_000_000
 BROADCAST_BYTES = 64 << 20
 SALTS = 32
+SPLIT_BYTES = 128 << 20
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -54,11 +55,28 @@ def shared(rows: DataFrame, by: list[str]) -> DataFrame:
     """Partition by ``by`` so that every use of the result reads one and the same shuffle.
 
     Column pruning would give each use its own, narrower shuffle and run everything below it
-    again; packing the columns into one keeps the shuffles equal, and Spark reuses them.
+    again; packing the columns into one keeps the shuffles equal, and Spark reuses them.  The
+    slice keeps ``inline`` from implying a filter on the packed column (see ``fence``).
     """
     rest = [c for c in rows.columns if c not in by]
     packed = rows.select(*by, F.array(F.struct(*rest)).alias("_row"))
-    return packed.repartition(*by).select(*by, F.inline("_row")).select(*rows.columns)
+    return packed.repartition(*by).select(*by, F.inline(F.slice("_row", 1, 1))).select(*rows.columns)
+
+
+def spread(rows: DataFrame, path: str, by: list[str]) -> DataFrame:
+    """Use all cores for a small input.
+
+    A file smaller than one split per core is read by a few tasks, or by one when it has a
+    single row group, and the rules above are CPU-bound.  Such an input, and only such a one,
+    is redistributed by its row key; a large input keeps its splits.
+    """
+    spark = rows.sparkSession
+    sc = spark.sparkContext
+    folder = sc._jvm.org.apache.hadoop.fs.Path(path)
+    size = folder.getFileSystem(sc._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+    if size >= sc.defaultParallelism * SPLIT_BYTES:
+        return rows
+    return rows.repartition(sc.defaultParallelism, *by)
 
 
 def measure(df: DataFrame) -> tuple[int, int]:

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from corpuswash.plans.scale import spread
+
 # (prefix, suffix) per trigger; None replaces the text
 _TRIGGERS: list[tuple[str, str] | str] = [
     ("回复 @bob: ", ""),
@@ -96,16 +98,20 @@ THREADS_SQL = THREADS_SQL.replace("(doc_id - doc_id % 10) / 10 AS", "CAST((doc_i
 
 
 
-def register(spark: SparkSession, sf_dir: str, *tables: str) -> None:
-    for t in tables:
-        spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
+_KEYS = {"conversations": ["conv_id", "turn"], "documents": ["doc_id"]}
+
+
+def register(spark: SparkSession, sf_dir: str) -> None:
+    for table, key in _KEYS.items():
+        path = f"{sf_dir}/{table}.parquet"
+        spread(spark.read.parquet(path), path, key).createOrReplaceTempView(table)
 
 
 def utterances(spark: SparkSession, sf_dir: str) -> DataFrame:
-    register(spark, sf_dir, "conversations", "documents")
+    register(spark, sf_dir)
     return spark.sql(UTTERANCES_SQL)
 
 
 def threads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    register(spark, sf_dir, "conversations", "documents")
+    register(spark, sf_dir)
     return spark.sql(THREADS_SQL)
