@@ -106,7 +106,7 @@ def covering_trigrams(text: Column) -> Column:
         return let_grams(t, among)
 
     def let_grams(t: Column, fn) -> Column:
-        return T.let(F.array_sort(T.grams(t, 3)), fn)
+        return T.let(F.sort_array(T.grams(t, 3)), fn)
 
     none = F.array().cast("array<string>")
     return T.let(T.tight(text), lambda t: F.when(F.length(t) >= 3, probe(t)).otherwise(none))

@@ -134,8 +134,8 @@ EXPR: dict[str, Callable[[str], str]] = {
     "C6": drop_if(lambda x: f"length({tight(x)}) > 1000"),
 }
 
-U = f"u AS ({UTTERANCES_SQL})"
-T = f"t AS ({THREADS_SQL})"
+U = f"u AS MATERIALIZED ({UTTERANCES_SQL})"
+T = f"t AS MATERIALIZED ({THREADS_SQL})"
 KEYS = "dataset, file_id, session_id, turn"
 SESSION = "dataset, file_id, session_id"
 
@@ -205,7 +205,7 @@ voted AS (
 
 
 def segments(source: str, name: str = "seg") -> str:
-    return f"""{name} AS (
+    return f"""{name} AS MATERIALIZED (
   SELECT * FROM (
     SELECT *, CAST(coalesce(sum(CASE WHEN text = '' THEN 1 ELSE 0 END) OVER (
         PARTITION BY {SESSION} ORDER BY turn, part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS VARCHAR) AS segment
@@ -250,22 +250,22 @@ WHERE NOT w.cut AND NOT (r.i = r.n - 1 AND w.start = r.i)"""
 
 
 ADS = f"""
-pairs AS (
+pairs AS MATERIALIZED (
   SELECT text, lag(text) OVER (PARTITION BY {SEG_KEY} ORDER BY turn, part) AS context FROM seg
 ),
-ads AS (
+ads AS MATERIALIZED (
   SELECT text, count(DISTINCT context) AS contexts FROM pairs
   WHERE context IS NOT NULL AND length({tight("text")}) > 20 GROUP BY text HAVING count(DISTINCT context) > 2
 )"""
 
 NUMBERED = f"""
-numbered AS (
+numbered AS MATERIALIZED (
   SELECT *, row_number() OVER (PARTITION BY {SEG_KEY} ORDER BY turn, part) - 1 AS i,
          count(*) OVER (PARTITION BY {SEG_KEY}) AS n FROM seg
 )"""
 
 TRIGRAMS = f"""
-tri AS (
+tri AS MATERIALIZED (
   SELECT trigram, count(*) AS responses FROM (
     SELECT unnest(list_distinct(list_transform(range(1, length({tight("text")}) - 1), lambda k: substr({tight("text")}, k, 3)))) AS trigram
     FROM numbered WHERE i > 0) s GROUP BY trigram
@@ -373,18 +373,18 @@ FROM u LEFT JOIN (SELECT {KEYS}, string_agg(CASE WHEN k IS NULL THEN word ELSE '
     out["ad_ranking"] = (
         f"WITH {seg}, {ADS} SELECT row_number() OVER (ORDER BY contexts DESC, text) AS place, text, contexts FROM ads"
     )
-    flagged_ads = "flagged AS (SELECT n.*, a.text IS NOT NULL AS hit FROM numbered n LEFT JOIN ads a ON n.text = a.text)"
+    flagged_ads = "flagged AS MATERIALIZED (SELECT n.*, a.text IS NOT NULL AS hit FROM numbered n LEFT JOIN ads a ON n.text = a.text)"
     out["ad_cut"] = f"WITH RECURSIVE {seg}, {ADS}, {NUMBERED}, {flagged_ads}, {_cuts('flagged', 2)}"
     out["trigram_counts"] = f"WITH {seg}, {NUMBERED}, {TRIGRAMS} SELECT trigram, responses FROM tri"
     out["generic_trigrams"] = (
         f"WITH {seg}, {NUMBERED}, {TRIGRAMS} SELECT trigram, responses FROM tri WHERE responses > {GENERIC_MIN}"
     )
     generic = f"""
-own AS (SELECT {SEG_KEY}, i, trigram, len, count(*) AS c FROM (
+own AS MATERIALIZED (SELECT {SEG_KEY}, i, trigram, len, count(*) AS c FROM (
   SELECT {SEG_KEY}, i, length({tight("text")}) AS len,
          unnest(list_transform(range(1, length({tight("text")}) - 1), lambda k: substr({tight("text")}, k, 3))) AS trigram FROM numbered) s GROUP BY ALL),
-gen AS (SELECT DISTINCT {SEG_KEY}, i FROM own SEMI JOIN (SELECT trigram FROM tri WHERE responses > {GENERIC_MIN}) g USING (trigram) WHERE c * 3 * 10 > 9 * len),
-flagged AS (SELECT n.*, g.i IS NOT NULL AS hit FROM numbered n LEFT JOIN gen g USING ({SEG_KEY}, i))"""
+gen AS MATERIALIZED (SELECT DISTINCT {SEG_KEY}, i FROM own SEMI JOIN (SELECT trigram FROM tri WHERE responses > {GENERIC_MIN}) g USING (trigram) WHERE c * 3 * 10 > 9 * len),
+flagged AS MATERIALIZED (SELECT n.*, g.i IS NOT NULL AS hit FROM numbered n LEFT JOIN gen g USING ({SEG_KEY}, i))"""
     out["generic_cut"] = f"WITH RECURSIVE {seg}, {NUMBERED}, {TRIGRAMS}, {generic}, {_cuts('flagged', 1)}"
     # audit
     out.update(_audit_oracles())
