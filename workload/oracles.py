@@ -276,14 +276,14 @@ GENERIC_MIN = 20
 
 def removal(text_cte: str, key: str = f"{KEYS}, part") -> str:
     """Ordered hits per utterance, then removal one by one."""
-    k = key.replace(" ", "").split(",")
     return f"""
-occ AS MATERIALIZED (
-  SELECT {', '.join('x.' + c for c in k)}, l.word, p + length(l.word) - 2 AS fin
-  FROM (SELECT * FROM {text_cte}) x JOIN black l ON contains(x.text, l.word),
-       unnest(range(1, length(x.text) + 1)) AS pos(p)
-  WHERE substr(x.text, p, length(l.word)) = l.word
-)"""
+owners AS MATERIALIZED (SELECT {key}, x.text, l.word FROM (SELECT * FROM {text_cte}) x JOIN black l ON contains(x.text, l.word)),
+scan AS (
+  SELECT {key}, word, instr(text, word) AS p, substr(text, instr(text, word) + 1) AS rest FROM owners
+  UNION ALL
+  SELECT {key}, word, p + instr(rest, word), substr(rest, instr(rest, word) + 1) FROM scan WHERE contains(rest, word)
+),
+occ AS MATERIALIZED (SELECT {key}, word, p + length(word) - 2 AS fin FROM scan)"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -317,11 +317,11 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT {KEYS}, hits[-1] AS word FROM (SELECT {KEYS}, regexp_extract_all(text, (SELECT p FROM alt)) AS hits FROM u) s WHERE len(hits) > 0"
     )
     out["substring_hits"] = (
-        f"WITH {U}, {BLACK}, {removal('u')} SELECT {KEYS}, CAST(fin AS INTEGER) AS fin, word FROM occ"
+        f"WITH RECURSIVE {U}, {BLACK}, {removal('u')} SELECT {KEYS}, CAST(fin AS INTEGER) AS fin, word FROM occ"
     )
     listed = f"SELECT {KEYS}, list(word ORDER BY fin, -length(word)) AS words FROM occ GROUP BY {KEYS}"
     out["substring_remove"] = (
-        f"WITH {U}, {BLACK}, {removal('u')}, l AS MATERIALIZED ({listed}) "
+        f"WITH RECURSIVE {U}, {BLACK}, {removal('u')}, l AS MATERIALIZED ({listed}) "
         f"SELECT u.dataset, u.file_id, u.session_id, u.turn, list_reduce(words, lambda a, w: replace(a, w, ''), text) AS text, "
         f"words[-1] AS black_word FROM u JOIN l USING ({KEYS}) "
         f"UNION ALL SELECT u.dataset, u.file_id, u.session_id, u.turn, text, NULL FROM u ANTI JOIN l USING ({KEYS})"
@@ -449,11 +449,11 @@ def _audit_oracles() -> dict[str, str]:
         "audit_counts": f"{base} SELECT category, reason, count(*) AS utterances FROM (SELECT DISTINCT category, reason, before, after FROM audit) d GROUP BY category, reason",
         "audit_deltas": f"{base} SELECT {KEYS}, category, reason, length(before) AS len_before, length(after) AS len_after, length(before) - length(after) AS removed FROM audit WHERE after IS NOT NULL",
         "word_counts": (
-            f"WITH {U}, {BLACK}, {removal('u')}, l AS MATERIALIZED (SELECT {KEYS}, max_by(word, fin * 1000 - length(word)) AS word FROM occ GROUP BY {KEYS}) "
+            f"WITH RECURSIVE {U}, {BLACK}, {removal('u')}, l AS MATERIALIZED (SELECT {KEYS}, max_by(word, fin * 1000 - length(word)) AS word FROM occ GROUP BY {KEYS}) "
             f"SELECT word, count(DISTINCT text) AS utterances FROM l JOIN u USING ({KEYS}) GROUP BY word"
         ),
         "word_utterances": (
-            f"WITH {U}, {BLACK}, {removal('u')}, l AS MATERIALIZED (SELECT {KEYS}, max_by(word, fin * 1000 - length(word)) AS word FROM occ GROUP BY {KEYS}) "
+            f"WITH RECURSIVE {U}, {BLACK}, {removal('u')}, l AS MATERIALIZED (SELECT {KEYS}, max_by(word, fin * 1000 - length(word)) AS word FROM occ GROUP BY {KEYS}) "
             f"SELECT DISTINCT dataset, file_id, word, text AS utterance FROM l JOIN u USING ({KEYS})"
         ),
     }
