@@ -42,6 +42,19 @@ def to_utterances(
     )
 
 
+def known_keys(rows: DataFrame) -> DataFrame:
+    """The utterance columns without nulls.
+
+    A null key would fall out of every join; and keys that cannot be null need no null filter,
+    which would make the two inputs of a self-join differ and be computed twice.
+    """
+    text = {c: F.coalesce(c, F.lit("")).alias(c) for c in ("dataset", "file_id", "text")}
+    session = F.coalesce(F.col("session_id").cast("long"), F.lit(-1).cast("long")).alias("session_id")
+    turn = F.coalesce(F.col("turn").cast("long"), F.lit(0).cast("long")).alias("turn")
+    part = F.coalesce(F.col("part").cast("int"), F.lit(0)).alias("part")
+    return rows.select(text["dataset"], text["file_id"], session, turn, part, text["text"])
+
+
 def session_lists(rows: DataFrame, key: list[str] | None = None) -> DataFrame:
     """One row per session (or segment) with its turns in order.
 

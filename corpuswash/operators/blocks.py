@@ -18,7 +18,8 @@ BLOCK_TURNS = 1024
 
 
 def with_block(rows: DataFrame, block_turns: int = BLOCK_TURNS) -> DataFrame:
-    return rows.withColumn("block", F.floor(F.col("turn") / block_turns).cast("long"))
+    block = F.floor(F.col("turn") / block_turns).cast("long")
+    return rows.withColumn("block", F.coalesce(block, F.lit(0).cast("long")))
 
 
 def is_long(rows: DataFrame, block_turns: int = BLOCK_TURNS) -> bool:

@@ -8,6 +8,7 @@ character does not depend on the lexicon size, and no text travels beyond its pi
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -92,16 +93,14 @@ def substring_hits(rows: DataFrame, text: Column, lexicon: Lexicon, key: list[st
         ),
     )
     pieces = chunks.select(*key, F.explode(piece).alias("_p")).select(*key, "_p.*")
-    starts = [
-        F.transform(
-            F.slice(T.grams(F.col("piece"), n), F.lit(1), F.col("own")),
-            lambda g, p: F.struct(p.alias("p"), g.alias("prefix")),
+    # usually one prefix length; each further length reads the pieces once more
+    places = [
+        pieces.select(
+            *key, "base", "piece", F.posexplode(F.slice(T.grams(F.col("piece"), n), F.lit(1), F.col("own"))).alias("p", "prefix")
         )
         for n in lexicon.prefix_lens
     ]
-    places = pieces.select(
-        *key, "base", "piece", F.explode(F.concat(*starts) if len(starts) > 1 else starts[0]).alias("_g")
-    ).select(*key, "base", "piece", "_g.p", "_g.prefix")
+    places = reduce(DataFrame.unionAll, places)
     table = lexicon.df.select(
         F.left("word", F.lit(PREFIX)).alias("prefix"), "word", "ord", F.length("word").alias("len")
     )

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuswash.functions import text as T
-from corpuswash.model import POSITION, SEGMENT, SESSION, UTTERANCE
+from corpuswash.model import POSITION, SEGMENT, SESSION, UTTERANCE, known_keys
 from corpuswash.operators import blocks as B
 from corpuswash.operators import corpus, lexicon, sessions
 from corpuswash.operators.lexicon import Lexicon
@@ -127,7 +127,7 @@ def clean(
     when a name or corpus pass is on: those read the utterances more than once.
     """
     tune(utterances.sparkSession)
-    rows = utterances.select(*UTTERANCE, "text")
+    rows = known_keys(utterances)
     long = B.is_long(rows, cfg.block_turns)
     rows = B.with_block(rows, cfg.block_turns)
     side: list[DataFrame] = []

@@ -18,7 +18,7 @@ from corpuswash.operators.rowchain import apply_named
 from corpuswash.operators.rules import RULES
 from corpuswash.plans.clean import Lexicons, clean
 from corpuswash.plans.config import CleanConfig
-from corpuswash.plans.scale import tune
+from corpuswash.plans.scale import checkpoint, tune
 from corpuswash.sources import writers
 from workload import inputs
 
@@ -231,7 +231,8 @@ def ad_ranking(spark: SparkSession, sf: str) -> DataFrame:
 
 def ad_cut(spark: SparkSession, sf: str) -> DataFrame:
     segments, long = _segments(spark, sf)
-    return corpus.cut_ads(segments, corpus.ad_responses(segments, long), long).select(*SEGMENT, "turn", "text")
+    ads = checkpoint(corpus.ad_responses(segments, long))
+    return corpus.cut_ads(segments, ads, long).select(*SEGMENT, "turn", "text")
 
 
 def trigram_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -246,7 +247,7 @@ def generic_trigrams(spark: SparkSession, sf: str) -> DataFrame:
 
 def generic_cut(spark: SparkSession, sf: str) -> DataFrame:
     segments, long = _segments(spark, sf)
-    generic = corpus.generic_trigrams(corpus.trigram_counts(segments, long=long), GENERIC_MIN)
+    generic = checkpoint(corpus.generic_trigrams(corpus.trigram_counts(segments, long=long), GENERIC_MIN))
     return corpus.cut_generic(segments, generic, long).select(*SEGMENT, "turn", "text")
 
 
