@@ -47,6 +47,12 @@ def grams(text: Column, n: int, step: int = 1) -> Column:
     return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}})).{{{step}}}"), F.lit(1))
 
 
+def leads(text: Column, least: int, most: int) -> Column:
+    """At every position the next ``most`` characters; positions with fewer than ``least`` left
+    are omitted."""
+    return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{least},{most}}})).{{1}}"), F.lit(1))
+
+
 def chars(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
 

@@ -1,8 +1,9 @@
 """Lexicons and everything that matches text or tokens against them.
 
-Substring matching explodes the text into short overlapping pieces, takes the first characters
-at every position of a piece and equi-joins them with the lexicon's word prefixes.  The cost per
-character does not depend on the lexicon size, and no text travels beyond its piece.
+Substring matching cuts the text into short overlapping pieces, explodes the characters ahead of
+every position and equi-joins their first few with the lexicon's word prefixes.  A position
+costs the same however many words the lexicon has, and carries no more text than the longest
+word.
 """
 
 from __future__ import annotations
@@ -18,7 +19,9 @@ from corpuswash.functions import text as T
 from corpuswash.model import UTTERANCE
 from corpuswash.plans.scale import BROADCAST_BYTES, BROADCAST_ROWS, SALTS, checkpoint
 
-PREFIX = 4
+# words are joined on 4 to 8 leading characters, as many as the shortest word allows
+PREFIX_MIN = 4
+PREFIX_MAX = 8
 PIECE = 256
 INLINE_WORDS = 64
 
@@ -50,9 +53,10 @@ class Lexicon:
             F.count("*").alias("rows"),
             F.coalesce(F.sum(F.octet_length("word") + 72), F.lit(0)).alias("size"),
             F.coalesce(F.max(n), F.lit(0)).alias("max_len"),
-            F.sort_array(F.collect_set(F.least(n, F.lit(PREFIX)))).alias("lens"),
+            F.collect_set(F.least(n, F.lit(PREFIX_MAX))).alias("lens"),
         ).first()
-        return Lexicon(df, m["rows"], m["size"], m["max_len"], tuple(m["lens"]))
+        k = max(PREFIX_MIN, min(m["lens"], default=0))
+        return Lexicon(df, m["rows"], m["size"], m["max_len"], tuple(sorted({min(x, k) for x in m["lens"]})))
 
     @property
     def small(self) -> bool:
@@ -94,18 +98,16 @@ def substring_hits(rows: DataFrame, text: Column, lexicon: Lexicon, key: list[st
     )
     pieces = chunks.select(*key, F.explode(piece).alias("_p")).select(*key, "_p.*")
     # usually one prefix length; each further length reads the pieces once more
-    places = [
-        pieces.select(
-            *key, "base", "piece", F.posexplode(F.slice(T.grams(F.col("piece"), n), F.lit(1), F.col("own"))).alias("p", "prefix")
-        )
-        for n in lexicon.prefix_lens
-    ]
+    places = []
+    for n in lexicon.prefix_lens:
+        ahead = F.slice(T.leads(F.col("piece"), n, lexicon.max_len), F.lit(1), F.col("own"))
+        at = pieces.select(*key, "base", F.posexplode(ahead).alias("p", "ahead"))
+        places.append(at.withColumn("prefix", F.left("ahead", F.lit(n))))
     places = reduce(DataFrame.unionAll, places)
-    table = lexicon.df.select(
-        F.left("word", F.lit(PREFIX)).alias("prefix"), "word", "ord", F.length("word").alias("len")
-    )
+    k = max(lexicon.prefix_lens)
+    table = lexicon.df.select(F.left("word", F.lit(k)).alias("prefix"), "word", "ord", F.length("word").alias("len"))
     found = lexicon.join(places, "prefix", "inner", [*key, "base", "p"], table)
-    whole = (F.col("len") <= PREFIX) | (F.substring("piece", F.col("p") + 1, F.col("len")) == F.col("word"))
+    whole = (F.col("len") <= k) | F.startswith("ahead", "word")
     return found.where(whole).select(*key, (F.col("base") + F.col("p") + F.col("len") - 1).alias("end"), "len", "word", "ord")
 
 
