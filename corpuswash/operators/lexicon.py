@@ -24,6 +24,7 @@ PREFIX_MIN = 4
 PREFIX_MAX = 8
 PIECE = 256
 INLINE_WORDS = 64
+ALTERNATION_WORDS = 10_000
 
 
 @dataclass(frozen=True)
@@ -132,6 +133,13 @@ def contained_words(rows: DataFrame, text: Column, lexicon: Lexicon, key: list[s
     return hits.groupBy(*key).agg(F.transform(listed, lambda h: h["word"]).alias("words"))
 
 
+def alternation_words(lexicon: Lexicon) -> list[str]:
+    """The words of a lexicon that was measured short enough for one pattern, in order."""
+    if lexicon.rows > ALTERNATION_WORDS:
+        raise ValueError("too many words for a pattern: use substring_hits or remove_substrings")
+    return [r["word"] for r in lexicon.df.orderBy("ord").collect()]
+
+
 def last_alternation(text: Column, words: list[str]) -> Column:
     """Last hit of a leftmost alternation of the words; for short lists only."""
     pattern = "|".join("\\Q" + w.replace("\\E", "\\E\\\\E\\Q") + "\\E" for w in words)

@@ -371,7 +371,7 @@ FROM u LEFT JOIN (SELECT {KEYS}, string_agg(CASE WHEN k IS NULL THEN word ELSE '
     seg = f"{T}, {segments('t')}"
     out["ad_responses"] = f"WITH {seg}, {ADS} SELECT text, contexts FROM ads"
     out["ad_ranking"] = (
-        f"WITH {seg}, {ADS} SELECT row_number() OVER (ORDER BY contexts DESC, text) AS place, text, contexts FROM ads"
+        f"WITH {seg}, {ADS} SELECT text, contexts FROM ads ORDER BY contexts DESC, text"
     )
     flagged_ads = "flagged AS MATERIALIZED (SELECT n.*, a.text IS NOT NULL AS hit FROM numbered n LEFT JOIN ads a ON n.text = a.text)"
     out["ad_cut"] = f"WITH RECURSIVE {seg}, {ADS}, {NUMBERED}, {flagged_ads}, {_cuts('flagged', 2)}"

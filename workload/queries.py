@@ -43,21 +43,23 @@ def _t(spark: SparkSession, sf: str) -> tuple[DataFrame, bool]:
 # ---- lexicons made from the tables ----------------------------------------
 
 
-def _words(spark: SparkSession, sf: str, table: str, pattern: str, where: str = "true", lower: bool = True, cond: str = "true") -> DataFrame:
-    """Distinct tokens of a table in alphabetical order; ``ord`` is the place."""
+def _words(spark: SparkSession, sf: str, table: str, pattern: str, where: str = "true", lower: bool = True, cond: str = "true", ranked: bool = False) -> DataFrame:
+    """Distinct tokens of a table.  ``ord`` is the alphabetical place for lists whose order
+    matters; these come from the small ``benchmark`` table, others are not ranked."""
     df = spark.read.parquet(f"{sf}/{table}.parquet").where(cond)
     w = df.select(F.explode(F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).alias("w")).where(where)
     d = w.select((F.lower("w") if lower else F.col("w")).alias("word")).distinct()
-    # a lexicon is small by definition; its order is a rank over the distinct words only
+    if not ranked:
+        return d.select("word", F.lit(0).cast("long").alias("ord"))
     return d.select("word", (F.row_number().over(Window.orderBy("word")) - 1).cast("long").alias("ord"))
 
 
 def black(spark: SparkSession, sf: str, first: int | None = None) -> Lexicon:
-    return Lexicon.of(_words(spark, sf, "benchmark", LETTERS + "{6,}"), first=first)
+    return Lexicon.of(_words(spark, sf, "benchmark", LETTERS + "{6,}", ranked=True), first=first)
 
 
 def topics(spark: SparkSession, sf: str) -> Lexicon:
-    return Lexicon.of(_words(spark, sf, "benchmark", LETTERS + "{9,}"))
+    return Lexicon.of(_words(spark, sf, "benchmark", LETTERS + "{9,}", ranked=True))
 
 
 def names(spark: SparkSession, sf: str) -> Lexicon:
@@ -149,8 +151,7 @@ def substring_set(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def alternation_last(spark: SparkSession, sf: str) -> DataFrame:
-    words = [r["word"] for r in topics(spark, sf).df.orderBy("ord").collect()]
-    hit = lexicon.last_alternation(F.col("text"), words)
+    hit = lexicon.last_alternation(F.col("text"), lexicon.alternation_words(topics(spark, sf)))
     return _u(spark, sf).select(*KEYS, hit.alias("word")).where("word IS NOT NULL")
 
 
@@ -224,9 +225,7 @@ def ad_responses(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ad_ranking(spark: SparkSession, sf: str) -> DataFrame:
-    ads = corpus.ranked_ads(corpus.ad_responses(*_segments(spark, sf)))
-    place = F.row_number().over(Window.orderBy(F.desc("contexts"), "text"))
-    return ads.select(place.cast("long").alias("place"), "text", "contexts")
+    return corpus.ranked_ads(corpus.ad_responses(*_segments(spark, sf))).select("text", "contexts")
 
 
 def ad_cut(spark: SparkSession, sf: str) -> DataFrame:
