@@ -1,12 +1,14 @@
 """Toxicity by compression distance: zstandard dictionaries of toxic and of ordinary text.
 
-Texts are lower-cased, reduced to words and cut into windows of whole words.  Each window is compressed behind the
-ordinary dictionary and behind the toxic dictionary with the ordinary one; a window that the toxic dictionary shortens by
-at least ``threshold`` bytes speaks for toxicity.  The threshold and the scores are calibrated on labelled texts.
+Texts are lower-cased and cut into windows of ``window_words`` words between border marks.  Each window is compressed
+behind the ordinary dictionary and behind the toxic dictionary with the ordinary one; a window that the toxic dictionary
+shortens by at least ``threshold`` bytes speaks for toxicity.  The threshold and the scores are calibrated on labelled
+texts.  One-word windows give the widest gap: a longer one mixes the cost of its ordinary words into the difference.
 
 Training reads at most ``SAMPLE`` labelled texts per class, chosen by a hash of the id.  The toxic dictionary is trained
-on the words whose share of toxic texts is ``LIFT`` times that of ordinary texts: windows that both classes share would
-fill it with ordinary text.
+on words that are ``LIFT`` times as frequent in toxic texts, at two standard errors and counted by the different words
+before them, so that copies of one text count once; words that both classes share would fill it with ordinary text.
+Beginnings of words count as words here, since compression finds them in words that it has not seen.
 
 Defined results: null and empty texts score as a text without evidence; null labels and null ids are not learnt from;
 repeated rows are scored one by one; without labels of both classes every score is the share of toxic labels (0 without
@@ -15,7 +17,6 @@ labels); extra columns are not read.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,12 +27,20 @@ from pyspark.sql import functions as F
 
 from corpuswash.llm.common import prepare, slices, stored
 
-SAMPLE = 4000
-WINDOW_BYTES = 48
-TOXIC_WORDS, ORDINARY_BYTES = 2000, 32 << 10
-LIFT, LEAST_DOCS = 4.0, 3
+SAMPLE = 2500
+WINDOW_WORDS = 1
+TOXIC_WORDS, TOXIC_BYTES, ORDINARY_BYTES = 2000, 16 << 10, 16 << 10
+LIFT, LEAST = 3.0, 3
+STARTS = (4, 5, 6)
 CUT = 0.3
-NOT_WORD = re.compile(rb"[^a-z0-9\x80-\xff]+")
+MOST_GAIN = 8
+#: Windows whose gain a worker remembers.
+MEMORY = 400_000
+#: Border marks, and bytes after the window: the last eight bytes of an input are never matched.
+LEFT, RIGHT, AFTER = b"\x01\x02\x03", b"\x03\x02\x01", b"\n0123456789abcdef"
+
+_WORD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32 for c in range(256))
+_GAINS: dict[bytes, dict[bytes, int]] = {}
 
 
 def held_out(id_: Column) -> Column:
@@ -39,18 +48,18 @@ def held_out(id_: Column) -> Column:
     return F.coalesce(F.crc32(id_.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def normal(text: str | None) -> bytes:
-    return NOT_WORD.sub(b" ", (text or "").lower().encode("utf-8", "surrogatepass")).strip()
+def words_of(text: str | None) -> list[bytes]:
+    return (text or "").lower().encode("utf-8", "surrogatepass").translate(_WORD).split()
+
+
+def windows(text: str | None, size: int = WINDOW_WORDS) -> list[bytes]:
+    """Runs of ``size`` words, without overlap; the last may be shorter."""
+    words = words_of(text)
+    return words if size == 1 else [b" ".join(words[i : i + size]) for i in range(0, len(words), size)]
 
 
-def windows(line: bytes, size: int = WINDOW_BYTES) -> Iterator[bytes]:
-    """Runs of whole words of ``size`` bytes or a little more, without overlap; nothing is left out."""
-    at, n = 0, len(line)
-    while at < n:
-        end = line.find(b" ", at + size)
-        end = n if end < 0 else end
-        yield b" " + line[at:end] + b" "
-        at = end + 1
+def marked(window: bytes) -> bytes:
+    return LEFT + window + RIGHT
 
 
 class Judge:
@@ -67,17 +76,27 @@ class Judge:
         if self._made is None:
             made = []
             for content in (self.ordinary, self.toxic + self.ordinary):
-                kind = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-                how = zstandard.ZstdCompressionParameters(compression_level=1, strategy=zstandard.STRATEGY_LAZY2, min_match=4, target_length=16, search_log=4, window_log=18, hash_log=15, chain_log=15, write_content_size=False, write_checksum=False, write_dict_id=False)
+                how = zstandard.ZstdCompressionParameters(strategy=zstandard.STRATEGY_BTOPT, min_match=4, target_length=64, search_log=8, window_log=17, hash_log=10, chain_log=15, write_content_size=False, write_checksum=False, write_dict_id=False)
+                kind = zstandard.ZstdCompressionDict(content + AFTER, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
                 kind.precompute_compress(compression_params=how)
                 made.append(zstandard.ZstdCompressor(dict_data=kind, compression_params=how).compress)
             self._made = tuple(made)
         return self._made
 
     def gains(self, text: str | None) -> list[int]:
-        """Bytes that the toxic dictionary saves in each window."""
+        """Bytes that the toxic dictionary saves in each window; a worker remembers windows it has seen."""
         plain, both = self._both()
-        return [len(plain(w)) - len(both(w)) for w in windows(normal(text))]
+        known = _GAINS.setdefault(self.toxic + LEFT + self.ordinary, {})
+        cut = windows(text)
+        new = {w for w in cut if w not in known}
+        if new:
+            if len(known) + len(new) > MEMORY:
+                known.clear()
+                new = set(cut)
+            for w in new:
+                line = marked(w) + AFTER
+                known[w] = len(plain(line)) - len(both(line))
+        return [known[w] for w in cut]
 
     def evidence(self, text: str | None, threshold: int | None = None) -> tuple[int, int, int]:
         g = self.gains(text)
@@ -131,21 +150,25 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
     n = {r["y"]: r["count"] for r in texts.groupBy("y").count().collect()}
     if not n.get(0) or not n.get(1):
         return Judge(b"", b"", prior=float(share))
-    words = texts.select("y", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[a-z0-9\x{80}-\x{10ffff}]+"), F.lit(0)))).alias("word"))
-    per = words.groupBy("word").agg(F.sum("y").alias("tox"), F.sum(1 - F.col("y")).alias("ord"))
-    rate = (F.col("tox") + 0.5) / n[1] / ((F.col("ord") + 0.5) / n[0])
-    least = max(LEAST_DOCS, n[1] // 200)
-    signs = per.where((rate >= LIFT) & (F.col("tox") >= least)).orderBy(F.desc("tox"), "word").limit(TOXIC_WORDS).collect()
-    toxic = [b" %s " % r["word"].encode() for r in signs for _ in range(min(8, r["tox"]))]
-    common = per.where("ord > 0").orderBy(F.desc("ord"), "word").limit(20_000).collect()
-    ordinary = [b" %s " % r["word"].encode() for r in common]
-    judge = Judge(_dictionary(toxic, ORDINARY_BYTES), _dictionary(ordinary[::-1], ORDINARY_BYTES))
+    w = F.regexp_extract_all(F.lower("text"), F.lit(r"[a-z0-9\x{80}-\x{10ffff}]+"), F.lit(0))
+    pairs = texts.select("y", w.alias("w")).select("y", F.explode(F.arrays_zip(F.concat(F.array(F.lit("")), F.expr("slice(w, 1, greatest(size(w) - 1, 0))")).alias("a"), F.col("w").alias("b"))).alias("p"))
+    pairs = pairs.select("y", F.col("p.a").alias("before"), F.col("p.b").alias("w")).where("w is not null").distinct()
+    starts = [F.when(F.length("w") > n, F.substring("w", 1, n)) for n in STARTS]
+    pairs = pairs.select("y", "before", F.explode(F.array_compact(F.array(F.concat("w", F.lit("$")), *starts))).alias("word")).distinct()
+    per = stored(pairs.groupBy("word").agg(F.sum("y").alias("tox"), F.sum(1 - F.col("y")).alias("ord")))
+    total = per.agg(F.sum("tox").alias("tox"), F.sum("ord").alias("ord")).first()
+    a, b = F.col("tox") + 0.5, F.col("ord") + 0.5
+    least_lift = F.log(a / (total["tox"] + 1)) - F.log(b / (total["ord"] + 1)) - 2 * F.sqrt(1 / a + 1 / b)
+    signs = per.where((least_lift >= float(np.log(LIFT))) & (F.col("tox") >= LEAST)).orderBy(F.desc("tox"), "word").limit(TOXIC_WORDS).collect()
+    common = per.where("ord > 0").orderBy(F.desc("ord"), "word").limit(3 * TOXIC_WORDS).collect()
+    toxic, ordinary = ([LEFT + r["word"].encode().replace(b"$", RIGHT) for r in rows] for rows in (signs, common))
+    judge = Judge(_dictionary(toxic, TOXIC_BYTES), _dictionary(ordinary[::-1], ORDINARY_BYTES))
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in slices(whole):
                 gains = [np.sort(judge.gains(t))[::-1] for t in b.column(1).to_pylist()]
-                tops = [[int(g[0]) if len(g) else 0, *[int((g >= t).sum()) for t in range(1, 7)]] for g in gains]
+                tops = [[int(g[0]) if len(g) else 0, *[int((g >= t).sum()) for t in range(1, MOST_GAIN + 1)]] for g in gains]
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(tops, pa.list_(pa.int32()))], ["y", "top"])
 
     seen = texts.select("y", "text").mapInArrow(look, "y int, top array<int>").collect()
@@ -157,7 +180,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
         both = balance[told & (y == 1)].sum()
         return 2 * both / max(1e-9, balance[told].sum() + balance[y == 1].sum())
 
-    threshold = max(range(1, 7), key=lambda t: (f1(t), t))
+    threshold = max(range(1, MOST_GAIN + 1), key=lambda t: (f1(t), t))
     x = np.column_stack([np.ones(len(y)), top[:, 0], np.log1p(top[:, threshold])])
     w = _logistic(x, y)
     w[0] += np.log(max(share, 1e-6) / max(1 - share, 1e-6)) - np.log(y.mean() / (1 - y.mean()))
