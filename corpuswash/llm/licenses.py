@@ -27,7 +27,7 @@ from corpuswash.llm.common import id_of, stored
 from corpuswash.plans.scale import lookup_join
 
 THRESHOLD, UNIT_WORDS = 0.75, 40
-WORD = r"[a-z0-9]+(?:\.[0-9]+)*"
+WORD = r"[A-Za-z0-9]+(?:\.[0-9]+)*"
 #: Customary notices of common licences.
 TEMPLATES: dict[str, list[str]] = {
     "Apache-2.0": [
@@ -60,14 +60,14 @@ TEMPLATES: dict[str, list[str]] = {
 
 
 def words_of(text: str) -> list[str]:
-    return re.findall(WORD, text.lower())
+    return [w.lower() for w in re.findall(WORD, text)]
 
 
 def units(docs: DataFrame, key: list[str], text_col: str = "text", size: int = UNIT_WORDS) -> DataFrame:
     """(key..., all_chars, chars, words): one row per unit with words."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     lines = docs.select(*key, F.length(text).alias("all_chars"), F.explode(F.split(text, "\n")).alias("line"))
-    words = lines.select(*key, "all_chars", F.length("line").alias("line_chars"), F.regexp_extract_all(F.lower("line"), F.lit(WORD), F.lit(0)).alias("line_words")).where(F.size("line_words") > 0)
+    words = lines.select(*key, "all_chars", F.length("line").alias("line_chars"), F.transform(F.regexp_extract_all("line", F.lit(WORD), F.lit(0)), F.lower).alias("line_words")).where(F.size("line_words") > 0)
     step = size // 2
     starts = F.when(F.size("line_words") <= size, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.size("line_words") - step - 1, F.lit(step)))
     cut = words.select(*key, "all_chars", "line_chars", F.size("line_words").alias("n"), "line_words", F.explode(starts).alias("start"))

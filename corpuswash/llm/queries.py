@@ -34,7 +34,7 @@ def op1_licenses(spark: SparkSession, sf: str) -> DataFrame:
 
 def op2_urls(spark: SparkSession, sf: str) -> DataFrame:
     pages = _table(spark, sf, "pages").select("page_id", "url")
-    got = urls.judged(pages, urls.labelled_pages(pages, _table(spark, sf, "labels")))
+    got = urls.judged(pages, urls.labelled_by_rules(pages))
     return got.withColumnRenamed("id", "page_id")
 
 

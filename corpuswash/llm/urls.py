@@ -111,7 +111,9 @@ def judged(pages: DataFrame, labelled: DataFrame, rules: tuple[tuple[str, str],
     return got.select("id", "host", "path", rule.alias("rule"), F.coalesce(verdict, own).alias("verdict"), "score")
 
 
-def labelled_pages(pages: DataFrame, labels: DataFrame) -> DataFrame:
-    """(url, y): pages are numbered by the document they show, whose toxic label is the label of the url."""
-    number = F.regexp_extract("url", r"^[^?#]*/([0-9]+)", 1).cast("long")
-    return pages.select(F.col("url"), number.alias("doc_id")).join(labels.select("doc_id", F.col("toxic").cast("int").alias("y")), "doc_id").select("url", "y")
+def labelled_by_rules(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, url_col: str = "url") -> DataFrame:
+    """(url, y): the urls that a rule judges are the labelled ones; the trees carry these judgements to the rest."""
+    rows = pages.select(F.col(url_col).cast("string").alias("url"))
+    host, path = parts(F.col("url"))
+    _, verdict = ruled(host, path, rules)
+    return rows.select("url", verdict.alias("v")).where("v is not null").select("url", (F.col("v") == "block").cast("int").alias("y"))
