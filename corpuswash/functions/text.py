@@ -276,7 +276,11 @@ def cap_char_runs(text: Column, no_single: bool = False) -> Column:
 
 
 def too_repetitive(words: Column) -> Column:
-    """Few distinct words, or three words that make up more than three quarters."""
+    """Few distinct words, or three words that make up more than three quarters.
+
+    With d distinct among n words, d <= n/3 decides at once; otherwise the three most frequent
+    can hold over 3/4 only if the other d - 3 words are under n/4, hence only for n < 36.
+    """
 
     def test(s: Column) -> Column:
         n = F.size(s)
@@ -292,7 +296,10 @@ def too_repetitive(words: Column) -> Column:
 
         return (n > 0) & let(starts, judge)
 
-    return let(F.sort_array(words), lambda s: F.when(F.size(s) > 0, test(s)).otherwise(F.lit(False)))
+    n = F.size(words)
+    few = F.size(F.array_distinct(words)) * 3 <= n
+    exact = let(F.sort_array(words), lambda s: F.when(F.size(s) > 0, test(s)).otherwise(F.lit(False)))
+    return F.when(n <= 0, F.lit(False)).when(n >= 36, few).otherwise(exact)
 
 
 # ---- emoji without the keycap characters ----------------------------------

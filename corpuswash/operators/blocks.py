@@ -23,9 +23,9 @@ def with_block(rows: DataFrame, block_turns: int = BLOCK_TURNS) -> DataFrame:
 
 
 def is_long(rows: DataFrame, block_turns: int = BLOCK_TURNS) -> bool:
-    """Does any session reach past block 0?"""
-    top = rows.agg(F.max("turn")).first()[0]
-    return top is not None and top >= block_turns
+    """Does any session have turns outside block 0 (negative ones included)?"""
+    low, top = rows.agg(F.min("turn"), F.max("turn")).first()
+    return top is not None and (top >= block_turns or low < 0)
 
 
 def block_window(key: list[str]) -> Window:
@@ -40,17 +40,17 @@ def facts_by(rows: DataFrame, key: list[str], *aggs: Column) -> DataFrame:
 def join_facts(rows: DataFrame, facts: DataFrame, key: list[str], how: str, long: bool) -> DataFrame:
     """Attach one fact row per ``key`` to the rows of that key.
 
-    In long sessions the fact is repeated for every block its key covers, so the join runs per
-    block as well.
+    In long sessions the fact is repeated for every block that its key has, so the join runs per
+    block as well; turn numbers may lie far apart.
     """
     if not long:
         return rows.join(facts.drop("min_block", "max_block"), key, how)
-    spread = facts.withColumn("block", F.explode(F.sequence("min_block", "max_block"))).drop("min_block", "max_block")
+    spread = rows.select(*key, "block").distinct().join(facts.drop("min_block", "max_block"), key)
     return rows.join(spread, [*key, "block"], how)
 
 
 def _long_rows(rows: DataFrame, key: list[str]) -> DataFrame:
-    longs = rows.where("block > 0").select(*key).distinct()
+    longs = rows.where("block <> 0").select(*key).distinct()
     return rows.join(longs, key, "left_semi")
 
 
@@ -195,14 +195,14 @@ def _entry_states(maps: DataFrame, key: list[str], states: int) -> DataFrame:
     computed, groups are grouped again, and the entry states come back down level by level.
     No group holds more than ``_FAN`` maps however many blocks a session has.
     """
-    top_block = maps.agg(F.max("block")).first()[0] or 0
-    up = maps.withColumn("_up", F.floor(F.col("block") / _FAN).cast("long"))
+    low_block, top_block = maps.agg(F.coalesce(F.min("block"), F.lit(0)), F.coalesce(F.max("block"), F.lit(0))).first()
+    up = maps.withColumn("_up", F.floor((F.col("block") - low_block) / _FAN).cast("long"))
     listed = up.groupBy(*key, "_up").agg(F.array_sort(F.collect_list(F.struct("block", "_map"))).alias("_m"))
 
     def through(state: Column, m: Column) -> Column:
         return F.get(m["_map"], state)
 
-    if top_block < _FAN:
+    if top_block - low_block < _FAN:
         parents = listed.withColumn("_entry", F.lit(0))
     else:
         composed = listed.select(

@@ -24,7 +24,6 @@ PREFIX_MIN = 4
 PREFIX_MAX = 8
 PIECE = 256
 INLINE_WORDS = 64
-ALTERNATION_WORDS = 10_000
 
 
 @dataclass(frozen=True)
@@ -41,13 +40,13 @@ class Lexicon:
     def of(words: DataFrame, word: str = "word", ord: str | None = "ord", first: int | None = None) -> Lexicon:
         """Strip, drop blanks, keep the first position of each word, store and measure.
 
-        ``first`` keeps the first entries of the list only.  A word list is read by several
-        joins, so it is written once to the checkpoint folder.
+        ``first`` keeps that many non-blank entries from the head of the list.  A word list is
+        read by several joins, so it is written once to the checkpoint folder.
         """
         order = F.col(ord) if ord else F.monotonically_increasing_id()
         df = words.select(T.strip(F.col(word)).alias("word"), order.cast("long").alias("ord")).where("word != ''")
         if first is not None:
-            df = df.where(F.col("ord") < first)
+            df = df.orderBy("ord").limit(first)
         df = checkpoint(df.groupBy("word").agg(F.min("ord").alias("ord")))
         n = F.length("word")
         m = df.agg(
@@ -133,17 +132,23 @@ def contained_words(rows: DataFrame, text: Column, lexicon: Lexicon, key: list[s
     return hits.groupBy(*key).agg(F.transform(listed, lambda h: h["word"]).alias("words"))
 
 
-def alternation_words(lexicon: Lexicon) -> list[str]:
-    """The words of a lexicon that was measured short enough for one pattern, in order."""
-    if lexicon.rows > ALTERNATION_WORDS:
-        raise ValueError("too many words for a pattern: use substring_hits or remove_substrings")
-    return [r["word"] for r in lexicon.df.orderBy("ord").collect()]
+def last_alternation(rows: DataFrame, text: Column, lexicon: Lexicon, out: str, key: list[str]) -> DataFrame:
+    """Add the last hit of an alternation of all words, or null.
 
+    As a pattern does, hits are taken from the left, at equal places in list order, and without
+    overlap.  The places come from the substring join, so the list may have any length.
+    """
+    hits = substring_hits(rows, text, lexicon, key).withColumn("at", F.col("end") - F.col("len") + 1)
+    heads = hits.groupBy(*key, "at").agg(F.min_by(F.struct("len", "word"), "ord").alias("w"))
+    listed = heads.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("at", "w.len", "w.word"))).alias("_h"))
+    start = F.struct(F.lit(0).alias("free"), F.lit(None).cast("string").alias("word"))
+
+    def step(acc: Column, h: Column) -> Column:
+        taken = F.struct((h["at"] + h["len"]).alias("free"), h["word"].alias("word"))
+        return F.when(h["at"] >= acc["free"], taken).otherwise(acc)
 
-def last_alternation(text: Column, words: list[str]) -> Column:
-    """Last hit of a leftmost alternation of the words; for short lists only."""
-    pattern = "|".join("\\Q" + w.replace("\\E", "\\E\\\\E\\Q") + "\\E" for w in words)
-    return F.try_element_at(F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1)), F.lit(-1))
+    last = listed.select(*key, F.aggregate("_h", start, step, lambda a: a["word"]).alias(out))
+    return rows.join(last, key, "left")
 
 
 def removal_lists(rows: DataFrame, text: Column, lexicon: Lexicon, key: list[str]) -> DataFrame:

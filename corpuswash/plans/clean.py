@@ -63,21 +63,42 @@ def _log(rows: DataFrame, when: Column, entry: Column) -> DataFrame:
     return rows.withColumn("hits", F.when(when, added).otherwise(F.col("hits")))
 
 
+#: Flags that need a word list, and the list they need.
+NEEDS = {
+    "no_special_topic": "special_topic",
+    "no_str_blacklist": "str_blacklist",
+    "no_alpha_noise": "english",
+    "no_word_blacklist": "word_blacklist",
+    "check_confuse_word": "confuse",
+    "re_name": "name",
+}
+
+
+def require_lexicons(cfg: CleanConfig, lex: Lexicons) -> None:
+    """A rule that is on runs, or the job does not start."""
+    missing = [f"{flag} needs the lexicon {name}" for flag, name in NEEDS.items() if getattr(cfg, flag) and getattr(lex, name) is None]
+    if cfg.check_confuse_word and not cfg.audit:
+        missing.append("check_confuse_word only writes audit entries: switch audit on")
+    if missing:
+        raise ValueError("; ".join(missing))
+
+
 def clean_utterances(rows: DataFrame, cfg: CleanConfig, lex: Lexicons = Lexicons(), ext: Extensions = Extensions()) -> DataFrame:
     """All utterance and word rules; the result still holds emptied turns, and ``hits`` with audit.
 
     ``rows`` carry ``block``; every join here is on keys that extend (session, block), so one
     partitioning serves them all.
     """
+    require_lexicons(cfg, lex)
     key = [*SESSION, "block", *POSITION]
     rows = apply_rules(prepare(rows, cfg.audit), _chosen(FRONT_RULES, cfg))
     if cfg.joins:
         # the joins read these rows twice each: once for the hits, once to apply them
         rows = shared(rows, [*SESSION, "block"])
-    if cfg.no_special_topic and lex.special_topic is not None:
+    if cfg.no_special_topic:
         rows = lexicon.first_contained(rows, T.tight(F.col("orig")), lex.special_topic, "_topic", key)
         rows = _drop_on(rows, "_topic", "special_topic", cfg.audit).drop("_topic")
-    if cfg.no_str_blacklist and lex.str_blacklist is not None:
+    if cfg.no_str_blacklist:
         rows = apply_rule(rows, TM_RULE)
         rows = lexicon.remove_substrings(rows, lex.str_blacklist, "_black", key)
         if cfg.audit:
@@ -101,7 +122,7 @@ def _word_level(rows: DataFrame, cfg: CleanConfig, lex: Lexicons, ext: Extension
         rows = rows.join(facts, key, "left")
     if english is not None:
         rows = _drop_on(rows, "noise_word", "not_en", cfg.audit)
-    if cfg.check_confuse_word and lex.confuse is not None and cfg.audit:
+    if cfg.check_confuse_word:
         rows = lexicon.confused_tokens(rows, F.col("_w"), lex.confuse, "_confused", key)
         found = F.col("_confused").isNotNull() & (F.col("text") != "")
         rows = _log(rows, found, hit(F.lit("confuse"), F.col("_confused"))).drop("_confused")
@@ -126,6 +147,7 @@ def clean(
     writing the audit and the later passes do not each run the rules.  By default this happens
     when a name or corpus pass is on: those read the utterances more than once.
     """
+    require_lexicons(cfg, lex)
     tune(utterances.sparkSession)
     rows = known_keys(utterances)
     long = B.is_long(rows, cfg.block_turns)
@@ -147,7 +169,7 @@ def clean(
         for log in side:
             audit = audit.unionByName(log)
     turns = rows.select(*UTTERANCE, "block", "text")
-    if cfg.re_name and lex.name is not None:
+    if cfg.re_name:
         turns = sessions.rename_names(turns, lex.name, long)
     segments = sessions.segment(turns, long, cfg.no_short_response, cfg.min_turns)
     ads = None

@@ -30,16 +30,35 @@ def tune(spark: SparkSession) -> SparkSession:
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut the lineage into the shared checkpoint folder named by the cluster.
 
-    ``spark.checkpoint.dir`` wins; a temporary folder is used only where the session names none
-    (local runs and tests).
+    ``spark.checkpoint.dir`` wins; a temporary folder is used only where a local session names
+    none (tests).  On a cluster that would be another disk per executor, so it is refused.
     """
     sc = df.sparkSession.sparkContext
     if not sc.getCheckpointDir():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="corpuswash-")
-        sc.setCheckpointDir(folder)
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="corpuswash-"))
     return df.checkpoint(eager=True)
 
 
+def ranked(df: DataFrame, by: list[str], name: str) -> DataFrame:
+    """Number all rows from 0 in the order of ``by``.
+
+    The rows are range-partitioned and sorted; only the row count of each partition reaches the
+    driver, and the numbers are written, so that every later read sees the same ones.
+    """
+    parts = df.repartitionByRange(*by).sortWithinPartitions(*by)
+    local = checkpoint(parts.withColumn("_part", F.spark_partition_id()).withColumn("_seq", F.monotonically_increasing_id()))
+    counts = {r["_part"]: r["n"] for r in local.groupBy("_part").agg(F.count("*").alias("n")).collect()}
+    starts, at = [], 0
+    for part in sorted(counts):
+        starts.append((part, at - (part << 33)))
+        at += counts[part]
+    shift = df.sparkSession.createDataFrame(starts, "_part int, _shift long")
+    return local.join(F.broadcast(shift), "_part").select(*df.columns, (F.col("_seq") + F.col("_shift")).alias(name))
+
+
 def fence(rows: DataFrame, computed: list[str]) -> DataFrame:
     """Keep filters above from being pushed into the expressions of ``computed``.
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpuswash.functions import text as T
 from corpuswash.model import to_utterances
+from corpuswash.plans.scale import ranked
 
 BOM = "\ufeff"
 
@@ -102,11 +103,18 @@ def text_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def word_list(spark: SparkSession, path: str) -> DataFrame:
-    """Lexicon file, one word per line: ``(word, ord)``, ``ord`` in file order."""
+    """Lexicon files, one word per line: ``(word, ord)``.
+
+    ``ord`` counts the non-blank lines from 0 through all splits and files, files in the order
+    of their paths.
+    """
     lines = spark.read.text(path).select(
-        F.monotonically_increasing_id().alias("ord"), T.strip(F.col("value")).alias("word")
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("line"),
+        T.strip(F.col("value")).alias("word"),
     )
-    return lines.where("word != ''").select("word", "ord")
+    return ranked(lines.where("word != ''"), ["file", "start", "line"], "ord").select("word", "ord")
 
 
 def symbol_list(spark: SparkSession, path: str) -> DataFrame:
@@ -115,6 +123,22 @@ def symbol_list(spark: SparkSession, path: str) -> DataFrame:
     return lines.select(F.substring_index("word", "\t\t", 1).alias("word"), "ord")
 
 
+def cleaned(spark: SparkSession, path: str) -> DataFrame:
+    """All that ``writers.write_text`` wrote below ``path``: the lines and the oversized segments."""
+    parts = [cleaned_text(spark, f"{path}/lines/*/*.txt")] if _exists(spark, f"{path}/lines/*/*.txt") else []
+    if _exists(spark, f"{path}/oversized/*/*.json"):
+        big = spark.read.schema("dataset string, file_id string, session_id long, segment string, turn long, part int, text string")
+        rows = big.option("basePath", f"{path}/oversized").json(f"{path}/oversized/*/*.json")
+        # a segment is a session here, as it is in the lines; ids of its own keep it apart from theirs
+        session = F.xxhash64("dataset", "file_id", "session_id", "segment")
+        at = F.struct("turn", "part")
+        rows = rows.select("dataset", F.concat("file_id", F.lit("_oversized")).alias("file_id"), session.alias("session_id"), at["turn"].alias("turn"), "part", "text")
+        parts.append(rows)
+    if not parts:
+        raise FileNotFoundError(f"nothing was written below {path}")
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
 def cleaned_text(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Cleaned sessions read back: turns separated by two tabs."""
     lines = text_lines(spark, paths)

@@ -20,8 +20,18 @@ def read_stream(spark: SparkSession, path: str, schema: StructType, max_files: i
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path)
 
 
+#: Rules that look beyond one utterance, at a word list or at its tokens.
+NOT_STREAMED = (
+    "no_utter_dup", "re_name", "split_multi_repost", "no_toupiao", "no_short_response", "no_ad", "de_generic_dialog",
+    "no_special_topic", "no_str_blacklist", "no_alpha_noise", "check_confuse_word", "no_word_blacklist", "yda_dedupl",
+)
+
+
 def clean_stream(rows: DataFrame, cfg: CleanConfig) -> DataFrame:
-    """Non-empty utterances after the utterance rules of ``cfg`` (lexicon rules excluded)."""
+    """Non-empty utterances after the utterance rules of ``cfg``; other rules that are on are refused."""
+    refused = [f for f in NOT_STREAMED if getattr(cfg, f)]
+    if refused:
+        raise ValueError(f"not on a stream: {', '.join(refused)}; switch them off and run them as a batch job")
     chosen = [r for r in (*FRONT_RULES, *BACK_RULES) if r.flag is None or getattr(cfg, r.flag)]
     out = apply_rules(prepare(rows, audit=False), [*chosen, FINAL_STRIP])
     return out.drop("orig").where(F.col("text") != "")

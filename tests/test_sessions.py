@@ -5,6 +5,7 @@ forces the carry between blocks that very long sessions need.
 """
 
 import random
+import re
 from collections import defaultdict
 
 import pytest
@@ -15,6 +16,7 @@ from corpuswash.model import SEGMENT, SESSION, UTTERANCE
 from corpuswash.operators import blocks as B
 from corpuswash.operators import corpus, lexicon, sessions, stats
 from corpuswash.operators.lexicon import Lexicon
+from corpuswash.sources import readers
 
 SCHEMA = "dataset string, file_id string, session_id long, turn long, part int, text string"
 AD = "buy three garden hoses right now"
@@ -52,9 +54,9 @@ def runs(turns):
 
 
 def trim(segment):
-    while segment and len(segment[-1].replace(" ", "")) < 2:
-        segment = segment[:-1]
-    return segment
+    """Up to the last turn with two characters or more."""
+    last = max((i for i, t in enumerate(segment) if len(t.replace(" ", "")) > 1), default=-1)
+    return segment[: last + 1]
 
 
 @pytest.mark.parametrize("size", BLOCKS)
@@ -100,15 +102,19 @@ def test_names(spark, size):
     assert [got[("d", "f", i)] for i in range(len(data))] == [rename(d) for d in data]
 
 
+def borders(places, gap):
+    """Hits at which a piece ends: each more than ``gap`` turns after the piece began."""
+    last = -1
+    for p in places:
+        if p - last - 1 > gap:
+            last = p
+            yield p
+
+
 def cut(turns, hit, gap):
-    pieces, start = [], 0
-    for i in range(len(turns)):
-        if hit(turns[i]) and i - start > gap and i > 0:
-            pieces.append(turns[start:i])
-            start = i + 1
-    if len(turns) - start > 1:
-        pieces.append(turns[start:])
-    return pieces
+    ends = [-1, *borders([i for i, t in enumerate(turns) if hit(t)], gap), len(turns)]
+    *pieces, last = [turns[a + 1 : b] for a, b in zip(ends, ends[1:], strict=False)]
+    return [*pieces, last] if len(last) > 1 else pieces
 
 
 @pytest.mark.parametrize("size", BLOCKS)
@@ -207,8 +213,30 @@ def test_large_lexicon_takes_the_salted_join(spark, monkeypatch):
 
 
 def test_lexicon_keeps_the_first_place(spark):
-    lex = Lexicon.of(spark.createDataFrame([(" a ", 0), ("b", 1), ("a", 2), ("", 3), ("c", 4)], "word string, ord long"), first=4)
-    assert {(r["word"], r["ord"]) for r in lex.df.collect()} == {("a", 0), ("b", 1)}
+    listed = spark.createDataFrame([(" a ", 0), ("b", 1), ("a", 2), ("", 3), ("c", 4), ("d", 5)], "word string, ord long")
+    lex = Lexicon.of(listed, first=4)
+    assert {(r["word"], r["ord"]) for r in lex.df.collect()} == {("a", 0), ("b", 1), ("c", 4)}
+
+
+def test_first_words_of_a_list_in_many_splits(spark, tmp_path):
+    (tmp_path / "b.txt").write_text("\n".join(f"w{i}" if i % 7 else "" for i in range(20_000)))
+    (tmp_path / "a.txt").write_text("\n\nfirst\n \nsecond\n")
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        got = Lexicon.of(readers.word_list(spark, str(tmp_path)), first=10_000).df.collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+    listed = ["first", "second", *[f"w{i}" for i in range(20_000) if i % 7]]
+    assert {r["word"] for r in got} == set(listed[:10_000])
+    assert {r["word"]: r["ord"] for r in got}["w1"] == 2
+
+
+def test_negative_and_sparse_turns(spark):
+    rows = [("d", "f", 0, t, 0, x) for t, x in [(-2, "a"), (-1, ""), (0, "b"), (1, "c"), (10**12, "d"), (10**12 + 1, ""), (10**13, "e")]]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = collect(sessions.segment(B.with_block(df), B.is_long(df)), SEGMENT)
+    assert sorted(got.values()) == [["a"], ["b", "c", "d"], ["e"]]
 
 
 def test_first_contained_both_ways(spark):
@@ -220,9 +248,15 @@ def test_first_contained_both_ways(spark):
         assert [r["w"] for r in got] == ["zz", "aa", None]
 
 
-def test_last_alternation_quotes_the_words(spark):
-    rows = table(spark, [["a.b a+b axb"]])
-    assert rows.select(lexicon.last_alternation(F.col("text"), ["a.b", "a+b"]).alias("w")).first()["w"] == "a+b"
+def test_last_alternation_equals_a_pattern(spark):
+    rnd = random.Random(4)
+    words = list(dict.fromkeys(["a.b", "a+b", "\\E"] + ["".join(rnd.choice("ab.+") for _ in range(rnd.randint(1, 4))) for _ in range(30)]))
+    rnd.shuffle(words)
+    texts = ["a.b a+b axb", "", "xyz"] + ["".join(rnd.choice("ab.+ ") for _ in range(rnd.randint(0, 40))) for _ in range(150)]
+    lex = Lexicon.of(spark.createDataFrame([(w, i) for i, w in enumerate(words)], "word string, ord long"))
+    got = lexicon.last_alternation(table(spark, [[t] for t in texts]), F.col("text"), lex, "w", UTTERANCE).orderBy("session_id").collect()
+    pattern = re.compile("|".join(map(re.escape, words)))
+    assert [r["w"] for r in got] == [(pattern.findall(t) or [None])[-1] for t in texts]
 
 
 # ---- statistics -----------------------------------------------------------

@@ -330,7 +330,9 @@ def oracle_sql() -> dict[str, str]:
         f"WITH {U}, {TOKENS}, w AS (SELECT {KEYS}, unnest(tk) AS word, unnest(range(len(tk))) AS pos FROM (SELECT {KEYS}, {tokens('text')} AS tk FROM u) s) "
         f"SELECT {KEYS}, min_by(word, pos) AS word FROM w SEMI JOIN bad USING (word) GROUP BY {KEYS}"
     )
-    extra = ", ".join(q(c) for c in "l . W t o z k C B y / w a s h x _ n g i d e".split())
+    # fixed values: tokens that are tolerated without being English words
+    tolerated = ["l", ".", "W", "t", "o", "z", "k", "C", "B", "y", "/", "w", "a", "s", "h", "x", "_", "n", "g", "i", "d", "e"]
+    extra = ", ".join(map(q, tolerated))
     out["alpha_noise"] = (
         f"WITH {U}, {ENGLISH}, w AS (SELECT {KEYS}, unnest(tk) AS word, unnest(range(len(tk))) AS pos FROM (SELECT {KEYS}, {tokens('text')} AS tk FROM u) s) "
         f"SELECT {KEYS}, min_by(w.word, pos) AS word FROM w ANTI JOIN english e ON lower(w.word) = e.word "

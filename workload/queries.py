@@ -151,8 +151,8 @@ def substring_set(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def alternation_last(spark: SparkSession, sf: str) -> DataFrame:
-    hit = lexicon.last_alternation(F.col("text"), lexicon.alternation_words(topics(spark, sf)))
-    return _u(spark, sf).select(*KEYS, hit.alias("word")).where("word IS NOT NULL")
+    got = lexicon.last_alternation(_u(spark, sf), F.col("text"), topics(spark, sf), "word", UTTERANCE)
+    return got.select(*KEYS, "word").where("word IS NOT NULL")
 
 
 def substring_hits(spark: SparkSession, sf: str) -> DataFrame:
