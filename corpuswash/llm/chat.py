@@ -3,7 +3,7 @@
 Template text holds ``{{ expression }}``, ``{% for m in messages %}``, ``{% if %} {% elif %} {% else %} {% endif %}``,
 ``{% set x = expression %}`` and ``{% generation %} ... {% endgeneration %}``; what is rendered between the last two is
 marked for the loss.  Expressions know literals, names, ``m.role``, ``m['text']``, ``+ == != < <= > >= in not and or``,
-and the filters ``escape trim upper lower``; everything else is refused when the template is compiled.  Constant parts
+and the filters ``escape trim upper lower``, which take all that stands left of them; everything else is refused when the template is compiled.  Constant parts
 are folded.  A loop over the messages takes them one at a time, so a conversation is rendered as a stream.
 
 ``escape`` doubles backslashes and puts one after the first character of every control string, so none occurs in a

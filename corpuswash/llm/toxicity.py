@@ -24,6 +24,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from corpuswash.llm.common import prepare, slices, stored
 
@@ -190,7 +191,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
 def scored(docs: DataFrame, judge: Judge, text_col: str = "text") -> DataFrame:
     """``docs`` with one more column ``tox_score``; the text is read whole, in slices of bounded size."""
     prepare(docs.sparkSession)
-    at, schema = docs.columns.index(text_col), docs.schema.add("tox_score", "double")
+    at, schema = docs.columns.index(text_col), StructType([*docs.schema.fields, StructField("tox_score", DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
