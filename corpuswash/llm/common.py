@@ -13,6 +13,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from corpuswash.plans.scale import fits_broadcast
+
 LOWEST = -(1 << 63)
 BATCH_ROWS = 512
 SLICE_BYTES = 4 << 20
@@ -58,6 +60,11 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sized(table: DataFrame) -> DataFrame:
+    """Broadcast after its rows and bytes were counted, joined by a shuffle beyond the bound; for keys that are not hot."""
+    return F.broadcast(table) if fits_broadcast(table) else table
+
+
 def id_of(name: str) -> Column:
     """An id that is never null: null ids count as one id of their own, below all others."""
     return F.coalesce(F.col(name).cast("long"), F.lit(LOWEST))

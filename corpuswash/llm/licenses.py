@@ -23,7 +23,7 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpuswash.llm.common import id_of, stored
+from corpuswash.llm.common import id_of, sized, stored
 from corpuswash.plans.scale import lookup_join
 
 THRESHOLD, UNIT_WORDS = 0.75, 40
@@ -155,7 +155,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", path_col: str = "path", text_c
     ups = small.select("dir").distinct().select("dir", F.posexplode(ancestors(F.col("dir"))).alias("up", "above"))
     met = lookup_join(ups, held.withColumnRenamed("dir", "above"), ["above"], "inner", ["dir"])
     nearest = stored(met.groupBy("dir").agg(F.min(F.struct("up", "above", "dir_license")).alias("n")).select("dir", F.col("n.above").alias("license_dir"), F.col("n.dir_license").alias("dir_license")))
-    out = lookup_join(lookup_join(small, own, key, "left", ["id"]), nearest, ["dir"], "left", ["id"])
+    out = lookup_join(small.join(sized(own), key, "left"), nearest, ["dir"], "left", ["id"])
     how = F.when(F.col("license").isNotNull(), "own").when(F.col("dir_license").isNotNull(), "inherited").otherwise("none")
     return out.select(
         F.col("id").alias("doc_id"), "path", F.coalesce("license", "dir_license").alias("license"), how.alias("how"), F.round("score", 6).alias("score"), F.when(F.col("license").isNull(), F.col("license_dir")).alias("license_dir")

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpuswash.llm.common import id_of, ranked, stored
+from corpuswash.llm.common import id_of, ranked, sized, stored
 from corpuswash.plans.scale import lookup_join
 
 WEIGHTS = (3, 1, 2)
@@ -94,5 +94,5 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", seed: int = SEED, **how: obje
     taken = mix(docs, id_col=id_col, seed=seed, **how).groupBy("id", "source").agg(F.min("copies").alias("__copies"))
     key = docs.withColumn("__id", id_of(id_col)).withColumn("__s", F.coalesce(F.col(how.get("source_col", "source")).cast("string"), F.lit("\0")))
     count = taken.select(F.col("id").alias("__id"), F.coalesce("source", F.lit("\0")).alias("__s"), "__copies")
-    joined = lookup_join(key, stored(count), ["__id", "__s"], "inner", ["__id"])
+    joined = key.join(sized(stored(count)), ["__id", "__s"])
     return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).where("__copies > 0").select(*docs.columns)

@@ -23,8 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuswash.llm.common import components, id_of, numbered, prepare, slices, stored
-from corpuswash.plans.scale import fits_broadcast
+from corpuswash.llm.common import components, id_of, numbered, prepare, sized, slices, stored
 
 SEED = 42
 HOT = 32
@@ -240,13 +239,8 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how
     drop = stored(marks.where("not keep").select(F.col("id").alias("__id"), F.col("h").alias("__h")))
     key = docs.withColumn("__id", id_of(id_col)).withColumn("__h", F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
     again = stored(key.groupBy("__id", "__h").agg(F.count("*").alias("c")).where("c > 1").drop("c"))
-    stay = key.join(_sized(drop), ["__id", "__h"], "left_anti")
+    stay = key.join(sized(drop), ["__id", "__h"], "left_anti")
     if again.isEmpty():
         return stay.select(*names)
-    single = stay.join(_sized(again), ["__id", "__h"], "left_anti")
-    return single.unionByName(stay.join(_sized(again), ["__id", "__h"], "left_semi").dropDuplicates(["__id", "__h"])).select(*names)
-
-
-def _sized(table: DataFrame) -> DataFrame:
-    """Broadcast after its rows and bytes were counted, joined by a shuffle beyond the bound."""
-    return F.broadcast(table) if fits_broadcast(table) else table
+    single = stay.join(sized(again), ["__id", "__h"], "left_anti")
+    return single.unionByName(stay.join(sized(again), ["__id", "__h"], "left_semi").dropDuplicates(["__id", "__h"])).select(*names)
