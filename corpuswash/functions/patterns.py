@@ -111,11 +111,12 @@ URL = (
 WIDE_FROM = "".join(chr(c) for c in range(0xFF01, 0xFF5F)) + "\u3000‘’“”"
 WIDE_TO = "".join(chr(c) for c in range(0x21, 0x7F)) + " ''\"\""
 LINE_BREAKS = r"[\n\r\x0b\x0c\x85\u2028\u2029]+"
-SPACES = rf"[{WS}]+"
+# a single plain space stays as it is, so it is not matched
+SPACES = rf"[{WS}]{{2,}}|[{WS}&&[^ ]]"
 # the look-behind starts the mailbox only where its run starts: same matches, linear time
 EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]+[.][A-Za-z]{2,}"
 NORMAL_PHONE = r"[+]?[0-9](?:[ -]?[0-9]){6,14}"
 
 # control-character cleaning
 CONTROL = r"[\p{C}\x{FFFD}&&[^\t\n\r]]"
-BLANKS = r"[\p{Zs}\t\n\r]"
+BLANKS = r"[\p{Zs}\t\n\r&&[^ ]]"

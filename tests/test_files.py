@@ -83,6 +83,7 @@ def test_text_round_trip(spark, tmp_path):
     assert turns(back) == [["a", "b c"], ["only"]]
     big = spark.read.json(f"{tmp_path}/out/oversized")
     assert [r["text"] for r in big.orderBy("turn").collect()] == [f"t{i}" for i in range(5)]
+    assert sorted(turns(readers.cleaned(spark, f"{tmp_path}/out"))) == [["a", "b c"], ["only"], [f"t{i}" for i in range(5)]]
 
 
 def test_jsonl_round_trip(spark, tmp_path):

@@ -16,7 +16,10 @@ from corpuswash.model import SEGMENT, SESSION, UTTERANCE
 from corpuswash.operators import blocks as B
 from corpuswash.operators import corpus, lexicon, sessions, stats
 from corpuswash.operators.lexicon import Lexicon
+from corpuswash.plans.clean import NEEDS, Lexicons, clean
+from corpuswash.plans.config import CleanConfig
 from corpuswash.sources import readers
+from corpuswash.streaming.rowchain import NOT_STREAMED, clean_stream
 
 SCHEMA = "dataset string, file_id string, session_id long, turn long, part int, text string"
 AD = "buy three garden hoses right now"
@@ -259,6 +262,18 @@ def test_last_alternation_equals_a_pattern(spark):
     assert [r["w"] for r in got] == [(pattern.findall(t) or [None])[-1] for t in texts]
 
 
+def test_rules_without_their_list_are_refused(spark):
+    rows = table(spark, [["a", "b"]])
+    for flag in NEEDS:
+        with pytest.raises(ValueError, match=flag):
+            clean(rows, CleanConfig().on(flag))
+    with pytest.raises(ValueError, match="audit"):
+        clean(rows, CleanConfig(audit=False).on("check_confuse_word"), Lexicons(confuse=Lexicon.of(spark.createDataFrame([("a", 0)], "word string, ord long"))))
+    for flag in NOT_STREAMED:
+        with pytest.raises(ValueError, match=flag):
+            clean_stream(rows, CleanConfig().on(flag))
+
+
 # ---- statistics -----------------------------------------------------------
 
 

@@ -416,6 +416,14 @@ UNION ALL SELECT 'not_in_raw', doc_id FROM (SELECT doc_id FROM labels EXCEPT SEL
     basic = f"{U}, {chain(BASIC, 'u')}, {segments('c')}"
     out["clean_basic"] = f"WITH {basic} SELECT {SEG_KEY}, turn, text FROM seg"
     out["clean_basic_statistics"] = f"WITH {basic} {stats('seg', 'dataset', SEG_KEY)}"
+    hit_list = f"SELECT {KEYS}, part, list(word ORDER BY fin, -length(word)) AS words FROM occ GROUP BY {KEYS}, part"
+    shorter = strip("list_reduce(words, lambda a, w: replace(a, w, ''), text)")
+    out["clean_basic_words"] = (
+        f"WITH RECURSIVE {U}, {BLACK}, {chain([*BASIC, 'B22'], 'u')}, {removal('c')}, l AS MATERIALIZED ({hit_list}), "
+        f"removed AS (SELECT {KEYS}, part, {shorter} AS text FROM c JOIN l USING ({KEYS}, part) "
+        f"UNION ALL SELECT {KEYS}, part, text FROM c ANTI JOIN l USING ({KEYS}, part)), {segments('removed')} "
+        f"SELECT {SEG_KEY}, turn, text FROM seg"
+    )
     # the vote and split steps come first, then the row rules, then segmentation
     full = f"{U}, {PARTS}, {VOTES}, {chain(FULL, 'voted')}, {segments('c')}"
     out["clean_full"] = f"WITH {full} SELECT {SEG_KEY}, turn, CAST(part AS INTEGER) AS part, text FROM seg"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuswash.functions import patterns as P
@@ -18,6 +18,7 @@ from corpuswash.operators.rowchain import apply_named
 from corpuswash.operators.rules import RULES
 from corpuswash.plans.clean import Lexicons, clean
 from corpuswash.plans.config import CleanConfig
+from corpuswash.plans import scale
 from corpuswash.plans.scale import checkpoint, tune
 from corpuswash.sources import writers
 from workload import inputs
@@ -51,7 +52,7 @@ def _words(spark: SparkSession, sf: str, table: str, pattern: str, where: str =
     d = w.select((F.lower("w") if lower else F.col("w")).alias("word")).distinct()
     if not ranked:
         return d.select("word", F.lit(0).cast("long").alias("ord"))
-    return d.select("word", (F.row_number().over(Window.orderBy("word")) - 1).cast("long").alias("ord"))
+    return scale.ranked(d, ["word"], "ord")
 
 
 def black(spark: SparkSession, sf: str, first: int | None = None) -> Lexicon:
@@ -331,6 +332,12 @@ def clean_basic(spark: SparkSession, sf: str) -> DataFrame:
     return clean(_u(spark, sf), BASIC).segments.select(*SEGMENT, "turn", "text")
 
 
+def clean_basic_words(spark: SparkSession, sf: str) -> DataFrame:
+    """The basic profile whole, with its lexicon."""
+    lex = Lexicons(str_blacklist=black(spark, sf))
+    return clean(_u(spark, sf), CleanConfig.basic(), lex).segments.select(*SEGMENT, "turn", "text")
+
+
 def clean_basic_statistics(spark: SparkSession, sf: str) -> DataFrame:
     return stats.corpus_statistics(clean(_u(spark, sf), BASIC).segments, ["dataset"], SEGMENT)
 
@@ -362,7 +369,7 @@ _NAMED: list[Query] = [
     tokenised, segment_sessions, segment_lines, multi_turn_segments, short_response_trim, rename_names, ad_responses,
     ad_ranking, ad_cut, trigram_counts, generic_trigrams, generic_cut, audit_entries, audit_counts, audit_deltas,
     word_counts, word_utterances, corpus_statistics, raw_statistics, mention_sessions, symbol_census, reconcile,
-    label_counts, inoffensive_texts, clean_basic, clean_basic_statistics, clean_full, clean_everything,
+    label_counts, inoffensive_texts, clean_basic, clean_basic_words, clean_basic_statistics, clean_full, clean_everything,
 ]
 
 
