@@ -14,6 +14,7 @@ an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from itertools import combinations
 
@@ -28,8 +29,12 @@ from corpuswash.llm.common import components, id_of, numbered, prepare, sized, s
 SEED = 42
 HOT = 32
 SHINGLE, SIMILARITY = 5, 0.8
-CLASS_SIZE, CLASSES = 4, 24
-LEADERS = 8
+#: Shingles per class at the coarse scale, classes looked at per scale, and texts up to which a finer scale is added.
+CLASS_SIZE, CLASSES, SHORT = 8, 24, 64
+#: Blocks up to the first number are compared in full, larger ones with that many leaders, four times as many each round.
+FULL_BLOCK, LEADERS = 64, 8
+#: A pair at 0.8 or more differs in 10 of 64 bits, with a deviation of 3; five deviations more are let through.
+FAR_BITS = 25
 
 
 def shingle_digests(text: str | None, k: int, seed: int = SEED) -> bytes:
@@ -124,34 +129,35 @@ def classes(docs: DataFrame, shingle: int = 3, max_distance: int = 2, id_col: st
 
 
 def _features(shingle: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(id, same, n, keys): the signature of the whole shingle set, its size, the signatures of its classes."""
+    """(id, h, same, n, fp, keys): signature, size and SimHash of the whole shingle set, signatures of its classes."""
     gold = np.uint64(0x9E3779B97F4A7C15)
 
-    def one(digests: bytes) -> tuple[int, int, list[int]]:
+    def one(digests: bytes) -> tuple[int, int, int, list[int]]:
         h = np.unique(np.frombuffer(digests, "<u8"))
         n = len(h)
         if not n:
-            return 0, 0, []
+            return 0, 0, 0, []
         with np.errstate(over="ignore"):
             order = h * gold  # spreads over classes independently of the digest's own bits
             order ^= order >> np.uint64(29)
             order *= gold
         keys = []
         scale = max(0, (n // CLASS_SIZE).bit_length() - 1)
-        for s in (scale, scale + 1):
+        for s in range(scale, scale + (3 if n <= SHORT else 2)):
             part = (order >> np.uint64(64 - s)) if s else np.zeros(n, np.uint64)
             for p in range(min(1 << s, CLASSES)):
                 if len(own := h[part == p]):
                     keys.append(xxhash.xxh64_intdigest(own.tobytes(), s * CLASSES + p) - (1 << 63))
-        return xxhash.xxh64_intdigest(h.tobytes(), 1) - (1 << 63), n, keys
+        fp = int(np.frombuffer(simhash(h.tobytes()), ">i8")[0])
+        return xxhash.xxh64_intdigest(h.tobytes(), 1) - (1 << 63), n, fp, keys
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in slices(whole):
                 rows = [one(shingle_digests(t, shingle)) for t in b.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0), b.column(2), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.list_(pa.int64()))],
-                    ["id", "h", "same", "n", "keys"],
+                    [b.column(0), b.column(2), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int64()), pa.array([r[3] for r in rows], pa.list_(pa.int64()))],
+                    ["id", "h", "same", "n", "fp", "keys"],
                 )
 
     return run
@@ -184,28 +190,31 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: float =
     """(id, h, group, keep): class of every row and whether it is the one that stays (smallest id, then smallest h).
 
     ``h`` is the hash of the text; rows equal in id and text share one result row.  Equal shingle sets are one node, so
-    thousands of copies cost one row.  In a block of up to ``LEADERS`` nodes all pairs are compared.  In a larger one
-    each node is compared with the ``LEADERS`` smallest; those that match none of these stay in the block, which is
-    dealt with again until it is empty.
+    thousands of copies cost one row.  In a block of up to ``FULL_BLOCK`` nodes all pairs are compared.  In a larger one
+    each node is compared with a few leaders; those that match none of these stay in the block, which is dealt with
+    again with more leaders until it is empty.  Pairs are compared by size and SimHash distance first, then exactly.
     """
     prepare(docs.sparkSession)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     source = docs.select(id_of(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("h"))
-    rows = stored(source.mapInArrow(_features(shingle), "id long, h long, same long, n long, keys array<long>"))
-    nodes = rows.groupBy("same").agg(F.min(F.struct("id", "h")).alias("first"), F.first("n").alias("n"), F.first("keys").alias("keys"))
-    keyed = nodes.select("same", "n", F.explode("keys").alias("key"))
+    rows = stored(source.mapInArrow(_features(shingle), "id long, h long, same long, n long, fp long, keys array<long>"))
+    nodes = rows.groupBy("same").agg(F.min(F.struct("id", "h")).alias("first"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("keys").alias("keys"))
+    keyed = nodes.select("same", "n", "fp", F.explode("keys").alias("key"))
     many = keyed.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
-    block = stored(keyed.join(many.select("key"), "key"))
+    block = stored(keyed.join(many, "key"))
     wanted = block.select("same").distinct()
     first = rows.groupBy("same").agg(F.min(F.struct("id", "h")).alias("first")).join(wanted, "same").select("same", "first.id", "first.h")
     picked = source.join(first, ["id", "h"]).select("same", "text").dropDuplicates(["same"])
     sets = stored(picked.mapInArrow(_sets(shingle), "same long, hashes binary"))
-    done, found = None, None
+    done, found, leaders = None, None, LEADERS
+    far = FAR_BITS + 64 * math.acos(min(1.0, 2 * similarity / (1 + similarity))) / math.pi - 64 * math.acos(1.6 / 1.8) / math.pi
     while not block.isEmpty():
-        lead = numbered(block, ["key"], [F.xxhash64("same"), F.col("same")], "place").where(F.col("place") <= LEADERS)
-        pair = block.join(lead.select("key", F.col("same").alias("b"), F.col("n").alias("m")), "key")
+        lead = numbered(block, ["key"], [F.xxhash64("same"), F.col("same")], "place")
+        lead = lead.where(F.col("place") <= F.when(F.col("c") <= FULL_BLOCK, F.lit(FULL_BLOCK)).otherwise(F.lit(leaders)))
+        pair = block.join(lead.select("key", F.col("same").alias("b"), F.col("n").alias("m"), F.col("fp").alias("fm")), "key")
         least, most = F.least("n", "m"), F.greatest("n", "m")
-        pair = pair.where((F.col("same") != F.col("b")) & (least >= similarity * most)).select(F.greatest("same", "b").alias("a"), F.least("same", "b").alias("b")).distinct()
+        close = (least >= similarity * most) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("fm"))) <= far)
+        pair = pair.where((F.col("same") != F.col("b")) & close).select(F.greatest("same", "b").alias("a"), F.least("same", "b").alias("b")).distinct()
         if done is not None:
             pair = pair.join(done, ["a", "b"], "left_anti")
         pair = stored(pair)
@@ -216,9 +225,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: float =
         linked = good.unionByName(good.select(F.col("b").alias("a"), F.col("a").alias("b")))
         led = lead.select("key", F.col("same").alias("b"))
         out = block.select("key", F.col("same").alias("a")).join(led, "key").join(linked, ["a", "b"], "left_semi").select("key", F.col("a").alias("same")).unionByName(lead.select("key", "same")).distinct()
-        left = block.join(out, ["key", "same"], "left_anti")
-        size = left.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
-        block = stored(left.join(size, "key"))
+        left = block.drop("c").join(out, ["key", "same"], "left_anti")
+        size = left.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
+        block, leaders = stored(left.join(size, "key")), 4 * leaders
     low = nodes.select("same", "first")
     if found is not None:
         roots = components(found)
