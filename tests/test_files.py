@@ -115,6 +115,16 @@ def test_classifier(spark):
     assert {r["label"]: r["texts"] for r in classify.class_counts(labelled).collect()} == {0.0: 20, 1.0: 20}
 
 
+def test_counted_scores(spark):
+    data = [(i, "bad awful words" if i % 2 else "kind gentle words", i % 2) for i in range(40)]
+    texts = spark.createDataFrame(data + [(40, None, None), (41, "awful", None), (42, "", None)], "id long, text string, toxic int")
+    labelled = classify.join_labels(texts.select("id", "text"), texts.select("id", "toxic").where("toxic is not null"), "id", "toxic")
+    got = {r["id"]: r["offensive"] for r in classify.counted_scores(texts, labelled, "id").collect()}
+    assert got == {**{i: bool(y) for i, _, y in data}, 40: False, 41: True, 42: False}
+    none = {r["offensive"] for r in classify.counted_scores(texts, labelled.where("label = 0"), "id").collect()}
+    assert none == {False}
+
+
 def test_whole_job(spark, tmp_path):
     dialogs = [["hello there", "#tag# fine day", "转发", "see QQ12345678, now"], ["same", "same"], ["hello badword", "ok then"]]
     rows = spark.createDataFrame([("d", "f", s, t, 0, x) for s, d in enumerate(dialogs) for t, x in enumerate(d)], SCHEMA)

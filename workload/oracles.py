@@ -412,6 +412,14 @@ WHERE symbol IS NOT NULL GROUP BY symbol"""
 SELECT 'not_in_result' AS status, doc_id FROM (SELECT doc_id FROM documents EXCEPT SELECT doc_id FROM labels) a
 UNION ALL SELECT 'not_in_raw', doc_id FROM (SELECT doc_id FROM labels EXCEPT SELECT doc_id FROM documents) b"""
     out["label_counts"] = "SELECT CAST(toxic AS DOUBLE) AS label, count(*) AS texts FROM documents JOIN labels USING (doc_id) GROUP BY toxic"
+    out["offensive_by_counts"] = f"""
+WITH tok AS MATERIALIZED (SELECT doc_id, toxic, unnest(regexp_extract_all(text, {q(LETTERS + '+')})) AS token
+  FROM documents LEFT JOIN labels USING (doc_id)),
+w AS MATERIALIZED (SELECT token, count(*) FILTER (toxic = 0) AS c0, count(*) FILTER (toxic = 1) AS c1 FROM tok WHERE toxic IS NOT NULL GROUP BY token),
+z AS (SELECT sum(c0) + count(*) AS r0, sum(c1) + count(*) AS r1 FROM w),
+odds AS (SELECT ln(count(*) FILTER (toxic = 1) / count(*) FILTER (toxic = 0)) AS o FROM documents JOIN labels USING (doc_id)),
+total AS (SELECT doc_id, sum(ln((coalesce(c1, 0) + 1) / r1) - ln((coalesce(c0, 0) + 1) / r0)) AS s FROM tok LEFT JOIN w USING (token), z GROUP BY doc_id)
+SELECT doc_id, round(coalesce(s, 0) + o, 6) > 0 AS offensive FROM documents LEFT JOIN total USING (doc_id), odds"""
     # whole job
     basic = f"{U}, {chain(BASIC, 'u')}, {segments('c')}"
     out["clean_basic"] = f"WITH {basic} SELECT {SEG_KEY}, turn, text FROM seg"

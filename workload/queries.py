@@ -325,6 +325,12 @@ def inoffensive_texts(spark: SparkSession, sf: str) -> DataFrame:
     return classify.inoffensive(docs, model).select("doc_id")
 
 
+def offensive_by_counts(spark: SparkSession, sf: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    return classify.counted_scores(docs, classify.join_labels(docs, labels, "doc_id", "toxic"), "doc_id")
+
+
 BASIC = CleanConfig.basic().off("no_str_blacklist")
 
 
@@ -369,7 +375,7 @@ _NAMED: list[Query] = [
     tokenised, segment_sessions, segment_lines, multi_turn_segments, short_response_trim, rename_names, ad_responses,
     ad_ranking, ad_cut, trigram_counts, generic_trigrams, generic_cut, audit_entries, audit_counts, audit_deltas,
     word_counts, word_utterances, corpus_statistics, raw_statistics, mention_sessions, symbol_census, reconcile,
-    label_counts, inoffensive_texts, clean_basic, clean_basic_words, clean_basic_statistics, clean_full, clean_everything,
+    label_counts, inoffensive_texts, offensive_by_counts, clean_basic, clean_basic_words, clean_basic_statistics, clean_full, clean_everything,
 ]
 
 
