@@ -192,7 +192,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: float =
     ``h`` is the hash of the text; rows equal in id and text share one result row.  Equal shingle sets are one node, so
     thousands of copies cost one row.  In a block of up to ``FULL_BLOCK`` nodes all pairs are compared.  In a larger one
     each node is compared with a few leaders; those that match none of these stay in the block, which is dealt with
-    again with more leaders until it is empty.  Pairs are compared by size and SimHash distance first, then exactly.
+    again with more leaders until it is empty; the leaders are the texts that share the most blocks with others.  Pairs are compared by size and SimHash distance first, then exactly.
     """
     prepare(docs.sparkSession)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -201,7 +201,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: float =
     nodes = rows.groupBy("same").agg(F.min(F.struct("id", "h")).alias("first"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("keys").alias("keys"))
     keyed = nodes.select("same", "n", "fp", F.explode("keys").alias("key"))
     many = keyed.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
-    block = stored(keyed.join(many, "key"))
+    block = keyed.join(many, "key")
+    # central texts lead: in a family of copies the least edited one shares the most blocks and matches the most others
+    block = stored(block.join(block.groupBy("same").agg(F.sum("c").alias("central")), "same"))
     wanted = block.select("same").distinct()
     first = rows.groupBy("same").agg(F.min(F.struct("id", "h")).alias("first")).join(wanted, "same").select("same", "first.id", "first.h")
     picked = source.join(first, ["id", "h"]).select("same", "text").dropDuplicates(["same"])
@@ -209,7 +211,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: float =
     done, found, leaders = None, None, LEADERS
     far = FAR_BITS + 64 * math.acos(min(1.0, 2 * similarity / (1 + similarity))) / math.pi - 64 * math.acos(1.6 / 1.8) / math.pi
     while not block.isEmpty():
-        lead = numbered(block, ["key"], [F.xxhash64("same"), F.col("same")], "place")
+        lead = numbered(block, ["key"], [F.desc("central"), F.col("same")], "place")
         lead = lead.where(F.col("place") <= F.when(F.col("c") <= FULL_BLOCK, F.lit(FULL_BLOCK)).otherwise(F.lit(leaders)))
         pair = block.join(lead.select("key", F.col("same").alias("b"), F.col("n").alias("m"), F.col("fp").alias("fm")), "key")
         least, most = F.least("n", "m"), F.greatest("n", "m")
