@@ -31,8 +31,9 @@ HOT = 32
 SHINGLE, SIMILARITY = 5, 0.8
 #: Shingles per class at the coarse scale, classes looked at per scale, and texts up to which a finer scale is added.
 CLASS_SIZE, CLASSES, SHORT = 8, 24, 64
-#: Blocks up to the first number are compared in full, larger ones with that many leaders, four times as many each round.
-FULL_BLOCK, LEADERS = 64, 8
+#: Blocks up to the first number are compared in full at once, larger ones leader by leader: so many first, then up to
+#: ``MORE`` times the place each round.  A task joins ``CHUNK`` members with as many leaders.
+FULL_BLOCK, LEADERS, MORE, CHUNK = 64, 8, 8, 256
 #: A pair at 0.8 or more differs in 10 of 64 bits, with a deviation of 3; five deviations more are let through.
 FAR_BITS = 25
 
@@ -186,13 +187,38 @@ def _verified(least: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
     return run
 
 
+def _unshared(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """(same, own): shingles of each member that no other member has; members without any are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for same, hashes in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                h = np.frombuffer(hashes, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), same, np.int64)), pa.array(h)], ["same", "shingle"])
+
+    each = sets.join(members, "same").select("same", "hashes").mapInArrow(run, "same long, shingle long")
+    once = each.groupBy("shingle").agg(F.count("*").alias("times"), F.min("same").alias("same")).where("times = 1")
+    return once.groupBy("same").agg(F.count("*").alias("own"))
+
+
+def _beside(block: DataFrame, lead: DataFrame, before: int, upto: int) -> DataFrame:
+    """Members beside the leaders of their block, dealt out so that a task joins at most about ``CHUNK`` of both."""
+    salts = F.ceil(F.col("c") / CHUNK)
+    chunk = lambda place: F.floor((place - before - 1) / CHUNK)
+    last = chunk(F.least(F.greatest(F.lit(upto), F.lit(FULL_BLOCK)), F.col("c")))
+    members = block.withColumn("salt", F.pmod(F.xxhash64("same"), salts)).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    leaders = lead.withColumn("part", chunk(F.col("place_b"))).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1))).drop("c")
+    return members.join(leaders, ["key", "salt", "part"])
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, h, group, keep): class of every row and whether it is the one that stays (smallest id, then smallest h).
 
     ``h`` is the hash of the text; rows equal in id and text share one result row.  Equal shingle sets are one node, so
     thousands of copies cost one row.  In a block of up to ``FULL_BLOCK`` nodes all pairs are compared.  In a larger one
-    each node is compared with a few leaders; those that match none of these stay in the block, which is dealt with
-    again with more leaders until it is empty; the leaders are the texts that share the most blocks with others.  Pairs are compared by size and SimHash distance first, then exactly.
+    the texts that share the most blocks with others lead: all others are compared with them, then with the next ones,
+    until every pair of the block was compared or is in one class.  Pairs are compared by size, SimHash distance and the
+    number of shingles that other members of large blocks have first, then exactly.
     """
     prepare(docs.sparkSession)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -208,15 +234,21 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: float =
     first = rows.groupBy("same").agg(F.min(F.struct("id", "h")).alias("first")).join(wanted, "same").select("same", "first.id", "first.h")
     picked = source.join(first, ["id", "h"]).select("same", "text").dropDuplicates(["same"])
     sets = stored(picked.mapInArrow(_sets(shingle), "same long, hashes binary"))
-    done, found, leaders = None, None, LEADERS
+    block = block.join(_unshared(block.where(F.col("c") > FULL_BLOCK).select("same").distinct(), sets), "same", "left")
+    block = block.withColumn("shared", F.col("n") - F.coalesce("own", F.lit(0))).withColumn("root", F.col("same")).drop("own")
+    block = stored(numbered(block, ["key"], [F.desc("central"), F.col("same")], "place"))
+    done, found, roots, before, upto = None, None, None, 0, LEADERS
     far = FAR_BITS + 64 * math.acos(min(1.0, 2 * similarity / (1 + similarity))) / math.pi - 64 * math.acos(1.6 / 1.8) / math.pi
     while not block.isEmpty():
-        lead = numbered(block, ["key"], [F.desc("central"), F.col("same")], "place")
-        lead = lead.where(F.col("place") <= F.when(F.col("c") <= FULL_BLOCK, F.lit(FULL_BLOCK)).otherwise(F.lit(leaders)))
-        pair = block.join(lead.select("key", F.col("same").alias("b"), F.col("n").alias("m"), F.col("fp").alias("fm")), "key")
-        least, most = F.least("n", "m"), F.greatest("n", "m")
-        close = (least >= similarity * most) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("fm"))) <= far)
-        pair = pair.where((F.col("same") != F.col("b")) & close).select(F.greatest("same", "b").alias("a"), F.least("same", "b").alias("b")).distinct()
+        lead = block.where((F.col("place") > before) & (F.col("place") <= F.when(F.col("c") <= FULL_BLOCK, F.lit(FULL_BLOCK)).otherwise(F.lit(upto))))
+        lead = lead.select("key", "c", *[F.col(x).alias(f"{x}_b") for x in ("same", "n", "fp", "shared", "root", "place")])
+        least, most = F.least("n", "n_b"), F.greatest("n", "n_b")
+        close = (least >= similarity * most) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("fp_b"))) <= far)
+        # two sets of a large block have at most in common what the smaller one shares with all members of large blocks
+        bound = F.least("shared", "shared_b") * (1 + similarity) >= similarity * (F.col("n") + F.col("n_b")) - 1e-6
+        close &= (F.col("c") <= FULL_BLOCK) | bound
+        pair = _beside(block, lead, before, upto).where((F.col("place") > F.col("place_b")) & (F.col("root") != F.col("root_b")) & close)
+        pair = pair.select(F.greatest("same", "same_b").alias("a"), F.least("same", "same_b").alias("b")).distinct()
         if done is not None:
             pair = pair.join(done, ["a", "b"], "left_anti")
         pair = stored(pair)
@@ -224,15 +256,15 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: float =
         good = stored(with_sets.select("a", "b", "x", "y").mapInArrow(_verified(similarity), "a long, b long"))
         done = pair if done is None else done.unionByName(pair)
         found = good if found is None else found.unionByName(good)
-        linked = good.unionByName(good.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        led = lead.select("key", F.col("same").alias("b"))
-        out = block.select("key", F.col("same").alias("a")).join(led, "key").join(linked, ["a", "b"], "left_semi").select("key", F.col("a").alias("same")).unionByName(lead.select("key", "same")).distinct()
-        left = block.drop("c").join(out, ["key", "same"], "left_anti")
-        size = left.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
-        block, leaders = stored(left.join(size, "key")), 4 * leaders
-    low = nodes.select("same", "first")
-    if found is not None:
         roots = components(found)
+        # all members stay as partners of later leaders; a block is done when all have led or all are in one class
+        left = block.where((F.col("c") > FULL_BLOCK) & (F.col("c") > upto)).drop("root")
+        left = left.join(roots.select(F.col("node").alias("same"), "root"), "same", "left").withColumn("root", F.coalesce("root", "same"))
+        open_ = left.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
+        block = stored(left.join(open_, "key", "left_semi"))
+        before, upto = upto, MORE * upto
+    low = nodes.select("same", "first")
+    if roots is not None:
         low = low.join(roots, low["same"] == roots["node"], "left").select("same", "first", F.coalesce("root", "same").alias("root"))
     else:
         low = low.select("same", "first", F.col("same").alias("root"))

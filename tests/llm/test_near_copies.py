@@ -135,3 +135,30 @@ def test_a_large_group_of_near_copies_leaves_one(spark):
     base = ["".join(r.choice("abcdefgh") for _ in range(4)) for _ in range(300)]
     rows = [(i, " ".join([*base[: i % 300], f"edit{i}", *base[i % 300 + 1 :]]), "", "", "") for i in range(400)]
     assert simhash.dedup(spark.createDataFrame(rows, DOCS)).count() == 1
+
+
+def test_members_of_a_large_block_meet_beyond_its_leaders(spark):
+    r = random.Random(4)
+    word = lambda: "".join(r.choice("abcdefghijkl") for _ in range(8))
+    base = [word() for _ in range(400)]
+    # few edits: all are similar to the leaders; half as many at fixed places: similar to the first kind, not to the leaders
+    texts = []
+    for size in [2] * 80 + [6] * 60 + [9] * 60:
+        w = list(base)
+        for _ in range(size):
+            w[r.randrange(200)] = word()
+        texts.append(w)
+    for w in list(texts[80:200]):
+        w = list(w)
+        for _ in range(6):
+            w[r.randrange(200)] = word()
+        texts.append(w)
+    texts = [" ".join(w) for w in texts]
+    marks = {x["id"]: x["group"] for x in simhash.near_duplicates(spark.createDataFrame([(i, t, "", "", "") for i, t in enumerate(texts)], DOCS)).collect()}
+    sets = [{" ".join(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, texts)]
+    want = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if want[i] != want[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                want = [want[j] if x == want[i] else x for x in want]
+    assert all((marks[i] == marks[j]) == (want[i] == want[j]) for i in range(len(texts)) for j in range(i))
