@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuswash.llm.common import components, id_of, numbered, prepare, sized, slices, stored
+from corpuswash.llm.common import components, id_of, numbered, prepare, ranked, sized, slices, stored
 
 SEED = 42
 HOT = 32
@@ -201,6 +201,15 @@ def _unshared(members: DataFrame, sets: DataFrame) -> DataFrame:
     return once.groupBy("same").agg(F.count("*").alias("own"))
 
 
+def _placed(block: DataFrame) -> DataFrame:
+    """Places from 1 in each block, central texts first; larger blocks are numbered by a rank over all of them."""
+    small = numbered(block.where(F.col("c") <= FULL_BLOCK), ["key"], [F.desc("central"), F.col("same")], "place")
+    large = ranked(block.where(F.col("c") > FULL_BLOCK).withColumn("less", -F.col("central")), ["key", "less", "same"], "at")
+    first = large.groupBy("key").agg(F.min("at").alias("first"))
+    place = (F.col("at") - F.col("first") + 1).cast("int").alias("place")
+    return small.unionByName(large.join(sized(first), "key").select(*block.columns, place))
+
+
 def _beside(block: DataFrame, lead: DataFrame, before: int, upto: int) -> DataFrame:
     """Members beside the leaders of their block, dealt out so that a task joins at most about ``CHUNK`` of both."""
     salts = F.ceil(F.col("c") / CHUNK)
@@ -236,7 +245,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: float =
     sets = stored(picked.mapInArrow(_sets(shingle), "same long, hashes binary"))
     block = block.join(_unshared(block.where(F.col("c") > FULL_BLOCK).select("same").distinct(), sets), "same", "left")
     block = block.withColumn("shared", F.col("n") - F.coalesce("own", F.lit(0))).withColumn("root", F.col("same")).drop("own")
-    block = stored(numbered(block, ["key"], [F.desc("central"), F.col("same")], "place"))
+    block = stored(_placed(block))
     done, found, roots, before, upto = None, None, None, 0, LEADERS
     far = FAR_BITS + 64 * math.acos(min(1.0, 2 * similarity / (1 + similarity))) / math.pi - 64 * math.acos(1.6 / 1.8) / math.pi
     while not block.isEmpty():

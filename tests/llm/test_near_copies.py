@@ -4,6 +4,7 @@ import random
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from corpuswash.llm import simhash
 from corpuswash.llm.common import components
@@ -162,3 +163,17 @@ def test_members_of_a_large_block_meet_beyond_its_leaders(spark):
             if want[i] != want[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
                 want = [want[j] if x == want[i] else x for x in want]
     assert all((marks[i] == marks[j]) == (want[i] == want[j]) for i in range(len(texts)) for j in range(i))
+
+
+def test_no_task_numbers_a_large_block(spark, monkeypatch):
+    seen, plain = [], simhash.numbered
+
+    def watched(df, part, *rest):
+        seen.append(df.groupBy(*part).count().agg(F.max("count")).first()[0] or 0)
+        return plain(df, part, *rest)
+
+    monkeypatch.setattr(simhash, "numbered", watched)
+    base = [f"w{i}" for i in range(100)]
+    rows = [(i, " ".join([*base[:i], f"edit{i}", *base[i + 1 :]]), "", "", "") for i in range(100)]
+    assert simhash.dedup(spark.createDataFrame(rows, DOCS)).count() == 1
+    assert seen and max(seen) <= simhash.FULL_BLOCK
