@@ -18,6 +18,7 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -143,13 +144,36 @@ class Searcher:
             yield len(w), ranges, items
 
 
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str, most: int) -> Iterator[list]:
-    """The benchmark in parts of about ``most`` bytes."""
+def _pieces(text: str | None, size: int, most: int) -> Iterator[bytes]:
+    """Runs of words of about ``most`` bytes that overlap, so that every window of ``size`` words lies whole in one."""
+    w, s = words_of(text), 0
+    last = max(1, len(w) - size + 1) if w else 0
+    while s < last:
+        e = total = 0
+        while s + e < last and (not e or total + len(w[s + e]) < most):
+            total += len(w[s + e]) + 1
+            e += 1
+        yield b" ".join(w[s : s + e + size - 1])
+        s += e
+
+
+def _blocks(benchmark: DataFrame, id_col: str, text_col: str, most: int, size: int = WINDOW) -> tuple[int, Iterator[list]]:
+    """Number of parts and the benchmark in parts of about ``most`` bytes, one after the other; long items are split."""
     rows = benchmark.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).cast("string").alias("t")).where("t is not null")
     total = rows.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
-    parts = max(1, -(-total // most))
-    for k in range(parts):
-        yield [(r["i"], r["t"]) for r in (rows if parts == 1 else rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(parts)) == k)).collect()]
+    if total <= most:
+        return 1, iter([[(r["i"], r["t"]) for r in rows.collect()]])
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                for p in _pieces(t, size, most // 8):
+                    yield pa.RecordBatch.from_arrays([pa.array([i], pa.string()), pa.array([p.decode("utf-8", "surrogatepass")], pa.string())], ["i", "t"])
+
+    pieces = stored(rows.mapInArrow(split, "i string, t string"))
+    parts = max(1, -(-pieces.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0] // most))
+    part = F.pmod(F.xxhash64("i", "t"), F.lit(parts))
+    return parts, ([(r["i"], r["t"]) for r in pieces.where(part == k).collect()] for k in range(parts))
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -158,15 +182,13 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: st
     prepare(spark)
     out = "id long, row long, n_words long, ranges array<struct<a:long,b:long>>, items array<string>"
     source = docs.select(id_of(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    parts = list(_blocks(benchmark, item_col, item_text, block_bytes))
-    if len(parts) > 1:
+    n, parts = _blocks(benchmark, item_col, item_text, block_bytes, window)
+    if n > 1:
         source = stored(source.withColumn("row", F.monotonically_increasing_id()))
     else:
         source = source.withColumn("row", F.lit(0).cast("long"))
 
-    def scan(items: list) -> DataFrame:
-        sent = spark.sparkContext.broadcast(items)
-
+    def scan(sent: Broadcast) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             searcher = Searcher(windows(sent.value, window))
             for whole in batches:
@@ -185,11 +207,13 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: st
 
         return source.mapInArrow(run, out)
 
-    if len(parts) == 1:
-        return scan(parts[0]).drop("row")
+    if n == 1:
+        return scan(spark.sparkContext.broadcast(next(parts))).drop("row")
     each = None
-    for p in parts:
-        own = scan(p)
+    for items in parts:
+        sent = spark.sparkContext.broadcast(items)
+        own = stored(scan(sent))  # one part at a time stands in the driver and the tasks
+        sent.destroy()
         each = own if each is None else each.unionByName(own)
     found = each.groupBy("row", "id", "n_words").agg(F.flatten(F.collect_list("ranges")).alias("r"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
     step = lambda acc, x: F.when(
@@ -223,7 +247,8 @@ def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window:
     spark = docs.sparkSession
     prepare(spark)
     out = docs
-    for items in _blocks(benchmark, "item_id", "text", block_bytes):
+    n, parts = _blocks(benchmark, "item_id", "text", block_bytes, window)
+    for items in parts:
         sent = spark.sparkContext.broadcast(items)
         at = out.columns.index(text_col)
 
@@ -234,4 +259,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window:
                     yield b.filter(pa.array([not r[1] for r in searcher.judge(b.column(at).to_pylist())], pa.bool_()))
 
         out = out.mapInArrow(run, out.schema)
+        if n > 1:
+            out = stored(out)
+            sent.destroy()
     return out

@@ -191,6 +191,20 @@ def test_hits_equal_plain_search(spark, block):
     assert {x["n_hit"] for x in decontam.report(docs.where("doc_id < 9"), bench.where("false")).collect()} == {0}
 
 
+def test_parts_of_a_benchmark_are_bounded_and_one_at_a_time(spark):
+    words = [f"w{i}" for i in range(4000)]
+    bench = spark.createDataFrame([(1, " ".join(words)), (2, "a b c")], "item_id long, text string")
+    n, parts = decontam._blocks(bench, "item_id", "text", 4000, 4)
+    assert iter(parts) is parts and n > 4
+    parts = list(parts)
+    assert max(sum(len(t) for _, t in p) for p in parts) < 3 * 4000
+    together = {}
+    for p in parts:
+        for w, ids in decontam.windows(p, 4).items():
+            together.setdefault(w, set()).update(ids)
+    assert together == dict(decontam.windows([(1, " ".join(words)), (2, "a b c")], 4))
+
+
 # ---- nearest neighbours ---------------------------------------------------------
 
 
