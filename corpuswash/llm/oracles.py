@@ -82,5 +82,34 @@ FROM words LEFT JOIN hit ON hit.doc_id = words.doc_id LEFT JOIN told ON told.doc
 """
 
 
+OP11 = f"""
+WITH pieces AS MATERIALIZED (
+  SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), {_A_Z}), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)
+), counts AS MATERIALIZED (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM pieces, (VALUES (1), (2), (3)) ks(k) WHERE len(w) >= k)
+  GROUP BY ALL HAVING count(*) >= 10
+), sizes AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+cuts AS (
+  SELECT lang, k, phrase, f AS a, j, array_to_string(w[:j], ' ') AS head, array_to_string(w[j + 1:], ' ') AS rest
+  FROM (SELECT *, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS j FROM counts WHERE k > 1)
+), scored AS (
+  SELECT c.lang, c.k, c.phrase, c.a, l.f AS l, r.f AS r, CAST(a AS HUGEINT) * a * 1000000 // (CAST(l.f AS HUGEINT) * r.f) AS score,
+         row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY CAST(a AS HUGEINT) * a * 1000000 // (CAST(l.f AS HUGEINT) * r.f), j) AS best
+  FROM cuts c JOIN counts l ON l.lang = c.lang AND l.phrase = c.head JOIN counts r ON r.lang = c.lang AND r.phrase = c.rest
+), inside AS (
+  SELECT lang, phrase, max(f) AS longer FROM (
+    SELECT lang, f, array_to_string(string_split(phrase, ' ')[i:i + 1], ' ') AS phrase FROM counts, (VALUES (1), (2)) v(i) WHERE k = 3)
+  GROUP BY ALL
+), ranked AS (
+  SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank
+  FROM scored s LEFT JOIN inside i ON i.lang = s.lang AND i.phrase = s.phrase
+  WHERE best = 1 AND (longer IS NULL OR 100 * longer < 50 * a)
+)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_chat": OP5, "op6_mixing": OP6, "op10_decontam": OP10}
+    return {"op5_chat": OP5, "op6_mixing": OP6, "op10_decontam": OP10, "op11_phrases": OP11}
