@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuswash.llm import ann, chat, decontam, langid, licenses, mixing, phrases, simhash, token_codes, toxicity, urls
+from corpuswash.llm import ann, chat, decontam, html_text, langid, licenses, mixing, phrases, simhash, token_codes, toxicity, urls
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -78,5 +78,9 @@ def op11_phrases(spark: SparkSession, sf: str) -> DataFrame:
     return phrases.collocations(_table(spark, sf, "documents"))
 
 
+def op12_main_text(spark: SparkSession, sf: str) -> DataFrame:
+    return html_text.extract(_table(spark, sf, "pages")).withColumnRenamed("id", "page_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
