@@ -9,7 +9,7 @@ the shuffle adds up by fingerprint *and* text.  So collisions are split exactly,
 
 Defined results: a null text is an empty one and has no words; a null language is ``und``; repeated rows count each time;
 equal scores are ordered by a and then by the bytes of the phrase; an empty table gives no rows; extra columns are not
-read.  Long texts are hashed in windows of 4 MiB (a single longer word stands in one window).
+read.  Long texts are hashed in windows of 512 KiB (a single longer word stands in one window).
 """
 
 from __future__ import annotations
@@ -28,9 +28,11 @@ from corpuswash.plans.scale import lookup_join
 
 UNKNOWN = "und"
 BLANKS, BREAKS = b"\x20\x09", b".,;:!?\x0a\x0b\x0c\x0d"
-WINDOW = 4 << 20
+WINDOW = 1 << 19
+#: Bytes of text hashed at a time.
+SLICE = 2 << 20
 #: Distinct fingerprints held before they are handed on, and bytes of text read before phrases are.
-HELD, HELD_BYTES = 2_000_000, 8 << 20
+HELD, HELD_BYTES = 1_000_000, 4 << 20
 #: Bits per frequent fingerprint and the largest bitmap.
 BITS_EACH, MOST_BITS = 16, 28
 MAP_BITS = 32768
@@ -177,7 +179,7 @@ def _salt(lang: str) -> int:
 
 def _by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[str]]]:
     for whole in batches:
-        for b in slices(whole):
+        for b in slices(whole, most=SLICE):
             per: dict[str, list[str]] = {}
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 per.setdefault(lang, []).append(text)
