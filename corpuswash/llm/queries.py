@@ -7,17 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuswash.llm import ann, chat, decontam, html_text, langid, licenses, mixing, phrases, simhash, token_codes, toxicity, urls
+from corpuswash.llm import alignment, ann, chat, decontam, html_text, langid, licenses, mixing, phrases, simhash, token_codes, toxicity, urls
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return str(public_tokenizers.path("byte_bpe_50k.json"))
+    return str(public_tokenizers.path(name))
 
 
 def with_paths(docs: DataFrame) -> DataFrame:
@@ -82,5 +82,9 @@ def op12_main_text(spark: SparkSession, sf: str) -> DataFrame:
     return html_text.extract(_table(spark, sf, "pages")).withColumnRenamed("id", "page_id")
 
 
+def op13_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    return alignment.align(_table(spark, sf, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
