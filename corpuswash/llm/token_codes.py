@@ -9,8 +9,8 @@ document (u8, one more than documents), start of the file within its partition (
 continuation bits (u1, packed) and directory (u4); the last level has no bits.
 
 Defined results: a null text is an empty one; an empty document holds only the end id; null document ids come first as
-the lowest id; rows with equal ids are written one after the other in the order of their texts; an empty table gives no
-file and no rows; extra columns are not read.
+the lowest id; rows with equal ids are written one after the other in the order of their texts' first 32 characters, then
+of a hash of the text; an empty table gives no file and no rows; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -23,19 +23,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuswash.llm.common import id_of, prepare, shared_dir, slices, stored
+from corpuswash.llm.pieces import ByteLevel as Encoder
 
 CHUNK, STEP = 8, 512
 MAGIC = b"DAC1"
 END_ID = 2
 #: Ids per file, about; a file is written and read as a whole by one task.
 FILE_TOKENS = 4_000_000
-#: Pieces whose ids a worker remembers.
-MEMORY = 300_000
+#: Characters by which rows of one id are ordered; beyond them a hash decides.
+HEAD = 32
 
 _POPCOUNT = np.array([bin(i).count("1") for i in range(256)], np.uint8)
 
@@ -113,68 +113,6 @@ def unpack(data: bytes) -> tuple[np.ndarray, np.ndarray, int, Codes]:
 # ---- tokenizing ---------------------------------------------------------------
 
 
-class Encoder:
-    """Byte-level BPE by the tokenizers library, with the ids of frequent pieces remembered.
-
-    The vocabulary's own splitting pattern always begins a new piece at a single space or line feed between two non-blank
-    characters, and at a full stop or comma after a letter, so pieces cut there are encoded alone with the same result.
-    Texts with other blanks, control characters or a special token's string are encoded whole.
-    """
-
-    ODD = r"[\x00-\x09\x0b-\x1f\x7f-\xa0\x{1680}\x{180e}\x{2000}-\x{200f}\x{2028}-\x{202f}\x{205f}-\x{206f}\x{3000}\x{feff}]|[ \n][ \n]|^[ \n]|[ \n]$|<\|"
-
-    def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
-
-        self.model = Tokenizer.from_file(path)
-        self.feed = self.model.encode("\n", add_special_tokens=False).ids
-        self.known: dict[str, np.ndarray] = {}
-
-    def _whole(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.uint32) for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _new(self, pieces: list[str]) -> list[np.ndarray]:
-        """Ids of pieces without blanks inside: encoded in one go with line feeds between, cut at these."""
-        ids = np.array(self.model.encode_batch_fast(["\n".join(pieces)], add_special_tokens=False)[0].ids, np.uint32)
-        cuts = np.flatnonzero(ids == self.feed[0])
-        if len(cuts) != len(pieces) - 1:
-            return self._whole(pieces)
-        return np.split(ids, cuts) if not len(cuts) else [x[1:] if i else x for i, x in enumerate(np.split(ids, cuts))]
-
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        column = pa.array(texts, pa.large_string())
-        odd = pc.match_substring_regex(column, self.ODD).to_numpy(zero_copy_only=False) | (pc.binary_length(column).to_numpy() == 0)
-        out: list[np.ndarray | None] = [None] * len(texts)
-        strange = np.flatnonzero(odd).tolist()
-        for i, ids in zip(strange, self._whole([texts[i] for i in strange]), strict=True):
-            out[i] = ids
-        plain = np.flatnonzero(~odd)
-        if len(plain):
-            cut = pc.replace_substring_regex(column.take(pa.array(plain)), r"(\pL)([.,])", "\\1\x01\\2")
-            cut = pc.replace_substring(pc.replace_substring(cut, " ", "\x01 "), "\n", "\x01\n\x01")
-            lists = pc.split_pattern(cut, "\x01")
-            coded = lists.flatten().dictionary_encode()
-            values, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-            missing = [v for v in values if v not in self.known]
-            if len(self.known) + len(missing) > MEMORY:
-                self.known, missing = {}, values
-            words = [v for v in missing if v != "\n"]
-            if words:
-                self.known.update(zip(words, self._new(words), strict=True))
-            self.known["\n"] = np.array(self.feed, np.uint32)
-            own = [self.known[v] for v in values]
-            size = np.fromiter(map(len, own), np.int64, len(own))
-            begin = np.concatenate([[0], np.cumsum(size)])[:-1]
-            length = size[codes]
-            last = np.cumsum(length)
-            place = np.repeat(begin[codes] - (last - length), length) + np.arange(last[-1] if len(last) else 0)
-            ids = np.concatenate(own)[place]
-            bounds = np.concatenate([[0], last])[lists.offsets.to_numpy()]
-            for k, i in enumerate(plain.tolist()):
-                out[i] = ids[bounds[k] : bounds[k + 1]]
-        return out  # type: ignore[return-value]
-
-
 _ENCODERS: dict[str, Encoder] = {}
 
 
@@ -203,11 +141,15 @@ def _write(folder: str, name: str, data: bytes) -> None:
 def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text", file_tokens: int = FILE_TOKENS) -> DataFrame:
     """Write the ids of all documents in ascending id order; returns (part, file, docs, tokens), one row per file.
 
-    Documents are dealt by ranges of their id; each task encodes its range and writes files of ``file_tokens`` ids.
+    Documents are dealt by ranges of their id, so that each task encodes its range and writes files of ``file_tokens`` ids.
+    Rows of one id are dealt on by the beginning and the hash of the text, and equal rows by their place in the input, so
+    no id or text is one task; whole texts would be too long for the sample that finds the ranges.
     """
     prepare(docs.sparkSession)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(id_of(id_col).alias("id"), text.alias("text")).repartitionByRange("id").sortWithinPartitions("id", "text")
+    order = ["id", "head", "h", "at"]
+    rows = docs.select(id_of(id_col).alias("id"), text.alias("text")).withColumn("head", F.left("text", F.lit(HEAD))).withColumn("h", F.xxhash64("text")).withColumn("at", F.monotonically_increasing_id())
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
