@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 2_000_000
 BROADCAST_BYTES = 64 << 20
 SALTS = 32
+# a key with more rows than this is dealt over ``SALTS`` tasks
+HOT_ROWS = 20_000
 SPLIT_BYTES = 128 << 20
 
 
@@ -124,3 +126,21 @@ def lookup_join(rows: DataFrame, table: DataFrame, on: list[str], how: str, salt
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*salt_by), F.lit(SALTS)).cast("int"))
     spread = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return salted.join(spread, [*on, "_salt"], how).drop("_salt")
+
+
+def skew_join(rows: DataFrame, table: DataFrame, on: list[str], how: str, salt_by: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Join with a table of unique keys, of which only the counted hot ones are repeated per salt.
+
+    For ``rows`` that are cheap to read twice: their keys are counted first.  There are at most rows / ``hot_rows`` hot
+    keys; all other keys meet in a plain shuffle, so the table is not multiplied.
+    """
+    if fits_broadcast(table):
+        return rows.join(F.broadcast(table), on, how)
+    hot = checkpoint(rows.groupBy(*on).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows).select(*on, F.lit(SALTS).alias("_salts")))
+    if hot.isEmpty():
+        return rows.join(table, on, how)
+    flags = F.broadcast(hot) if fits_broadcast(hot) else hot
+    salts = F.coalesce("_salts", F.lit(1))
+    salted = rows.join(flags, on, "left").withColumn("_salt", F.pmod(F.xxhash64(*salt_by), salts).cast("int")).drop("_salts")
+    spread = table.join(flags, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
+    return salted.join(spread, [*on, "_salt"], how).drop("_salt")

@@ -309,3 +309,16 @@ def test_symbol_census_both_ways(spark, monkeypatch):
 
 def test_tokens_helper(spark):
     assert spark.range(1).select(T.tokens(F.lit(" a  b ")).alias("w")).first()["w"] == ["a", "b"]
+
+
+def test_skew_join_deals_hot_keys(spark, monkeypatch):
+    from corpuswash.plans import scale
+
+    rows = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i}") for i in range(300)] + [(300, "none")], "id long, key string")
+    table = spark.createDataFrame([("hot", 1), *[(f"k{i}", i) for i in range(0, 300, 3)]], "key string, v long")
+    want = sorted((i, "hot" if i % 3 else f"k{i}", 1 if i % 3 else i) for i in range(300))
+    monkeypatch.setattr(scale, "fits_broadcast", lambda df: False)
+    for hot in (10, 1000):
+        assert sorted(tuple(r) for r in scale.skew_join(rows, table, ["key"], "inner", ["id"], hot).select("id", "key", "v").collect()) == want
+        left = scale.skew_join(rows, table, ["key"], "left", ["id"], hot)
+        assert left.count() == 301 and left.where("v is null").count() == 1
