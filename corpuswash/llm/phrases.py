@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuswash.llm.common import prepare, slices, stored
-from corpuswash.plans.scale import lookup_join
+from corpuswash.plans.scale import skew_join
 
 UNKNOWN = "und"
 BLANKS, BREAKS = b"\x20\x09", b".,;:!?\x0a\x0b\x0c\x0d"
@@ -32,12 +32,12 @@ WINDOW = 1 << 19
 #: Bytes of text hashed at a time.
 SLICE = 2 << 20
 #: Distinct fingerprints held before they are handed on, and bytes of text read before phrases are.
-HELD, HELD_BYTES = 1_000_000, 4 << 20
+HELD, HELD_BYTES = 2_000_000, 4 << 20
 #: Bits per frequent fingerprint and the largest bitmap.
 BITS_EACH, MOST_BITS = 16, 28
 MAP_BITS = 32768
 #: Candidates that one task ranks, about.
-RANK_ROWS = 200_000
+RANK_ROWS = 10_000
 
 _BYTE_BASE, _WORD_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 _MASK = (1 << 64) - 1
@@ -220,7 +220,7 @@ def _counting(k: int, maps: list[Bitmap]) -> object:
                 for x in held:
                     held[x] = [merged(x)]
                 size = sum(len(x[0][0]) for x in held.values())
-                if size > HELD // 2:
+                if size > HELD * 3 // 4:
                     yield from flush()
                     size = 0
         yield from flush()
@@ -295,8 +295,8 @@ def scored(phrases: DataFrame) -> DataFrame:
     cuts = candidates.select("lang", "k", "phrase", "a", "w", F.explode(F.sequence(F.lit(1), F.col("k") - 1)).alias("cut"))
     cuts = cuts.select("lang", "k", "phrase", "a", "cut", F.array_join(F.slice("w", F.lit(1), F.col("cut")), " ").alias("first"), F.array_join(F.slice("w", F.col("cut") + 1, F.col("k") - F.col("cut")), " ").alias("rest"))
     part = lambda name, f: phrases.select("lang", F.col("phrase").alias(name), F.col("f").alias(f))
-    both = lookup_join(cuts, part("first", "l"), ["lang", "first"], "inner", ["phrase", "cut"])
-    both = lookup_join(both, part("rest", "r"), ["lang", "rest"], "inner", ["phrase", "cut"])
+    both = stored(skew_join(cuts, part("first", "l"), ["lang", "first"], "inner", ["phrase", "cut"]))
+    both = skew_join(both, part("rest", "r"), ["lang", "rest"], "inner", ["phrase", "cut"])
     score = F.expr("(cast(a as decimal(16,0)) * cast(a as decimal(16,0)) * cast(1000000 as decimal(7,0))) div (cast(l as decimal(16,0)) * cast(r as decimal(16,0)))")
     best = both.withColumn("score", score).groupBy("lang", "k", "phrase", "a").agg(F.min(F.struct("score", "cut", "l", "r")).alias("b"))
     return best.select("lang", "k", "phrase", "a", "b.l", "b.r", F.col("b.score").cast("long").alias("score"))
