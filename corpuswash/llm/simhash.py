@@ -4,8 +4,10 @@ Two jobs share the fingerprinting:
 
 * ``fingerprints`` + ``links`` + ``classes``: 64-bit SimHash, links at a Hamming distance of at most ``max_distance``.
 * ``near_duplicates``: five-word shingles, Jaccard similarity of 0.8 or more.  A distance that wide leaves no useful
-  block of *bits*, so the fingerprint is blocked by *features*: block i is the signature of the shingles of class i.
-  An edited shingle changes one block, so pairs with fewer edits than blocks share one.  Candidates are verified exactly.
+  block of *bits*, so the pigeonhole argument is applied to the shingles that the fingerprint is made of: in any common
+  order two similar sets share one of their first n - ceil(0.8 n) + 1 shingles.  Rare ones come first, so blocks are
+  small; candidates are verified by SimHash distance and exactly.  No pair is lost (but for a SimHash distance five
+  deviations beyond that of a pair at 0.8).
 
 Defined results: a null text is an empty one; no words give the fingerprint 0 and form one class; repeated rows and equal
 texts fall into one class; null ids count as one id; extra columns are kept or ignored, never read; an empty table gives
@@ -21,19 +23,23 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpuswash.llm.common import components, id_of, numbered, prepare, ranked, sized, slices, stored
+from corpuswash.llm.common import components, id_of, numbered, prepare, sized, slices, stored
+from corpuswash.llm.phrases import _BYTE_BASE, _LOWER, _WORD_BASE, WINDOW, Bitmap, _ranges, _salt, bitmap
+from corpuswash.plans.scale import lookup_join
 
 SEED = 42
 HOT = 32
+_BLANK = np.zeros(256, bool)
+_BLANK[[0x20, *range(0x09, 0x0E)]] = True
 SHINGLE, SIMILARITY = 5, 0.8
-#: Shingles per class at the coarse scale, classes looked at per scale, and texts up to which a finer scale is added.
-CLASS_SIZE, CLASSES, SHORT = 8, 24, 64
-#: Blocks up to the first number are compared in full at once, larger ones leader by leader: so many first, then up to
-#: ``MORE`` times the place each round.  A task joins ``CHUNK`` members with as many leaders.
-FULL_BLOCK, LEADERS, MORE, CHUNK = 64, 8, 8, 256
+#: Bytes of text hashed at a time, shingles of a task counted together, and counts that set frequent ones apart.
+SLICE, PART, LEVELS = 2 << 20, 1_000_000, (8, 64, 512, 4096)
+#: Blocks of up to so many texts are compared in full; larger ones with a leader, then with ``TURNS`` more, then the rest,
+#: where a task joins about ``CHUNK`` members with those outside the largest class.
+FULL_BLOCK, TURNS, CHUNK = 24, 2, 256
 #: A pair at 0.8 or more differs in 10 of 64 bits, with a deviation of 3; five deviations more are let through.
 FAR_BITS = 25
 
@@ -129,155 +135,239 @@ def classes(docs: DataFrame, shingle: int = 3, max_distance: int = 2, id_col: st
 # ---- Jaccard 0.8 on five-word shingles ------------------------------------
 
 
-def _features(shingle: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(id, h, same, n, fp, keys): signature, size and SimHash of the whole shingle set, signatures of its classes."""
-    gold = np.uint64(0x9E3779B97F4A7C15)
-
-    def one(digests: bytes) -> tuple[int, int, int, list[int]]:
-        h = np.unique(np.frombuffer(digests, "<u8"))
-        n = len(h)
-        if not n:
-            return 0, 0, 0, []
-        with np.errstate(over="ignore"):
-            order = h * gold  # spreads over classes independently of the digest's own bits
-            order ^= order >> np.uint64(29)
-            order *= gold
-        keys = []
-        scale = max(0, (n // CLASS_SIZE).bit_length() - 1)
-        for s in range(scale, scale + (3 if n <= SHORT else 2)):
-            part = (order >> np.uint64(64 - s)) if s else np.zeros(n, np.uint64)
-            for p in range(min(1 << s, CLASSES)):
-                if len(own := h[part == p]):
-                    keys.append(xxhash.xxh64_intdigest(own.tobytes(), s * CLASSES + p) - (1 << 63))
-        fp = int(np.frombuffer(simhash(h.tobytes()), ">i8")[0])
-        return xxhash.xxh64_intdigest(h.tobytes(), 1) - (1 << 63), n, fp, keys
+def shingle_sets(texts: list[str], k: int) -> list[np.ndarray]:
+    """The distinct hashes of all k-word shingles of each text (A-Z lower-cased; fewer words: the whole sequence).
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for b in slices(whole):
-                rows = [one(shingle_digests(t, shingle)) for t in b.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0), b.column(2), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int64()), pa.array([r[3] for r in rows], pa.list_(pa.int64()))],
-                    ["id", "h", "same", "n", "fp", "keys"],
-                )
+    All texts of a batch are hashed together by prefix polynomials, first the words, then the shingles.
+    """
+    coded = [t.encode("utf-8", "surrogatepass") for t in texts]
+    bounds = np.concatenate([[0], np.cumsum([len(c) + 1 for c in coded])])
+    code = np.frombuffer(b"\n".join([*coded, b""]), np.uint8)
+    starts, ends, values, at = [], [], [], 0
+    while at < len(code):
+        to = min(at + WINDOW, len(code))
+        while to < len(code) and not _BLANK[code[to - 1]]:  # a window ends behind a word
+            more = np.flatnonzero(_BLANK[code[to : to + WINDOW]])
+            to = to + int(more[0]) + 1 if len(more) else min(to + WINDOW, len(code))
+        own = _LOWER[code[at:to]]
+        edge = np.flatnonzero(np.diff((~_BLANK[own]).view(np.int8), prepend=0, append=0))
+        s, e = edge[::2], edge[1::2]
+        values.append(_ranges(own.astype(np.uint64) + np.uint64(1), _BYTE_BASE, s, e))
+        starts.append(s + at), ends.append(e + at)
+        at = to
+    if not starts:
+        return [np.zeros(0, np.uint64)] * len(texts)
+    word = np.concatenate(values)
+    first = np.searchsorted(np.concatenate(starts), bounds)
+    count = np.diff(first)
+    places = np.maximum(count - k + 1, np.minimum(count, 1))
+    begin = np.repeat(first[:-1], places) + np.arange(int(places.sum())) - np.repeat(np.cumsum(places) - places, places)
+    h = _ranges(word, _WORD_BASE + 2 * k, begin, begin + np.repeat(np.minimum(count, k), places))
+    cuts = np.concatenate([[0], np.cumsum(places)]).tolist()
+    return [np.unique(h[a:z]) for a, z in zip(cuts, cuts[1:], strict=False)]
+
+
+def _signature(h: np.ndarray) -> int:
+    return xxhash.xxh64_intdigest(h.tobytes(), 1) - (1 << 63) if len(h) else 0
+
+
+def _repeated(shingle: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(h, c): shingles that stand in several different sets of a part of the task, with their number there."""
 
-    return run
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        seen: set[int] = set()
+        size = 0
 
+        def flush() -> pa.RecordBatch:
+            h, c = np.unique(np.concatenate(held), return_counts=True)
+            keep = c > 1
+            return pa.RecordBatch.from_arrays([pa.array(h[keep].view(np.int64)), pa.array(c[keep].astype(np.int64))], ["h", "c"])
 
-def _sets(shingle: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for b in slices(whole):
-                sets = [np.unique(np.frombuffer(shingle_digests(t, shingle), "<u8")).tobytes() for t in b.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], ["same", "hashes"])
+            for b in slices(whole, most=SLICE):
+                for h in shingle_sets(b.column(1).to_pylist(), shingle):
+                    if (sign := _signature(h)) not in seen:
+                        seen.add(sign)
+                        held.append(h)
+                        size += len(h)
+                if size > PART:
+                    yield flush()
+                    held, seen, size = [], set(), 0
+        if held:
+            yield flush()
 
     return run
 
 
-def _verified(least: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keep = []
-            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(both >= least * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+def frequent(source: DataFrame, shingle: int, levels: tuple[int, ...] = LEVELS) -> list[Bitmap]:
+    """For each level a bitmap of the shingles that may be as frequent.
 
-    return run
+    Any order of the shingles that is the same for all texts gives right results, so estimates do: the counts of parts are
+    added up where a part has the shingle twice.
+    """
+    found = stored(source.mapInArrow(_repeated(shingle), "h long, c long").groupBy("h").agg(F.sum("c").alias("c")).where(F.col("c") >= levels[0]))
+    return [bitmap(found.where(F.col("c") >= x).select(F.lit("").alias("lang"), F.col("h").alias("fp"))) for x in levels]
 
 
-def _unshared(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """(same, own): shingles of each member that no other member has; members without any are left out."""
+def _features(shingle: int, similarity: float, maps: list[Bitmap]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(id, h, same, n, fp, keys): signature, size and SimHash of the shingle set, and its rarest shingles in order.
+
+    Two sets at the similarity share one of their n - ceil(similarity * n) + 1 first shingles in any common order.
+    """
+    salt = _salt("")
+
+    def keys(h: np.ndarray) -> list[int]:
+        level = np.zeros(len(h), np.int8)
+        for m in maps:
+            level += m.has(h, salt)
+        order = np.lexsort((h * np.uint64(0x9E3779B97F4A7C15), level))
+        return h[order[: len(h) - math.ceil(similarity * len(h) - 1e-9) + 1]].view(np.int64).tolist() if len(h) else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for same, hashes in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                h = np.frombuffer(hashes, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), same, np.int64)), pa.array(h)], ["same", "shingle"])
+        for whole in batches:
+            for b in slices(whole, most=SLICE):
+                sets = shingle_sets(b.column(1).to_pylist(), shingle)
+                fps = [int(np.frombuffer(simhash(h.tobytes()), ">i8")[0]) if len(h) else 0 for h in sets]
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0), b.column(2), pa.array([_signature(h) for h in sets], pa.int64()), pa.array([len(h) for h in sets], pa.int64()), pa.array(fps, pa.int64()), pa.array([keys(h) for h in sets], pa.list_(pa.int64()))],
+                    ["id", "h", "same", "n", "fp", "keys"],
+                )
 
-    each = sets.join(members, "same").select("same", "hashes").mapInArrow(run, "same long, shingle long")
-    once = each.groupBy("shingle").agg(F.count("*").alias("times"), F.min("same").alias("same")).where("times = 1")
-    return once.groupBy("same").agg(F.count("*").alias("own"))
+    return run
 
 
-def _placed(block: DataFrame) -> DataFrame:
-    """Places from 1 in each block, central texts first; larger blocks are numbered by a rank over all of them."""
-    small = numbered(block.where(F.col("c") <= FULL_BLOCK), ["key"], [F.desc("central"), F.col("same")], "place")
-    large = ranked(block.where(F.col("c") > FULL_BLOCK).withColumn("less", -F.col("central")), ["key", "less", "same"], "at")
-    first = large.groupBy("key").agg(F.min("at").alias("first"))
-    place = (F.col("at") - F.col("first") + 1).cast("int").alias("place")
-    return small.unionByName(large.join(sized(first), "key").select(*block.columns, place))
+def _sets(shingle: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for b in slices(whole, most=SLICE):
+                sets = [h.tobytes() for h in shingle_sets(b.column(1).to_pylist(), shingle)]
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], ["same", "hashes"])
+
+    return run
 
 
-def _beside(block: DataFrame, lead: DataFrame, before: int, upto: int) -> DataFrame:
-    """Members beside the leaders of their block, dealt out so that a task joins at most about ``CHUNK`` of both."""
-    salts = F.ceil(F.col("c") / CHUNK)
-    chunk = lambda place: F.floor((place - before - 1) / CHUNK)
-    last = chunk(F.least(F.greatest(F.lit(upto), F.lit(FULL_BLOCK)), F.col("c")))
-    members = block.withColumn("salt", F.pmod(F.xxhash64("same"), salts)).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), last)))
-    leaders = lead.withColumn("part", chunk(F.col("place_b"))).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1))).drop("c")
-    return members.join(leaders, ["key", "salt", "part"])
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b, both): hashes that the two sets of a row share."""
+    for b in batches:
+        both = [len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True)) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(both, pa.int64())], ["a", "b", "both"])
+
+
+class _Search:
+    """The candidates of the crowded and the other blocks, and what has been compared so far."""
+
+    def __init__(self, nodes: DataFrame, source: DataFrame, shingle: int, similarity: float) -> None:
+        self.nodes, self.least = nodes, similarity
+        keyed = nodes.select("same", "n", "fp", F.posexplode("keys").alias("pos", "key"))
+        many = stored(keyed.groupBy("key").agg(F.count("*").alias("c")).where("c > 1"))
+        block = lookup_join(keyed, many, ["key"], "inner", ["same"])
+        self.block = stored(block.select("key", "c", "same", "n", "fp", "pos"))
+        wanted = self.block.select("same").distinct()
+        first = nodes.join(wanted, "same").select("same", "first.id", "first.h")
+        picked = source.join(first, ["id", "h"]).select("same", "text").dropDuplicates(["same"])
+        self.sets = stored(picked.mapInArrow(_sets(shingle), "same long, hashes binary"))
+        self.sizes = nodes.select("same", "n")
+        self.done: DataFrame | None = None
+        self.roots = nodes.sparkSession.createDataFrame([], "node long, root long")
+        self.far = FAR_BITS + 64 * math.acos(min(1.0, 2 * similarity / (1 + similarity))) / math.pi - 64 * math.acos(1.6 / 1.8) / math.pi
+
+    def rooted(self, rows: DataFrame) -> DataFrame:
+        return rows.join(self.roots.withColumnRenamed("node", "same"), "same", "left").withColumn("root", F.coalesce("root", "same"))
+
+    def close(self) -> Column:
+        """Whether two members of a block can reach the similarity, by size, by what follows the shared shingle in the
+        common order, and by SimHash distance."""
+        t = self.least
+        size = F.least("n", "n_b") >= t * F.greatest("n", "n_b")
+        rest = F.least(F.col("n") - F.col("pos"), F.col("n_b") - F.col("pos_b")) >= t / (1 + t) * (F.col("n") + F.col("n_b")) - 1e-6
+        return size & rest & (F.bit_count(F.col("fp").bitwiseXOR(F.col("fp_b"))) <= self.far)
+
+    def compare(self, pairs: DataFrame) -> DataFrame:
+        """Compare new pairs (same, same_b) exactly; keeps the links and returns (a, b, gap), a Jaccard distance."""
+        pair = pairs.select(F.greatest("same", "same_b").alias("a"), F.least("same", "same_b").alias("b")).distinct()
+        if self.done is not None:
+            pair = pair.join(self.done.select("a", "b"), ["a", "b"], "left_anti")
+        side = lambda k, h: self.sets.join(self.sizes, "same").select(F.col("same").alias(k), F.col("hashes").alias(h), F.col("n").alias(f"n_{k}"))
+        two = pair.join(side("a", "x"), "a").join(side("b", "y"), "b")
+        got = two.select("a", "b", "x", "y").mapInArrow(_compared, "a long, b long, both long")
+        got = got.join(self.sizes.select(F.col("same").alias("a"), F.col("n").alias("n_a")), "a").join(self.sizes.select(F.col("same").alias("b"), F.col("n").alias("n_b")), "b")
+        gap = 1 - F.col("both") / F.greatest(F.col("n_a") + F.col("n_b") - F.col("both"), F.lit(1))
+        got = stored(got.select("a", "b", gap.alias("gap"), (F.col("both") >= self.least * (F.col("n_a") + F.col("n_b") - F.col("both")) - 1e-9).alias("near")))
+        self.done = got if self.done is None else self.done.unionByName(got)
+        near = self.done.where("near").select("a", "b")
+        self.roots = components(near)
+        return got
+
+    def small(self) -> None:
+        """All pairs of the blocks of up to ``FULL_BLOCK`` members."""
+        few = numbered(self.block.where(F.col("c") <= FULL_BLOCK), ["key"], [F.col("same")], "place")
+        other = few.select("key", *[F.col(x).alias(f"{x}_b") for x in ("same", "n", "fp", "pos", "place")])
+        self.compare(few.join(other, "key").where((F.col("place") > F.col("place_b")) & self.close()))
+
+    def crowded(self) -> None:
+        """Larger blocks: members are compared with leaders first, which joins a family of copies; then every two members
+        that are still apart, unless their distances to the block's first leader differ too much for a link (Jaccard
+        distances obey the triangle inequality)."""
+        block = self.block.where(F.col("c") > FULL_BLOCK)
+        if block.isEmpty():
+            return
+        least = F.min(F.struct("pos", "same", "n", "fp"))
+        leaders = stored(block.groupBy("key").agg(least.alias("l")).select("key", F.col("l.same").alias("same_b")))
+        self.compare(lookup_join(block, leaders, ["key"], "inner", ["same"]).where("same <> same_b"))
+        gaps = lookup_join(block, leaders, ["key"], "inner", ["same"])
+        known = self.done.select("a", "b", "gap")
+        gaps = gaps.withColumn("a", F.greatest("same", "same_b")).withColumn("b", F.least("same", "same_b")).join(known, ["a", "b"], "left")
+        block = stored(gaps.select(*block.columns, F.when(F.col("same") == F.col("same_b"), 0.0).otherwise(F.col("gap")).alias("gap")))
+        names = ("same", "n", "fp", "pos", "root", "gap")
+        for _ in range(TURNS):
+            apart = self._apart(block)
+            if apart.isEmpty():
+                return
+            lead = apart.where("out").groupBy("key").agg(F.min(F.struct("pos", *[x for x in names if x != "pos"])).alias("l"))
+            lead = stored(lead.select("key", *[F.col(f"l.{x}").alias(f"{x}_b") for x in names]))
+            self.compare(lookup_join(apart, lead, ["key"], "inner", ["same"]).where((F.col("root") != F.col("root_b")) & self.close() & self._gap()))
+        apart = self._apart(block)
+        if apart.isEmpty():
+            return
+        # members outside the largest class of a block meet all its members, dealt so that a task joins about CHUNK of these
+        salts = F.ceil(F.col("c") / CHUNK)
+        members = apart.withColumn("salt", F.pmod(F.xxhash64("same"), salts))
+        outside = apart.where("out").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)))
+        outside = outside.select("key", "salt", *[F.col(x).alias(f"{x}_b") for x in (*names, "out")])
+        once = ~F.col("out") | (F.col("same") > F.col("same_b"))
+        self.compare(members.join(outside, ["key", "salt"]).where((F.col("root") != F.col("root_b")) & once & self.close() & self._gap()))
+
+    def _gap(self) -> Column:
+        return F.coalesce(F.abs(F.col("gap") - F.col("gap_b")) <= 1 - self.least + 1e-9, F.lit(True))
+
+    def _apart(self, block: DataFrame) -> DataFrame:
+        """Members of the blocks with more than one class; ``out`` marks those outside the block's largest class."""
+        rows = self.rooted(block)
+        classes = rows.groupBy("key", "root").agg(F.count("*").alias("k"))
+        largest = classes.groupBy("key").agg(F.max_by("root", F.struct("k", "root")).alias("main"), F.count("*").alias("classes"))
+        split = stored(largest.where("classes > 1").select("key", "main"))
+        return stored(lookup_join(rows, split, ["key"], "inner", ["same"]).withColumn("out", F.col("root") != F.col("main")).drop("main"))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, h, group, keep): class of every row and whether it is the one that stays (smallest id, then smallest h).
 
     ``h`` is the hash of the text; rows equal in id and text share one result row.  Equal shingle sets are one node, so
-    thousands of copies cost one row.  In a block of up to ``FULL_BLOCK`` nodes all pairs are compared.  In a larger one
-    the texts that share the most blocks with others lead: all others are compared with them, then with the next ones,
-    until every pair of the block was compared or is in one class.  Pairs are compared by size, SimHash distance and the
-    number of shingles that other members of large blocks have first, then exactly.
+    thousands of copies cost one row.  A node is listed under its rarest shingles, by the pigeonhole argument all that a
+    similar set must share one of; pairs that meet there are compared by size, place and SimHash distance first, then
+    exactly.
     """
     prepare(docs.sparkSession)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     source = docs.select(id_of(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("h"))
-    rows = stored(source.mapInArrow(_features(shingle), "id long, h long, same long, n long, fp long, keys array<long>"))
-    nodes = rows.groupBy("same").agg(F.min(F.struct("id", "h")).alias("first"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("keys").alias("keys"))
-    keyed = nodes.select("same", "n", "fp", F.explode("keys").alias("key"))
-    many = keyed.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
-    block = keyed.join(many, "key")
-    # central texts lead: in a family of copies the least edited one shares the most blocks and matches the most others
-    block = stored(block.join(block.groupBy("same").agg(F.sum("c").alias("central")), "same"))
-    wanted = block.select("same").distinct()
-    first = rows.groupBy("same").agg(F.min(F.struct("id", "h")).alias("first")).join(wanted, "same").select("same", "first.id", "first.h")
-    picked = source.join(first, ["id", "h"]).select("same", "text").dropDuplicates(["same"])
-    sets = stored(picked.mapInArrow(_sets(shingle), "same long, hashes binary"))
-    block = block.join(_unshared(block.where(F.col("c") > FULL_BLOCK).select("same").distinct(), sets), "same", "left")
-    block = block.withColumn("shared", F.col("n") - F.coalesce("own", F.lit(0))).withColumn("root", F.col("same")).drop("own")
-    block = stored(_placed(block))
-    done, found, roots, before, upto = None, None, None, 0, LEADERS
-    far = FAR_BITS + 64 * math.acos(min(1.0, 2 * similarity / (1 + similarity))) / math.pi - 64 * math.acos(1.6 / 1.8) / math.pi
-    while not block.isEmpty():
-        lead = block.where((F.col("place") > before) & (F.col("place") <= F.when(F.col("c") <= FULL_BLOCK, F.lit(FULL_BLOCK)).otherwise(F.lit(upto))))
-        lead = lead.select("key", "c", *[F.col(x).alias(f"{x}_b") for x in ("same", "n", "fp", "shared", "root", "place")])
-        least, most = F.least("n", "n_b"), F.greatest("n", "n_b")
-        close = (least >= similarity * most) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("fp_b"))) <= far)
-        # two sets of a large block have at most in common what the smaller one shares with all members of large blocks
-        bound = F.least("shared", "shared_b") * (1 + similarity) >= similarity * (F.col("n") + F.col("n_b")) - 1e-6
-        close &= (F.col("c") <= FULL_BLOCK) | bound
-        pair = _beside(block, lead, before, upto).where((F.col("place") > F.col("place_b")) & (F.col("root") != F.col("root_b")) & close)
-        pair = pair.select(F.greatest("same", "same_b").alias("a"), F.least("same", "same_b").alias("b")).distinct()
-        if done is not None:
-            pair = pair.join(done, ["a", "b"], "left_anti")
-        pair = stored(pair)
-        with_sets = pair.join(sets.select(F.col("same").alias("a"), F.col("hashes").alias("x")), "a").join(sets.select(F.col("same").alias("b"), F.col("hashes").alias("y")), "b")
-        good = stored(with_sets.select("a", "b", "x", "y").mapInArrow(_verified(similarity), "a long, b long"))
-        done = pair if done is None else done.unionByName(pair)
-        found = good if found is None else found.unionByName(good)
-        roots = components(found)
-        # all members stay as partners of later leaders; a block is done when all have led or all are in one class
-        left = block.where((F.col("c") > FULL_BLOCK) & (F.col("c") > upto)).drop("root")
-        left = left.join(roots.select(F.col("node").alias("same"), "root"), "same", "left").withColumn("root", F.coalesce("root", "same"))
-        open_ = left.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
-        block = stored(left.join(open_, "key", "left_semi"))
-        before, upto = upto, MORE * upto
-    low = nodes.select("same", "first")
-    if roots is not None:
-        low = low.join(roots, low["same"] == roots["node"], "left").select("same", "first", F.coalesce("root", "same").alias("root"))
-    else:
-        low = low.select("same", "first", F.col("same").alias("root"))
-    low = stored(low)
+    sent = docs.sparkSession.sparkContext.broadcast(frequent(source, shingle))
+    rows = stored(source.mapInArrow(lambda b: _features(shingle, similarity, sent.value)(b), "id long, h long, same long, n long, fp long, keys array<long>"))
+    nodes = stored(rows.groupBy("same").agg(F.min(F.struct("id", "h")).alias("first"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("keys").alias("keys")))
+    search = _Search(nodes, source, shingle, similarity)
+    search.small()
+    search.crowded()
+    low = stored(nodes.select("same", "first").join(search.roots.withColumnRenamed("node", "same"), "same", "left").select("same", "first", F.coalesce("root", "same").alias("root")))
     least = low.groupBy("root").agg(F.min("first").alias("group"))
     chosen = low.join(least, "root").select("same", "group")
     own = rows.select("id", "h", "same").distinct().join(chosen, "same")
