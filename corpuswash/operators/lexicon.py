@@ -1,28 +1,30 @@
 """Lexicons and everything that matches text or tokens against them.
 
-Substring matching cuts the text into short overlapping pieces, explodes the characters ahead of
-every position and equi-joins their first few with the lexicon's word prefixes.  A position
-costs the same however many words the lexicon has, and carries no more text than the longest
-word.
+Substring matching hashes every position of the texts inside the scan and keeps those at which a word may begin (a Bloom
+filter over the words' beginnings tells); these are equi-joined with the lexicon, and whole words are compared.  A position
+costs the same however many words the lexicon has and however long they are.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuswash.functions import patterns as P
+from corpuswash.functions import places
 from corpuswash.functions import text as T
 from corpuswash.model import UTTERANCE
+from corpuswash.plans import workers
 from corpuswash.plans.scale import BROADCAST_BYTES, BROADCAST_ROWS, SALTS, checkpoint
 
 # words are joined on 4 to 8 leading characters, as many as the shortest word allows
 PREFIX_MIN = 4
 PREFIX_MAX = 8
-PIECE = 256
+# characters that a place carries
+AHEAD = 256
 INLINE_WORDS = 64
 
 
@@ -79,36 +81,47 @@ class Lexicon:
         return [r["word"] for r in self.df.orderBy("ord").collect()]
 
 
+def beginnings(lexicon: Lexicon) -> places.Beginnings:
+    """The Bloom filter over the words' beginnings: 32 MiB at most reach the driver, however long the list is."""
+    bits = places.Beginnings.bits_for(lexicon.rows)
+    k = max(lexicon.prefix_lens)
+    heads = lexicon.df.select(F.left("word", F.lit(k)).alias("head")).distinct()
+    marks = heads.mapInArrow(places.marked(bits), "part long, bit long")
+    data = np.zeros(max(places.PART, 1 << bits) // 8, np.uint8)
+    for r in marks.groupBy("part").agg(F.bitmap_construct_agg("bit").alias("map")).collect():
+        data[r["part"] * (places.PART // 8) :][: places.PART // 8] = np.frombuffer(r["map"], np.uint8)
+    return places.Beginnings(bits, data, lexicon.prefix_lens)
+
+
 def substring_hits(rows: DataFrame, text: Column, lexicon: Lexicon, key: list[str]) -> DataFrame:
-    """Every occurrence ``(key, end, len, word, ord)`` of a lexicon word; ``end`` counts from 0."""
-    keyed = rows.select(*key, text.alias("_t"))
+    """Every occurrence ``(key, end, len, word, ord)`` of a lexicon word; ``end`` counts from 0.
+
+    A place leaves the scan only if its first characters may begin a word, and carries at most ``AHEAD`` characters.
+    Words are compared after the join on their beginning; longer ones are compared once more with the text itself.
+    """
+    keyed = rows.select(*key, F.coalesce(text, F.lit("")).alias("_t"))
     if lexicon.rows == 0:
         return keyed.where(F.lit(False)).select(
             *key, F.lit(0).alias("end"), F.lit(0).alias("len"), F.lit("").alias("word"), F.lit(0).cast("long").alias("ord")
         )
-    size = max(PIECE, lexicon.max_len)
-    chunks = keyed.withColumn("_c", F.regexp_extract_all("_t", F.lit(f"(?s).{{1,{size}}}"), F.lit(0))).drop("_t")
-    piece = F.transform(
-        "_c",
-        lambda c, i: F.struct(
-            (i * size).alias("base"),
-            F.length(c).alias("own"),
-            F.concat(c, F.left(F.coalesce(F.get("_c", i + 1), F.lit("")), F.lit(lexicon.max_len - 1))).alias("piece"),
-        ),
-    )
-    pieces = chunks.select(*key, F.explode(piece).alias("_p")).select(*key, "_p.*")
-    # usually one prefix length; each further length reads the pieces once more
-    places = []
-    for n in lexicon.prefix_lens:
-        ahead = F.slice(T.leads(F.col("piece"), n, lexicon.max_len), F.lit(1), F.col("own"))
-        at = pieces.select(*key, "base", F.posexplode(ahead).alias("p", "ahead"))
-        places.append(at.withColumn("prefix", F.left("ahead", F.lit(n))))
-    places = reduce(DataFrame.unionAll, places)
+    spark = rows.sparkSession
+    workers.prepare(spark)
+    sent = spark.sparkContext.broadcast(beginnings(lexicon))
+    ahead = min(AHEAD, lexicon.max_len)
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keyed.schema.fields[:-1])
+    at = keyed.mapInArrow(lambda b: places.candidates(sent.value, ahead)(b), f"{kinds}, n int, at int, ahead string")
+    at = at.withColumn("prefix", F.left("ahead", "n"))
     k = max(lexicon.prefix_lens)
     table = lexicon.df.select(F.left("word", F.lit(k)).alias("prefix"), "word", "ord", F.length("word").alias("len"))
-    found = lexicon.join(places, "prefix", "inner", [*key, "base", "p"], table)
-    whole = (F.col("len") <= k) | F.startswith("ahead", "word")
-    return found.where(whole).select(*key, (F.col("base") + F.col("p") + F.col("len") - 1).alias("end"), "len", "word", "ord")
+    found = lexicon.join(at, "prefix", "inner", [*key, "at"], table)
+    if lexicon.max_len > AHEAD:
+        found = found.where(F.startswith("ahead", F.left("word", F.lit(AHEAD))))
+        long = found.where(F.col("len") > AHEAD).join(keyed, key)
+        long = long.where(F.substring("_t", F.col("at") + 1, F.col("len")) == F.col("word"))
+        found = found.where(F.col("len") <= AHEAD).unionByName(long.drop("_t"))
+    else:
+        found = found.where(F.startswith("ahead", "word"))
+    return found.select(*key, (F.col("at") + F.col("len") - 1).alias("end"), "len", "word", "ord")
 
 
 def first_contained(rows: DataFrame, text: Column, lexicon: Lexicon, out: str, key: list[str]) -> DataFrame:
@@ -159,8 +172,23 @@ def removal_lists(rows: DataFrame, text: Column, lexicon: Lexicon, key: list[str
 
 
 def remove_words(text: Column, words: Column) -> Column:
-    """Delete the words one after the other, each wherever it stands at that moment."""
-    return F.aggregate(words, text, lambda acc, w: F.replace(acc, w, F.lit("")))
+    """Delete the words one after the other, each wherever it stands at that moment.
+
+    Words found absent are not looked for again until the text changes, so a text is read about once per different word
+    and change instead of once per hit.  (Taking a word out may bring it forth again: a change empties the list.)
+    """
+    none = F.array().cast("array<string>")
+
+    def step(acc: Column, w: Column) -> Column:
+        def cut(shorter: Column) -> Column:
+            same = F.octet_length(shorter) == F.octet_length(acc["text"])
+            absent = F.when(same, F.array_append(acc["absent"], w)).otherwise(none)
+            return F.struct(shorter.alias("text"), absent.alias("absent"))
+
+        return F.when(F.array_contains(acc["absent"], w), acc).otherwise(T.let(F.replace(acc["text"], w, F.lit("")), cut))
+
+    start = F.struct(text.alias("text"), none.alias("absent"))
+    return F.aggregate(words, start, step, lambda a: a["text"])
 
 
 def remove_substrings(rows: DataFrame, lexicon: Lexicon, out: str = "black_word", key: list[str] | None = None) -> DataFrame:

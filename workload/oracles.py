@@ -319,6 +319,12 @@ def oracle_sql() -> dict[str, str]:
     out["substring_hits"] = (
         f"WITH RECURSIVE {U}, {BLACK}, {removal('u')} SELECT {KEYS}, CAST(fin AS INTEGER) AS fin, word FROM occ"
     )
+    out["large_lexicon"] = (
+        f"WITH {U}, big AS MATERIALIZED ({lexicon_sql('documents', LETTERS + '{9,}')}), "
+        f"places AS (SELECT {KEYS}, unnest(list_transform(range(1, length(text) - 7), lambda i: substr(text, i, 64))) AS ahead FROM u), "
+        f"found AS (SELECT {KEYS}, word FROM places JOIN big ON left(ahead, 9) = left(word, 9) AND starts_with(ahead, word)) "
+        f"SELECT {KEYS}, count(*) AS hits, count(DISTINCT word) AS words, min(lpad(CAST(1000 - length(word) AS VARCHAR), 4, '0') || word)[5:] AS longest FROM found GROUP BY {KEYS}"
+    )
     listed = f"SELECT {KEYS}, list(word ORDER BY fin, -length(word)) AS words FROM occ GROUP BY {KEYS}"
     out["substring_remove"] = (
         f"WITH RECURSIVE {U}, {BLACK}, {removal('u')}, l AS MATERIALIZED ({listed}) "

@@ -75,6 +75,11 @@ def english(spark: SparkSession, sf: str) -> Lexicon:
     return Lexicon.of(_words(spark, sf, "documents", "[A-Za-z]+", cond="lang = 'en'"))
 
 
+def large(spark: SparkSession, sf: str) -> Lexicon:
+    """Every long word of the documents: over 110 000 from sf0.1 on."""
+    return Lexicon.of(_words(spark, sf, "documents", LETTERS + "{9,}"))
+
+
 def symbols(spark: SparkSession, sf: str) -> Lexicon:
     return Lexicon.of(_words(spark, sf, "documents", r"[^A-Za-z0-9 \n]", lower=False))
 
@@ -161,6 +166,13 @@ def substring_hits(spark: SparkSession, sf: str) -> DataFrame:
     return hits.select(*KEYS, F.col("end").cast("int").alias("fin"), "word")
 
 
+def large_lexicon(spark: SparkSession, sf: str) -> DataFrame:
+    """Occurrences of a very long word list, counted per utterance, with the longest word found."""
+    hits = lexicon.substring_hits(_u(spark, sf), F.col("text"), large(spark, sf), UTTERANCE)
+    longest = F.min(F.struct((-F.col("len")).alias("n"), "word"))
+    return hits.groupBy(*KEYS).agg(F.count("*").alias("hits"), F.count_distinct("word").alias("words"), longest["word"].alias("longest"))
+
+
 def substring_remove(spark: SparkSession, sf: str) -> DataFrame:
     return lexicon.remove_substrings(_u(spark, sf), black(spark, sf)).select(*KEYS, "text", "black_word")
 
@@ -371,7 +383,7 @@ def clean_everything(spark: SparkSession, sf: str) -> DataFrame:
 _NAMED: list[Query] = [
     title_cut, emoji_strip, emoji_first, repost_split, vote_drop, repeats_reduced, repeats_found, char_runs_capped,
     uniform_sessions, uniform_drop, lexicon_load, lexicon_first_n, special_topic, substring_first, substring_set,
-    alternation_last, substring_hits, substring_remove, word_blacklist, alpha_noise, confused_word, word_repetition,
+    alternation_last, substring_hits, large_lexicon, substring_remove, word_blacklist, alpha_noise, confused_word, word_repetition,
     tokenised, segment_sessions, segment_lines, multi_turn_segments, short_response_trim, rename_names, ad_responses,
     ad_ranking, ad_cut, trigram_counts, generic_trigrams, generic_cut, audit_entries, audit_counts, audit_deltas,
     word_counts, word_utterances, corpus_statistics, raw_statistics, mention_sessions, symbol_census, reconcile,
