@@ -29,7 +29,7 @@ from corpuswash.plans.scale import SALTS
 SLICE, LINKS = 1 << 20, 2_000_000
 #: Pairs held before they are handed on, and pairs that are broadcast at most (12 bytes each).
 HELD, BROADCAST_PAIRS = 1_500_000, 6_000_000
-MEMORY = 48 << 20
+MEMORY = 72 << 20
 #: Bits of an id in a pair.
 BITS = 20
 _LOW = (1 << BITS) - 1
@@ -67,12 +67,12 @@ class Aligner:
         """Sizes of the slices on either side; None if one side does not spell the text."""
         spelled_a, spelled_b = self.spelled
         whole = text.encode("utf-8", "surrogatepass")
-        if b"".join([spelled_a[i] for i in a.tolist()]) != whole or b"".join([spelled_b[i] for i in b.tolist()]) != whole:
+        if b"".join(map(spelled_a.__getitem__, a.tolist())) != whole or b"".join(map(spelled_b.__getitem__, b.tolist())) != whole:
             return None
         ends_a, ends_b = np.cumsum(self.sizes[0][a]).tolist(), np.cumsum(self.sizes[1][b]).tolist()
         index_a, index_b = dict(zip(ends_a, range(1, len(a) + 1), strict=True)), dict(zip(ends_b, range(1, len(b) + 1), strict=True))
-        both = sorted(index_a.keys() & index_b.keys())
-        return tuple(np.diff(np.array([index[x] for x in both], np.int64), prepend=0) for index in (index_a, index_b))  # type: ignore[return-value]
+        both = [x for x in index_a if x in index_b]  # ends rise, so the common keys are sorted
+        return tuple(np.diff(np.fromiter(map(index.__getitem__, both), np.int64, len(both)), prepend=0) for index in (index_a, index_b))  # type: ignore[return-value]
 
     def digest(self, a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> str:
         """SHA-256 of the groups written as ``a1,a2|b1;a3|b2``."""
@@ -84,7 +84,7 @@ class Aligner:
         code[before_b + before_a + size_a + size_b - 1] += 2
         names, h = self.names, sha256()
         for at in range(0, len(code), 1 << 18):
-            part = "".join([names[i] for i in code[at : at + (1 << 18)].tolist()])
+            part = "".join(map(names.__getitem__, code[at : at + (1 << 18)].tolist()))
             h.update((part[:-1] if at + (1 << 18) >= len(code) else part).encode())
         return h.hexdigest()
 
