@@ -1,7 +1,7 @@
 """Cross-tokenizer alignment: groups of tokens of two tokenizers between the byte offsets where both end a token.
 
-Per text the cumulative ends of either side become an end-to-index dictionary; the sorted keys that both hold slice the
-two id lists into groups, and every slice links all its ids of one side with all of the other.  Two passes: the first
+Per text the cumulative ends of one side become an end-to-index dictionary, in which those of the other are looked up; the
+sorted keys that both hold slice the two id lists into groups, and every slice links all its ids of one side with all of the other.  Two passes: the first
 writes ids, slices and digests, and counts in how many documents each linked id pair stands; the second reads ids and
 slices back and looks the counts up.  The table of pairs goes to all tasks if it was measured small, else the pairs of
 each document are joined with it, salted, and added up again.
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from hashlib import sha256
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -70,9 +71,11 @@ class Aligner:
         if b"".join(map(spelled_a.__getitem__, a.tolist())) != whole or b"".join(map(spelled_b.__getitem__, b.tolist())) != whole:
             return None
         ends_a, ends_b = np.cumsum(self.sizes[0][a]).tolist(), np.cumsum(self.sizes[1][b]).tolist()
-        index_a, index_b = dict(zip(ends_a, range(1, len(a) + 1), strict=True)), dict(zip(ends_b, range(1, len(b) + 1), strict=True))
-        both = [x for x in index_a if x in index_b]  # ends rise, so the common keys are sorted
-        return tuple(np.diff(np.fromiter(map(index.__getitem__, both), np.int64, len(both)), prepend=0) for index in (index_a, index_b))  # type: ignore[return-value]
+        index_a = dict(zip(ends_a, range(1, len(a) + 1), strict=True))
+        # the other side's ends rise, so the common keys are found in order; their place there is its own index
+        at = np.fromiter(map(index_a.get, ends_b, repeat(0)), np.int64, len(b))
+        index_b = np.flatnonzero(at) + 1
+        return np.diff(at[index_b - 1], prepend=0), np.diff(index_b, prepend=0)
 
     def digest(self, a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> str:
         """SHA-256 of the groups written as ``a1,a2|b1;a3|b2``."""
