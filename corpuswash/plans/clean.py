@@ -14,6 +14,7 @@ from corpuswash.operators import blocks as B
 from corpuswash.operators import corpus, lexicon, sessions
 from corpuswash.operators.lexicon import Lexicon
 from corpuswash.operators.rowchain import HIT, apply_rule, apply_rules, explode_hits, hit, prepare
+from corpuswash.operators.segmentation import Dictionary, segmented
 from corpuswash.operators.rules import BACK_RULES, FINAL_STRIP, FRONT_RULES, TM_RULE, Rule
 from corpuswash.plans.config import CleanConfig
 from corpuswash.plans.scale import checkpoint, fence, shared, tune
@@ -40,10 +41,12 @@ class Cleaned:
 
 @dataclass(frozen=True)
 class Extensions:
-    """User rules run after the built-in utterance rules; ``tokenizer`` replaces white space."""
+    """User rules run after the built-in utterance rules; ``tokenizer`` replaces white space, and ``dictionary`` cuts
+    text written without blanks into words."""
 
     rules: tuple[Rule, ...] = field(default=())
     tokenizer: Callable[[Column], Column] = T.tokens
+    dictionary: Dictionary | None = None
 
 
 def _chosen(rules: tuple[Rule, ...], cfg: CleanConfig) -> list[Rule]:
@@ -113,7 +116,10 @@ def clean_utterances(rows: DataFrame, cfg: CleanConfig, lex: Lexicons = Lexicons
 
 
 def _word_level(rows: DataFrame, cfg: CleanConfig, lex: Lexicons, ext: Extensions, key: list[str]) -> DataFrame:
-    rows = rows.withColumn("_w", ext.tokenizer(F.col("text")))
+    if ext.dictionary is not None:
+        rows = segmented(rows, F.col("text"), ext.dictionary, "_w", key)
+    else:
+        rows = rows.withColumn("_w", ext.tokenizer(F.col("text")))
     rows = rows.withColumn("text", F.array_join("_w", " "))
     english = lex.english if cfg.no_alpha_noise else None
     black = lex.word_blacklist if cfg.no_word_blacklist else None

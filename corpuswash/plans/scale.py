@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,6 +45,18 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Write as Parquet into the shared checkpoint folder and read back: a cut of the lineage in columns, which later
+    reads may prune."""
+    spark = df.sparkSession
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        checkpoint(spark.range(0))
+    path = f"{sc.getCheckpointDir()}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def ranked(df: DataFrame, by: list[str], name: str) -> DataFrame:
     """Number all rows from 0 in the order of ``by``.
 

@@ -7,8 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpuswash.functions import places
-from corpuswash.operators import lexicon
+from corpuswash.operators import lexicon, segmentation
 from corpuswash.operators.lexicon import Lexicon
+from corpuswash.plans.clean import Extensions, Lexicons, clean
+from corpuswash.plans.config import CleanConfig
 
 
 def words_frame(spark, words):
@@ -99,3 +101,57 @@ def test_removal_equals_one_word_after_the_other(spark, seed):
         for *_, w in found:
             out = out.replace(w, "")
         assert got[i] == (out, found[-1][2] if found else None)
+
+
+# ---- words of unspaced text ---------------------------------------------------
+
+
+def plain_path(text, costs, unknown):
+    """All splits of a short text: cheapest, then fewest words, then by the lengths from the end, longer first."""
+    def splits(t):
+        if not t:
+            yield []
+        for n in range(1, len(t) + 1):
+            if n == 1 or t[:n] in costs:
+                for rest in splits(t[n:]):
+                    yield [t[:n], *rest]
+
+    price = lambda w: min(costs.get(w, unknown), unknown) if len(w) == 1 else costs[w]
+    return min(splits(text), key=lambda s: (sum(map(price, s)), len(s), [-len(w) for w in reversed(s)]))
+
+
+def test_best_path_against_all_splits():
+    rng = random.Random(3)
+    for _ in range(300):
+        words = {"".join(rng.choice("天地人abc") for _ in range(rng.randint(1, 4))) for _ in range(rng.randint(0, 12))}
+        costs = {w: rng.randint(0, 40) * 10 for w in words}
+        text = "".join(rng.choice("天地人abc") for _ in range(rng.randint(1, 9)))
+        hits = [(p, len(w), c) for w, c in costs.items() for p in range(len(text)) if text.startswith(w, p)]
+        assert segmentation.words_of(text, hits, 300, whole=True) == plain_path(text, costs, 300)
+
+
+def test_words_of_chinese_text_reach_the_word_rules(spark):
+    counted = [("今天", 50), ("天气", 40), ("真", 30), ("好", 60), ("今", 3), ("天", 5), ("气", 2), ("真好", 9), ("坏话", 1), ("坏 话", 9), ("", 4), ("天气", 10), ("零", 0)]
+    words = segmentation.Dictionary.of(spark.createDataFrame(counted, "word string, count long"))
+    rows = [(0, "今天天气真好 ok真的,今天"), (1, "你说坏话"), (2, None), (3, ""), (4, "plain words"), (5, "天" * 5000), (6, " 今天\n天气 ")]
+    df = spark.createDataFrame([("d", "f", 0, i, 0, t) for i, t in rows], "dataset string, file_id string, session_id long, turn long, part int, text string")
+    key = ["dataset", "file_id", "session_id", "turn", "part"]
+    out = segmentation.segmented(df, F.col("text"), words, "w", key)
+    got = {r["turn"]: r["w"] for r in out.collect()}
+    assert got[0] == ["今天", "天气", "真好", "ok", "真", "的", ",", "今天"]
+    assert got[1] == ["你", "说", "坏话"]
+    assert got[2] == got[3] == []
+    assert got[4] == ["plain", "words"] and got[5] == ["天"] * 5000 and got[6] == ["今天", "天气"]
+    bad = words_frame(spark, ["坏话", "天"])
+    facts = lexicon.word_facts(out, F.col("w"), key, blacklist=bad).collect()
+    assert sorted((r["turn"], r["black_token"]) for r in facts) == [(1, "坏话"), (5, "天")]
+    assert segmentation.segmented(df.limit(0), F.col("text"), words, "w", key).collect() == []
+
+
+def test_the_job_uses_the_dictionary(spark):
+    words = segmentation.Dictionary.of(spark.createDataFrame([("天气", 5), ("坏话", 5), ("说", 5)], "word string, count long"))
+    df = spark.createDataFrame([("d", "f", 0, i, 0, t) for i, t in enumerate(["说坏话", "天气好", "hello there"])], "dataset string, file_id string, session_id long, turn long, part int, text string")
+    cfg = CleanConfig().on("no_word_blacklist", "yda_dedupl")
+    lex = Lexicons(word_blacklist=words_frame(spark, ["坏话"]))
+    got = sorted((r["turn"], r["text"]) for r in clean(df, cfg, lex, Extensions(dictionary=words)).segments.collect())
+    assert got == [(1, "天气 好"), (2, "hello there")]

@@ -325,6 +325,34 @@ def oracle_sql() -> dict[str, str]:
         f"found AS (SELECT {KEYS}, word FROM places JOIN big ON left(ahead, 9) = left(word, 9) AND starts_with(ahead, word)) "
         f"SELECT {KEYS}, count(*) AS hits, count(DISTINCT word) AS words, min(lpad(CAST(1000 - length(word) AS VARCHAR), 4, '0') || word)[5:] AS longest FROM found GROUP BY {KEYS}"
     )
+    out["unspaced_words"] = f"""
+WITH RECURSIVE tokens AS (SELECT unnest({tokens("text")}) AS word FROM conversations),
+counted AS (SELECT word, count(*) AS n, sum(count(*)) OVER () AS total FROM tokens GROUP BY word),
+dict AS MATERIALIZED (SELECT word, length(word) AS size, CAST(round(ln(CAST(total AS DOUBLE) / n) * 1000) AS BIGINT) AS cost FROM counted),
+unseen AS (SELECT CAST(round(ln(CAST(10 * count(*) AS DOUBLE)) * 1000) AS BIGINT) AS cost FROM tokens),
+texts AS MATERIALIZED (SELECT conv_id, turn, {tight("text")} AS t FROM conversations),
+runs AS (SELECT conv_id, turn, unnest(string_split_regex(t, '\\s+')) AS run, generate_subscripts(string_split_regex(t, '\\s+'), 1) AS k FROM texts),
+edges AS MATERIALIZED (
+  SELECT DISTINCT run, i + size - 1 AS fin, size, cost
+  FROM (SELECT run, i, unnest(range(1, least((SELECT max(size) FROM dict), length(run) - i + 1) + 1)) AS size0, substr(run, i, size0) AS word
+        FROM (SELECT run, unnest(range(1, length(run) + 1)) AS i FROM (SELECT DISTINCT run FROM runs) d) p) s JOIN dict USING (word)
+  UNION ALL
+  SELECT DISTINCT run, unnest(range(1, length(run) + 1)), 1, (SELECT cost FROM unseen) FROM runs
+),
+walk AS (
+  SELECT DISTINCT run, 0 AS i, [[0, 0, 0]::BIGINT[]] AS best FROM runs
+  UNION ALL
+  SELECT w.run, w.i + 1, list_append(any_value(w.best), min([w.best[w.i + 2 - e.size][1] + e.cost, w.best[w.i + 2 - e.size][2] + 1, -e.size]))
+  FROM walk w JOIN edges e ON e.run = w.run AND e.fin = w.i + 1 GROUP BY w.run, w.i
+),
+paths AS MATERIALIZED (SELECT run, i, best FROM walk WHERE i = length(run)),
+back AS (
+  SELECT run, best, i AS fin, i + best[i + 1][3] AS start FROM paths WHERE i > 0
+  UNION ALL
+  SELECT run, best, start, start + best[start + 1][3] FROM back WHERE start > 0
+),
+cut AS (SELECT run, string_agg(substr(run, start + 1, fin - start), '|' ORDER BY fin) AS words FROM back GROUP BY run)
+SELECT conv_id, turn, coalesce(string_agg(words, '|' ORDER BY k), '') AS words FROM runs LEFT JOIN cut USING (run) GROUP BY conv_id, turn"""
     listed = f"SELECT {KEYS}, list(word ORDER BY fin, -length(word)) AS words FROM occ GROUP BY {KEYS}"
     out["substring_remove"] = (
         f"WITH RECURSIVE {U}, {BLACK}, {removal('u')}, l AS MATERIALIZED ({listed}) "

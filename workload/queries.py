@@ -12,7 +12,7 @@ from corpuswash.functions import text as T
 from corpuswash.model import SEGMENT, SESSION, UTTERANCE
 from corpuswash.operators import audit as A
 from corpuswash.operators import blocks as B
-from corpuswash.operators import classify, corpus, lexicon, sessions, stats
+from corpuswash.operators import classify, corpus, lexicon, segmentation, sessions, stats
 from corpuswash.operators.lexicon import Lexicon
 from corpuswash.operators.rowchain import apply_named
 from corpuswash.operators.rules import RULES
@@ -202,6 +202,16 @@ def tokenised(spark: SparkSession, sf: str) -> DataFrame:
     return _u(spark, sf).select(*KEYS, F.array_join(T.tokens(F.col("text")), " ").alias("text"))
 
 
+def unspaced_words(spark: SparkSession, sf: str) -> DataFrame:
+    """Dialogue turns with their blanks taken out, cut again by a dictionary of all words of the dialogues."""
+    tune(spark)
+    chats = spark.read.parquet(f"{sf}/conversations.parquet").select("conv_id", "turn", "text")
+    words = chats.select(F.explode(T.tokens(F.col("text"))).alias("word")).groupBy("word").agg(F.count("*").alias("count"))
+    words = segmentation.Dictionary.of(words)
+    rows = segmentation.segmented(chats, T.tight(F.col("text")), words, "words", ["conv_id", "turn"], whole=True)
+    return rows.select("conv_id", "turn", F.array_join("words", "|").alias("words"))
+
+
 def segment_sessions(spark: SparkSession, sf: str) -> DataFrame:
     rows, long = _t(spark, sf)
     return sessions.segment(rows, long).select(*SEGMENT, "turn", "text")
@@ -384,7 +394,7 @@ _NAMED: list[Query] = [
     title_cut, emoji_strip, emoji_first, repost_split, vote_drop, repeats_reduced, repeats_found, char_runs_capped,
     uniform_sessions, uniform_drop, lexicon_load, lexicon_first_n, special_topic, substring_first, substring_set,
     alternation_last, substring_hits, large_lexicon, substring_remove, word_blacklist, alpha_noise, confused_word, word_repetition,
-    tokenised, segment_sessions, segment_lines, multi_turn_segments, short_response_trim, rename_names, ad_responses,
+    tokenised, unspaced_words, segment_sessions, segment_lines, multi_turn_segments, short_response_trim, rename_names, ad_responses,
     ad_ranking, ad_cut, trigram_counts, generic_trigrams, generic_cut, audit_entries, audit_counts, audit_deltas,
     word_counts, word_utterances, corpus_statistics, raw_statistics, mention_sessions, symbol_census, reconcile,
     label_counts, inoffensive_texts, offensive_by_counts, clean_basic, clean_basic_words, clean_basic_statistics, clean_full, clean_everything,
