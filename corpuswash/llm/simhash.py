@@ -36,7 +36,7 @@ _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
 SHINGLE, SIMILARITY = 5, 0.8
 #: Bytes of text hashed at a time, shingles of a task counted together, and counts that set frequent ones apart.
-SLICE, PART, LEVELS = 2 << 20, 1_000_000, (8, 64, 512, 4096)
+SLICE, PART, LEVELS = 1 << 20, 600_000, (8, 64, 512, 4096)
 #: Blocks of up to so many texts are compared in full; larger ones with a leader, then with ``TURNS`` more, then the rest,
 #: where a task joins about ``CHUNK`` members with those outside the largest class.
 FULL_BLOCK, TURNS, CHUNK = 24, 2, 256
@@ -254,23 +254,55 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(both, pa.int64())], ["a", "b", "both"])
 
 
+def _shared(sent: object) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(key, same, n, fp, pos) of (same, n, fp, keys), for the keys that several nodes may have."""
+    salt = _salt("")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = sent.value  # type: ignore[attr-defined]
+        for b in batches:
+            lists = b.column(3)
+            key = lists.flatten().to_numpy()
+            size = np.diff(lists.offsets.to_numpy())
+            node = np.repeat(np.arange(len(size)), size)
+            pos = np.arange(len(key)) - np.repeat(np.cumsum(size) - size, size)
+            keep = np.flatnonzero(known.has(key.view(np.uint64), salt))
+            taken = [b.column(k).take(pa.array(node[keep])) for k in range(3)]
+            yield pa.RecordBatch.from_arrays([pa.array(key[keep]), *taken, pa.array(pos[keep].astype(np.int32))], ["key", "same", "n", "fp", "pos"])
+
+    return run
+
+
 class _Search:
     """The candidates of the crowded and the other blocks, and what has been compared so far."""
 
     def __init__(self, nodes: DataFrame, source: DataFrame, shingle: int, similarity: float) -> None:
-        self.nodes, self.least = nodes, similarity
-        keyed = nodes.select("same", "n", "fp", F.posexplode("keys").alias("pos", "key"))
-        many = stored(keyed.groupBy("key").agg(F.count("*").alias("c")).where("c > 1"))
-        block = lookup_join(keyed, many, ["key"], "inner", ["same"])
-        self.block = stored(block.select("key", "c", "same", "n", "fp", "pos"))
-        wanted = self.block.select("same").distinct()
-        first = nodes.join(wanted, "same").select("same", "first.id", "first.h")
-        picked = source.join(first, ["id", "h"]).select("same", "text").dropDuplicates(["same"])
+        self.least = similarity
+        self.far = FAR_BITS + 64 * math.acos(min(1.0, 2 * similarity / (1 + similarity))) / math.pi - 64 * math.acos(1.6 / 1.8) / math.pi
+        spark = nodes.sparkSession
+        many = stored(nodes.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("c")).where("c > 1"))
+        full = stored(many.where(F.col("c") > FULL_BLOCK))
+        # only keys of several nodes are listed; the few others that the bitmap lets through meet nobody
+        sent = spark.sparkContext.broadcast(bitmap(many.select(F.lit("").alias("lang"), F.col("key").alias("fp"))))
+        listed = nodes.select("same", "n", "fp", "keys").mapInArrow(_shared(sent), "key long, same long, n long, fp long, pos int")
+        self.block = stored(listed)
+        self.full = stored(lookup_join(self.block, full, ["key"], "inner", ["same"]).select("key", "c", "same", "n", "fp", "pos"))
+        self.pairs = stored(self._few(full))
+        wanted = self.pairs.select(F.explode(F.array("same", "same_b")).alias("same")).unionByName(self.full.select("same")).distinct()
+        first = stored(nodes.join(wanted, "same").select("same", "n", "first.id", "first.h"))
+        self.sizes = first.select("same", "n")
+        slim = first.select("same", "id", "h")
+        picked = source.join(sized(slim), ["id", "h"]).select("same", "text").dropDuplicates(["same"])
         self.sets = stored(picked.mapInArrow(_sets(shingle), "same long, hashes binary"))
-        self.sizes = nodes.select("same", "n")
         self.done: DataFrame | None = None
-        self.roots = nodes.sparkSession.createDataFrame([], "node long, root long")
-        self.far = FAR_BITS + 64 * math.acos(min(1.0, 2 * similarity / (1 + similarity))) / math.pi - 64 * math.acos(1.6 / 1.8) / math.pi
+        self.roots = spark.createDataFrame([], "node long, root long")
+
+    def _few(self, full: DataFrame) -> DataFrame:
+        """All pairs of the blocks of up to ``FULL_BLOCK`` members that can be near."""
+        rows = self.block.join(sized(full.select("key")), "key", "left_anti")
+        few = numbered(rows, ["key"], [F.col("same")], "place")
+        other = few.select("key", *[F.col(x).alias(f"{x}_b") for x in ("same", "n", "fp", "pos", "place")])
+        return few.join(other, "key").where((F.col("place") > F.col("place_b")) & self.close()).select("same", "same_b").distinct()
 
     def rooted(self, rows: DataFrame) -> DataFrame:
         return rows.join(self.roots.withColumnRenamed("node", "same"), "same", "left").withColumn("root", F.coalesce("root", "same"))
@@ -299,17 +331,11 @@ class _Search:
         self.roots = components(near)
         return got
 
-    def small(self) -> None:
-        """All pairs of the blocks of up to ``FULL_BLOCK`` members."""
-        few = numbered(self.block.where(F.col("c") <= FULL_BLOCK), ["key"], [F.col("same")], "place")
-        other = few.select("key", *[F.col(x).alias(f"{x}_b") for x in ("same", "n", "fp", "pos", "place")])
-        self.compare(few.join(other, "key").where((F.col("place") > F.col("place_b")) & self.close()))
-
     def crowded(self) -> None:
         """Larger blocks: members are compared with leaders first, which joins a family of copies; then every two members
         that are still apart, unless their distances to the block's first leader differ too much for a link (Jaccard
         distances obey the triangle inequality)."""
-        block = self.block.where(F.col("c") > FULL_BLOCK)
+        block = self.full
         if block.isEmpty():
             return
         least = F.min(F.struct("pos", "same", "n", "fp"))
@@ -362,10 +388,13 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: float =
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     source = docs.select(id_of(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("h"))
     sent = docs.sparkSession.sparkContext.broadcast(frequent(source, shingle))
-    rows = stored(source.mapInArrow(lambda b: _features(shingle, similarity, sent.value)(b), "id long, h long, same long, n long, fp long, keys array<long>"))
-    nodes = stored(rows.groupBy("same").agg(F.min(F.struct("id", "h")).alias("first"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("keys").alias("keys")))
+    rows = source.mapInArrow(lambda b: _features(shingle, similarity, sent.value)(b), "id long, h long, same long, n long, fp long, keys array<long>")
+    rows = stored(rows.withColumn("at", F.monotonically_increasing_id()))
+    # one row stands for each set; the lists of keys are not shuffled to find it
+    first = stored(rows.groupBy("same").agg(F.min(F.struct("id", "h", "at")).alias("first")).select(F.col("first.at").alias("at"), F.struct("first.id", "first.h").alias("first")))
+    nodes = rows.join(sized(first), "at").select("same", "first", "n", "fp", "keys")
     search = _Search(nodes, source, shingle, similarity)
-    search.small()
+    search.compare(search.pairs)
     search.crowded()
     low = stored(nodes.select("same", "first").join(search.roots.withColumnRenamed("node", "same"), "same", "left").select("same", "first", F.coalesce("root", "same").alias("root")))
     least = low.groupBy("root").agg(F.min("first").alias("group"))
