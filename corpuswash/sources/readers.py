@@ -7,19 +7,22 @@ from pyspark.sql import functions as F
 
 from corpuswash.functions import text as T
 from corpuswash.model import to_utterances
-from corpuswash.plans.scale import ranked
+from corpuswash.plans.scale import SPLIT_BYTES, ranked
+from corpuswash.sources import instances as json_pieces
 
 BOM = "\ufeff"
 
 
-def _path_columns(df: DataFrame) -> DataFrame:
+def _names(path: Column) -> list[Column]:
     """``dataset`` is the folder of a file, ``file_id`` its ``dataset_name`` without ``.jsonl``."""
-    parts = F.split(F.col("_metadata.file_path"), "/")
-    folder, name = F.element_at(parts, -2), F.element_at(parts, -1)
-    stem = F.regexp_replace(F.regexp_replace(F.url_decode(name), r"\.gz$", ""), r"\.jsonl$", "")
-    return df.select(
-        F.url_decode(folder).alias("dataset"), F.concat_ws("_", F.url_decode(folder), stem).alias("file_id"), "*"
-    )
+    parts = F.split(path, "/")
+    folder, name = F.url_decode(F.element_at(parts, -2)), F.url_decode(F.element_at(parts, -1))
+    stem = F.regexp_replace(F.regexp_replace(name, r"\.gz$", ""), r"\.jsonl$", "")
+    return [folder.alias("dataset"), F.concat_ws("_", folder, stem).alias("file_id")]
+
+
+def _path_columns(df: DataFrame) -> DataFrame:
+    return df.select(*_names(F.col("_metadata.file_path")), "*")
 
 
 def _session_id() -> Column:
@@ -65,8 +68,19 @@ def malformed_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return _lines(spark, paths).where(bad).groupBy("dataset", "file_id").agg(F.count("*").alias("lines"))
 
 
-def instances(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """``{"type": ..., "instances": [{"text": ...}]}`` files: every non-blank text is a session."""
+def instances(spark: SparkSession, paths: str | list[str], split: bool | None = None) -> DataFrame:
+    """``{"type": ..., "instances": [{"text": ...}]}`` files: every non-blank text is a session.
+
+    A file is one JSON document.  ``split`` reads it by many tasks (``sources/instances.py``); by default that is done as
+    soon as one file is larger than a task's share.  Both ways give the same rows.
+    """
+    if split is None:
+        split = _largest(spark, paths) > SPLIT_BYTES
+    if split:
+        found = json_pieces.texts(spark, paths)
+        names = _names(F.col("file"))
+        texts = found.select(*names, F.col("place").alias("session_id"), T.strip(F.col("text")).alias("text")).where("text != ''")
+        return to_utterances(texts, "session_id", None, "text", "dataset", "file_id")
     schema = "type string, instances array<struct<text:string>>"
     files = _path_columns(spark.read.schema(schema).option("multiLine", True).json(paths))
     texts = files.select("dataset", "file_id", F.posexplode("instances").alias("session_id", "i"))
@@ -74,6 +88,18 @@ def instances(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return to_utterances(texts, "session_id", None, "text", "dataset", "file_id")
 
 
+def _largest(spark: SparkSession, paths: str | list[str]) -> int:
+    """Bytes of the largest file."""
+    jvm, conf, most = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), 0
+    for p in [paths] if isinstance(paths, str) else paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        store = path.getFileSystem(conf)
+        for status in store.globStatus(path) or []:
+            own = store.listStatus(status.getPath()) if status.isDirectory() else [status]
+            most = max([most, *(x.getLen() for x in own)])
+    return most
+
+
 def raw_tree(spark: SparkSession, root: str, dataset: str = "*") -> DataFrame:
     """The two-level tree ``root/<dataset>/<file>.{jsonl,json}``; ``dataset`` prunes the paths."""
     found = []

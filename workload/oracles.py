@@ -388,6 +388,20 @@ SELECT {KEYS} FROM g WHERE d * 3 <= total OR (d > 3 AND d < total AND top3 * 4 >
     out["segment_lines"] = (
         f"WITH {T}, {segments('t')} SELECT {SEG_KEY}, string_agg(regexp_replace(text, '[\\n\\r]', ' ', 'g'), chr(9) || chr(9) ORDER BY turn) AS line FROM seg GROUP BY {SEG_KEY}"
     )
+    placed = f"SELECT *, row_number() OVER (PARTITION BY {SEG_KEY} ORDER BY turn, part) - 1 AS place, count(*) OVER (PARTITION BY {SEG_KEY}) AS n, regexp_replace(text, '[\\n\\r]', ' ', 'g') AS flat FROM seg"
+    out["cleaned_files"] = (
+        f"WITH {T}, {segments('t')} SELECT CASE WHEN n > 6 THEN turn ELSE place END AS turn, CASE WHEN n > 6 THEN text ELSE flat END AS text, count(*) AS lines FROM ({placed}) s GROUP BY ALL"
+    )
+    out["jsonl_files"] = (
+        f"WITH {T}, {segments('t')} SELECT 'dataset=' || dataset AS dataset, place AS turn, flat AS text, count(*) AS lines FROM ({placed}) s GROUP BY ALL"
+    )
+    out["dialogue_files"] = (
+        "SELECT CASE conv_id % 2 WHEN 0 THEN 'even' ELSE 'odd' END AS dataset, place AS turn, text, count(*) AS lines "
+        "FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, text) - 1 AS place FROM conversations) s GROUP BY ALL"
+    )
+    out["instances_files"] = (
+        f"SELECT place AS session_id, {strip('text')} AS text FROM (SELECT text, row_number() OVER (PARTITION BY doc_id // 100 ORDER BY doc_id, text) - 1 AS place FROM documents) s WHERE {strip('text')} <> ''"
+    )
     out["multi_turn_segments"] = (
         f"WITH {T}, {segments('t')} SELECT {SEG_KEY}, turn, text FROM (SELECT *, count(*) OVER (PARTITION BY {SEG_KEY}) AS n FROM seg) s WHERE n > 1"
     )
@@ -498,6 +512,7 @@ def _audit_oracles() -> dict[str, str]:
     base = f"WITH {U}, {chain(ids, 'u')}, audit AS ({' UNION ALL '.join(parts)})"
     return {
         "audit_entries": f"{base} SELECT {KEYS}, category, reason, before, after FROM audit",
+        "audit_files": f"{base} SELECT category, reason, count(*) AS entries FROM (SELECT DISTINCT dataset, file_id, category, reason, before, after FROM audit) d GROUP BY category, reason",
         "audit_counts": f"{base} SELECT category, reason, count(*) AS utterances FROM (SELECT DISTINCT category, reason, before, after FROM audit) d GROUP BY category, reason",
         "audit_deltas": f"{base} SELECT {KEYS}, category, reason, length(before) AS len_before, length(after) AS len_after, length(before) - length(after) AS removed FROM audit WHERE after IS NOT NULL",
         "word_counts": (

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +21,7 @@ from corpuswash.plans.clean import Lexicons, clean
 from corpuswash.plans.config import CleanConfig
 from corpuswash.plans import scale
 from corpuswash.plans.scale import checkpoint, tune
-from corpuswash.sources import writers
+from corpuswash.sources import readers, writers
 from workload import inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,6 +92,63 @@ def _rule(rid: str) -> Query:
     return lambda spark, sf: apply_named(_u(spark, sf), rid).select(*KEYS, "text")
 
 
+def _folder(spark: SparkSession) -> str:
+    """A new folder that driver and executors share."""
+    spark.range(0).transform(checkpoint)
+    return f"{spark.sparkContext.getCheckpointDir()}/files-{uuid.uuid4().hex}"
+
+
+def dialogue_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Dialogues written as JSON lines, one compressed, and read back from the tree."""
+    tune(spark)
+    chats = spark.read.parquet(f"{sf}/conversations.parquet")
+    turns = F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: x["text"])
+    lines = chats.groupBy("conv_id").agg(F.to_json(turns).alias("value"))
+    path = _folder(spark)
+    lines.where("conv_id % 2 = 0").select("value").write.text(f"{path}/even")
+    lines.where("conv_id % 2 = 1").select("value").write.option("compression", "gzip").text(f"{path}/odd")
+    even, odd = (readers.dialogues(spark, f"{path}/{x}") for x in ("even", "odd"))
+    rows = even.unionByName(odd)
+    return rows.groupBy("dataset", "turn", "text").agg(F.count("*").alias("lines"))
+
+
+def instances_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents written as JSON documents of a hundred texts each and read back piece by piece."""
+    tune(spark)
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    texts = F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "text"))), lambda x: F.struct(x["text"].alias("text")))
+    whole = docs.groupBy(F.floor(F.col("doc_id") / 100).alias("part")).agg(texts.alias("instances"))
+    path = f"{_folder(spark)}/docs"
+    value = F.to_json(F.struct(F.lit("text_only").alias("type"), "instances")).alias("value")
+    whole.select(value).write.option("maxRecordsPerFile", 1).text(path)
+    return readers.instances(spark, f"{path}/*.txt", split=True).select("session_id", "text")
+
+
+def cleaned_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Segments written as text lines, those too large for a line beside them, and read back."""
+    rows, long = _t(spark, sf)
+    path = _folder(spark)
+    writers.write_text(sessions.segment(rows, long), path, max_turns=6)
+    return readers.cleaned(spark, path).groupBy("turn", "text").agg(F.count("*").alias("lines"))
+
+
+def jsonl_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Segments written as JSON arrays and read back as dialogues."""
+    rows, long = _t(spark, sf)
+    path = _folder(spark)
+    writers.write_jsonl(sessions.segment(rows, long), path)
+    back = readers.dialogues(spark, f"{path}/lines/*/*.txt")
+    return back.groupBy("dataset", "turn", "text").agg(F.count("*").alias("lines"))
+
+
+def audit_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The audit written to files and its entries read back."""
+    path = _folder(spark)
+    writers.write_audit(_audit(spark, sf), path)
+    entries = spark.read.parquet(f"{path}/entries")
+    return entries.groupBy("category", "reason").agg(F.count("*").alias("entries"))
+
+
 def title_cut(spark: SparkSession, sf: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf}/pages.parquet")
     return pages.select("page_id", F.substring_index("html", P.TITLE_END, 1).alias("html"))
@@ -391,6 +449,7 @@ def clean_everything(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _NAMED: list[Query] = [
+    dialogue_files, instances_files, cleaned_files, jsonl_files, audit_files,
     title_cut, emoji_strip, emoji_first, repost_split, vote_drop, repeats_reduced, repeats_found, char_runs_capped,
     uniform_sessions, uniform_drop, lexicon_load, lexicon_first_n, special_topic, substring_first, substring_set,
     alternation_last, substring_hits, large_lexicon, substring_remove, word_blacklist, alpha_noise, confused_word, word_repetition,
