@@ -4,8 +4,9 @@ Words are hashed by differences of a prefix polynomial over the bytes of a batch
 hashes, all in numpy.  For k = 1, 2, ... one pass counts the k-grams whose (k-1)-grams can be frequent (a bitmap of the
 frequent fingerprints, at most 32 MiB, tells; it lets some others through and loses none), and the shuffle adds up
 (language, fingerprint, count).  Each task keeps a pointer to one occurrence of every fingerprint.  A last pass follows
-the pointers of the fingerprints that are frequent: every occurrence is compared with the text behind its pointer, and
-the shuffle adds up by fingerprint *and* text.  So collisions are split exactly, and no other phrase ever becomes text.
+the pointers of the fingerprints that are frequent: every occurrence is compared with the text behind its pointer (those
+that differ count under their own), and the shuffle adds up by text.  So collisions are split exactly, and no other phrase
+ever becomes text.
 
 Defined results: a null text is an empty one and has no words; a null language is ``und``; repeated rows count each time;
 equal scores are ordered by a and then by the bytes of the phrase; an empty table gives no rows; extra columns are not
@@ -32,7 +33,7 @@ WINDOW = 1 << 19
 #: Bytes of text hashed at a time.
 SLICE = 2 << 20
 #: Distinct fingerprints held before they are handed on, and bytes of text read before phrases are.
-HELD, HELD_BYTES = 2_000_000, 4 << 20
+HELD, HELD_BYTES = 2_000_000, 6 << 20
 #: Bits per frequent fingerprint and the largest bitmap.
 BITS_EACH, MOST_BITS = 16, 28
 MAP_BITS = 32768
@@ -136,8 +137,8 @@ class Words:
         size = self.ends - self.starts
         differ = size != size[there]
         raw, same = np.frombuffer(self.raw, np.uint8), np.flatnonzero(~differ)
-        for at in range(0, len(same), 1 << 18):
-            part = same[at : at + (1 << 18)]
+        for at in range(0, len(same), 1 << 16):
+            part = same[at : at + (1 << 16)]
             n = size[part]
             step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
             bad = raw[np.repeat(self.starts[part], n) + step] != raw[np.repeat(self.starts[there[part]], n) + step]
@@ -229,7 +230,7 @@ def _counting(k: int, maps: list[Bitmap]) -> object:
 
 
 def _reading(most: int, maps: list[Bitmap]) -> object:
-    """(lang, k, fp, phrase, c): the texts behind the pointers of frequent fingerprints, all occurrences compared."""
+    """(lang, k, phrase, c): the texts behind the pointers of frequent fingerprints, all occurrences compared."""
 
     def rows(lang: str, texts: list[str]) -> Iterator[pa.RecordBatch]:
         words, salt = Words.of(texts), _salt(lang)
@@ -245,12 +246,12 @@ def _reading(most: int, maps: list[Bitmap]) -> object:
                 differ |= number[first + j] != number[there + j]
             other = np.flatnonzero(differ)
             counts = counts - np.bincount(place[other], minlength=len(found))
-            out_fp, out_first, out_count = np.concatenate([found, fp[other]]), np.concatenate([first[pointer], first[other]]), np.concatenate([counts, np.ones(len(other), np.int64)])
-            for at in range(0, len(out_fp), 1 << 14):
+            out_first, out_count = np.concatenate([first[pointer], first[other]]), np.concatenate([counts, np.ones(len(other), np.int64)])
+            for at in range(0, len(out_first), 1 << 14):
                 to = slice(at, at + (1 << 14))
                 phrases = [words.text(i, k).decode("utf-8", "surrogatepass") for i in out_first[to].tolist()]
                 n = len(phrases)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * n, pa.string()), pa.array(np.full(n, k, np.int32)), pa.array(out_fp[to].view(np.int64)), pa.array(phrases, pa.string()), pa.array(out_count[to].astype(np.int64))], ["lang", "k", "fp", "phrase", "c"])
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * n, pa.string()), pa.array(np.full(n, k, np.int32)), pa.array(phrases, pa.string()), pa.array(out_count[to].astype(np.int64))], ["lang", "k", "phrase", "c"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[str]] = {}
@@ -283,8 +284,8 @@ def frequent_phrases(docs: DataFrame, most: int = 3, least: int = 10, text_col:
             sizes = kept.where("fp is null").select("lang", F.col("f").alias("n"))
         maps = [*maps, bitmap(kept.where("fp is not null"))]
     sent = spark.sparkContext.broadcast(maps)
-    read = source.mapInArrow(lambda b: _reading(most, sent.value)(b), "lang string, k int, fp long, phrase string, c long")
-    exact = read.groupBy("lang", "k", "fp", "phrase").agg(F.sum("c").alias("f")).where(F.col("f") >= least)
+    read = source.mapInArrow(lambda b: _reading(most, sent.value)(b), "lang string, k int, phrase string, c long")
+    exact = read.groupBy("lang", "k", "phrase").agg(F.sum("c").alias("f")).where(F.col("f") >= least)
     return stored(exact.select("lang", "k", "phrase", "f")), sizes
 
 
