@@ -1,13 +1,16 @@
-"""Column helpers shared by the rules; everything stays in JVM expressions."""
+"""Column helpers shared by the rules: JVM expressions, and Arrow batches for repeated phrases."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+import pandas as pd
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from corpuswash.functions import patterns as P
+from corpuswash.functions import repeats
+from corpuswash.plans import workers
 
 
 def let(value: Column, fn: Callable[[Column], Column]) -> Column:
@@ -148,110 +151,31 @@ def mark_votes(parts: Column) -> Column:
 # ---- repeated phrases -----------------------------------------------------
 
 
-def _period_at(c: Column, unit: Column, copies: int, j: Column) -> Column:
-    """``copies`` repeats of a ``unit`` long phrase cover the multiples j..j+copies-1 of
-    ``unit``, so characters there agree.  A cheap necessary test; a regex confirms."""
-    hit = F.lit(True)
-    for k in range(copies - 1):
-        hit = hit & (F.get(c, j * unit) == F.get(c, (j + k + 1) * unit))
-    if copies > 2:
-        for off in (3, 7, 13):
-            o = F.least(F.lit(off), unit - 1)
-            for k in range(copies - 2):
-                hit = hit & (F.get(c, j * unit + o) == F.get(c, (j + k + 1) * unit + o))
-    return hit
-
-
-def _may_repeat(c: Column, n: Column, unit: Column, copies: int) -> Column:
-    """Harmonic scan: n/unit probes for one unit length, n log n for all of them."""
-    last = F.floor(n / unit).cast("int") - copies + 1
-    return (last >= 0) & F.exists(
-        F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
-        lambda j: F.coalesce(_period_at(c, unit, copies, j), F.lit(False)),
-    )
-
-
-def _unit_regex(unit: Column, tail: str) -> Column:
-    return F.concat(F.lit("(?s)(.{"), unit.cast("string"), F.lit(tail))
-
-
-SHORT_UNIT = 20
-
-
 def reduce_repeats(text: Column) -> Column:
     """For unit length 1, 2, ... while 4·unit < length: cut more than three repeats to three.
 
-    Units up to ``SHORT_UNIT`` are folded one by one, but only in texts where one regex finds
-    such a repeat.  Longer units need two gates first: four copies share a 20-gram at a
-    distance that is a multiple of three, so a text without duplicates among its grams at
-    every third position has none; then a scan over multiples of the unit picks the few unit
-    lengths that a regex must confirm.  No unit length is left out.
+    No unit length is left out; see ``functions/repeats.py``.  A pattern would probe every unit length at every place.
     """
+    workers.prepare(SparkSession.active())
 
-    def fold_short(t: Column) -> Column:
-        return F.aggregate(
-            F.sequence(F.lit(1), F.lit(SHORT_UNIT)),
-            t,
-            lambda a, u: F.when(
-                u * 4 < F.length(a), F.regexp_replace(a, _unit_regex(u, r"})(?=\1{3})"), F.lit(""))
-            ).otherwise(a),
-        )
-
-    def next_unit(t: Column, last: Column) -> Column:
-        """Smallest unit above ``last`` that repeats four times in ``t``; null without one."""
-
-        def search(c: Column) -> Column:
-            n = F.size(c)
-            top = F.floor((n - 1) / 4).cast("int")
-            units = F.filter(
-                F.sequence(last + 1, F.greatest(top, last + 1)),
-                lambda u: (u <= top) & _may_repeat(c, n, u, 4) & F.rlike(t, _unit_regex(u, r"})\1{3}")),
-            )
-            return F.get(units, F.lit(0))
-
-        return let(chars(t), search)
-
-    def fold_long(t: Column) -> Column:
-        # one round per unit that really repeats; rounds after the last one do nothing
-        def cut(a: Column, u: Column) -> Column:
-            shorter = F.regexp_replace(a["t"], _unit_regex(u, r"})(?=\1{3})"), F.lit(""))
-            return F.struct(
-                F.coalesce(shorter, a["t"]).alias("t"), F.coalesce(u, a["last"]).alias("last"), u.isNull().alias("done")
-            )
+    @F.pandas_udf("string")
+    def cut(texts: pd.Series) -> pd.Series:
+        return texts.map(repeats.reduced, na_action="ignore")
 
-        def step(a: Column, _: Column) -> Column:
-            return F.when(a["done"], a).otherwise(let(next_unit(a["t"], a["last"]), lambda u: cut(a, u)))
-
-        start = F.struct(t.alias("t"), F.lit(SHORT_UNIT).alias("last"), F.lit(False).alias("done"))
-        rounds = F.sequence(F.lit(1), F.floor(F.length(t) / 4).cast("int"))
-        return F.aggregate(rounds, start, step, lambda a: a["t"])
-
-    def long_gate(t: Column) -> Column:
-        dup = let(grams(t, SHORT_UNIT, 3), lambda g: F.size(F.array_distinct(g)) < F.size(g))
-        return (F.length(t) > 4 * (SHORT_UNIT + 1)) & dup
-
-    short = F.when(
-        F.rlike(text, F.lit(rf"(?s)(.{{1,{SHORT_UNIT}}})\1{{3}}")), fold_short(text)
-    ).otherwise(text)
-    return let(short, lambda t: F.when(long_gate(t), fold_long(t)).otherwise(t))
+    return cut(text)
 
 
 def has_repeat(text: Column, times: int, length: int = 2) -> Column:
     """A phrase longer than ``length`` characters that stands ``times`` times in a row."""
+    if times < 2:
+        raise ValueError("times: 2 or more")
+    workers.prepare(SparkSession.active())
 
-    def test(t: Column) -> Column:
-        def probe(c: Column) -> Column:
-            n = F.size(c)
-            top = F.floor(n / times).cast("int")
-            return (top > length) & F.exists(
-                F.sequence(F.lit(length + 1), F.greatest(top, F.lit(length + 1))),
-                lambda u: _may_repeat(c, n, u, times)
-                & F.rlike(t, _unit_regex(u, rf"}})\1{{{times - 1}}}")),
-            )
-
-        return let(chars(t), probe)
+    @F.pandas_udf("boolean")
+    def test(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: repeats.repeats(t, times, length), na_action="ignore")
 
-    return let(text, test)
+    return test(text)
 
 
 def cap_char_runs(text: Column, no_single: bool = False) -> Column:

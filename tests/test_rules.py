@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpuswash.functions import patterns as P
+from corpuswash.functions import repeats
 from corpuswash.functions import text as T
 from corpuswash.operators.rowchain import apply_named
 
@@ -154,3 +155,24 @@ def test_vote_pairs(spark):
     texts = [f"a//@b//@{vote}", f"a//@{vote}//@{vote}//@c", "a", vote, f"a//@b{vote}//@c//@d {vote}//@e"]
     got = column(spark, texts, lambda t: F.filter(T.mark_votes(T.split_reposts(t)), lambda m: ~m["gone"]))
     assert [[m["text"] for m in row] for row in got] == [["a"], [f"@{vote}", "@c"], ["a"], [vote], ["@e"]]
+
+
+def test_repeats_of_every_unit_in_small_steps(monkeypatch):
+    rng = random.Random(6)
+    texts = []
+    for k in range(600):
+        t = "".join(rng.choice("ab" if k % 2 else "abc🐹") for _ in range(rng.randint(0, 16)))
+        texts.append("".join(rng.choice([t[:3], t[2:9], "x"]) * rng.randint(1, 6) for _ in range(8)))
+    for step in (2_000_000, 7):
+        monkeypatch.setattr(repeats, "STEP", step)
+        for t in texts:
+            assert repeats.reduced(t) == cut_repeats(t)
+            for times, least in ((2, 0), (3, 1), (4, 2), (6, 0)):
+                want = any(re.search(r"(?s)(.{%d})\1{%d}" % (u, times - 1), t) for u in range(least + 1, len(t) // times + 1))
+                assert repeats.repeats(t, times, least) == want
+
+
+def test_repeats_of_null_and_long_texts(spark):
+    texts = [None, "", "a" * 300_000, "abcdefghij" * 50_000, "xy" * 100_000 + "z"]
+    assert column(spark, texts, T.reduce_repeats) == [None, "", "aaa", "abcdefghij" * 3, "xyxyxyz"]
+    assert column(spark, texts, lambda t: T.has_repeat(t, 4)) == [None, False, True, True, True]
