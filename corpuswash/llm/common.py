@@ -81,6 +81,7 @@ def slices(batch: pa.RecordBatch, column: int = 1, most: int = SLICE_BYTES) -> I
         total += n
     if first < len(sizes):
         yield batch.slice(first)
+    pa.default_memory_pool().release_unused()  # workers live on, and other stages need the memory
 
 
 def ranked(df: DataFrame, by: list[str], name: str) -> DataFrame:

@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of pieces that one worker remembers per tokenizer, about; the older half goes when they are used up.
-MEMORY = 96 << 20
+MEMORY = 56 << 20
 #: Longer pieces are not remembered.
 LONG = 400
 _BLANKS = r"\x00-\x09\x0b-\x1f\x7f-\xa0\x{1680}\x{180e}\x{2000}-\x{200f}\x{2028}-\x{202f}\x{205f}-\x{206f}\x{3000}\x{feff}"
