@@ -30,7 +30,7 @@ OP6 = """
 WITH RECURSIVE sized AS (
   SELECT doc_id, source, length(regexp_replace(' ' || coalesce(text, ''), '[\\x20\\x09-\\x0D]+[^\\x20\\x09-\\x0D]+', chr(1), 'g'))
            - length(replace(regexp_replace(' ' || coalesce(text, ''), '[\\x20\\x09-\\x0D]+[^\\x20\\x09-\\x0D]+', chr(1), 'g'), chr(1), '')) AS size,
-         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null') || ':17'), 1, 15) AS BIGINT) AS h
+         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null') || ':17:' || coalesce(text, '')), 1, 15) AS BIGINT) AS h
   FROM documents
 ), per AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size, 2.0 * sum(size) AS cap,
@@ -48,14 +48,25 @@ fill(level, round) AS (
   SELECT source, source_size, CAST(least(cap, w * (SELECT max(level) FROM fill)) AS DOUBLE) AS target FROM per
 ), split AS (
   SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM aimed
-), ordered AS (
-  SELECT d.*, p.source_size, p.target, p.whole, target - whole * source_size AS rest,
-         sum(size) OVER (PARTITION BY d.source ORDER BY h RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
+), r0 AS (
+  SELECT d.doc_id, d.size, d.h, p.source, p.source_size, p.target, p.whole, target - whole * source_size AS rest0, false AS t0
   FROM sized d JOIN split p ON d.source IS NOT DISTINCT FROM p.source
+), s1 AS (
+  SELECT *, CASE WHEN t0 OR size > rest0 THEN NULL ELSE sum(size) FILTER (NOT t0 AND size <= rest0) OVER (PARTITION BY source ORDER BY h RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) END AS upto1 FROM r0
+), r1 AS (
+  SELECT * , rest0 - coalesce(sum(size) FILTER (t1) OVER (PARTITION BY source), 0) AS rest1 FROM (SELECT *, t0 OR coalesce(upto1 <= rest0, false) AS t1 FROM s1) x
+), s2 AS (
+  SELECT *, CASE WHEN t1 OR size > rest1 THEN NULL ELSE sum(size) FILTER (NOT t1 AND size <= rest1) OVER (PARTITION BY source ORDER BY h RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) END AS upto2 FROM r1
+), r2 AS (
+  SELECT * , rest0 - coalesce(sum(size) FILTER (t2) OVER (PARTITION BY source), 0) AS rest2 FROM (SELECT *, t1 OR coalesce(upto2 <= rest1, false) AS t2 FROM s2) x
+), s3 AS (
+  SELECT *, CASE WHEN t2 OR size > rest2 THEN NULL ELSE sum(size) FILTER (NOT t2 AND size <= rest2) OVER (PARTITION BY source ORDER BY h RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) END AS upto3 FROM r2
+), r3 AS (
+  SELECT * , rest0 - coalesce(sum(size) FILTER (t3) OVER (PARTITION BY source), 0) AS rest3 FROM (SELECT *, t2 OR coalesce(upto3 <= rest2, false) AS t3 FROM s3) x
 )
 SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
-       CAST(size * (whole + CASE WHEN upto <= rest THEN 1 ELSE 0 END) AS BIGINT) AS taken
-FROM ordered
+       CAST(size * (whole + CASE WHEN t3 THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM r3
 """
 
 OP10 = f"""

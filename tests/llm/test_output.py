@@ -114,6 +114,31 @@ def test_mix_meets_its_targets(spark):
     assert mixing.mix(df.where("false")).count() == 0
 
 
+def test_a_large_document_that_comes_early_does_not_starve_its_source(spark):
+    """One document holds most of its source; wherever it comes, the source ends within a typical document of its target."""
+    r = random.Random(11)
+    for big in (3_000, 400):
+        rows = [(i, "w " * (big if i == 40 else r.randint(5, 25)), "one") for i in range(60)]
+        rows += [(100 + i, "w " * r.randint(5, 25), "two") for i in range(40)] + [(7, f"x{k} " * r.randint(5, 25), "three") for k in range(60)]
+        df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+        for seed in (17,):
+            got = mixing.mix(df, seed=seed).collect()
+            for source in ("one", "two", "three"):
+                own = [x for x in got if x["source"] == source]
+                short = own[0]["target"] - sum(x["copies"] * x["size"] for x in own)
+                most = max(x["copies"] for x in own)
+                assert short >= 0
+                # short by less than a typical document, or all documents but the large one are taken once more
+                assert short <= 25 or all(x["copies"] == most for x in own if x["id"] != 40)
+            assert mixing.mixed(df, seed=seed).count() == sum(x["copies"] for x in got)
+
+
+def test_mixing_handles_empty_and_very_long_texts(spark):
+    rows = [(1, "", "a"), (2, None, "a"), (3, "w " * 300_000, "a"), (4, " \n", None), (4, "w", None)]
+    got = {(x["id"], x["size"]): x["copies"] * x["size"] for x in mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert set(got) == {(1, 0), (2, 0), (3, 300_000), (4, 0), (4, 1)} and got[3, 300_000] in (300_000, 600_000)
+
+
 # ---- token files --------------------------------------------------------------
 
 
