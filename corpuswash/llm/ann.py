@@ -29,6 +29,8 @@ from corpuswash.llm.common import prepare, ranked, stored
 K = 5
 CURVES, DIMS, BITS = 16, 8, 6
 BLOCK = 1024
+#: Queries that a task compares with a block, and that are scored exactly at a time; what a rough cosine may be off by.
+ASKERS, QUERIES, ROUNDING = 4096, 32, 1e-9
 SAMPLE, TARGET = 64, 0.96
 SEED = 11
 
@@ -86,17 +88,25 @@ def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _best(queries: np.ndarray, qids: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query id, id, cosine) of the k nearest rows of each query; a few more are picked first, then scored exactly."""
-    near = (queries / np.linalg.norm(queries, axis=1, keepdims=True)) @ (rows / np.linalg.norm(rows, axis=1, keepdims=True)).T
-    some = min(len(ids), k + 8)
-    pick = np.argpartition(-near, some - 1, axis=1)[:, :some]
-    qi = np.repeat(np.arange(len(qids)), some)
-    ri = pick.ravel()
-    score = cosines(queries[qi], rows[ri])
-    order = np.lexsort((ids[ri], -score, qi))
-    first = np.arange(len(order)) % some < k
-    order = order[first]
-    return qids[qi[order]], ids[ri[order]], score[order]
+    """(query id, id, cosine) of the k nearest rows of each query, ties to the smaller id.
+
+    A matrix product finds the rows that may be among them: all that reach the k-th best but for rounding.  These are
+    scored exactly, a few queries at a time, so that many equal cosines cost time and not memory.
+    """
+    unit = rows / np.linalg.norm(rows, axis=1, keepdims=True)
+    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    for at in range(0, len(qids), QUERIES):
+        asked = queries[at : at + QUERIES]
+        near = (asked / np.linalg.norm(asked, axis=1, keepdims=True)) @ unit.T
+        least = np.partition(near, len(ids) - k, axis=1)[:, len(ids) - k] if len(ids) > k else np.full(len(asked), -2.0)
+        qi, ri = np.nonzero(near >= least[:, None] - ROUNDING)
+        score = cosines(asked[qi], rows[ri])
+        order = np.lexsort((ids[ri], -score, qi))
+        first = np.flatnonzero(np.diff(qi[order], prepend=-1))
+        place = np.arange(len(order)) - np.repeat(first, np.diff(first, append=len(order)))
+        order = order[place < k]
+        out.append((qids[at + qi[order]], ids[ri[order]], score[order]))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))  # type: ignore[return-value]
 
 
 def _matrix(column: pa.Array | pd.Series) -> np.ndarray:
@@ -155,13 +165,15 @@ def search(table: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_id
     askers = stored(asking.select("rep").distinct())
     probe = points.join(askers, "rep").orderBy(F.xxhash64("rep"), "rep").limit(sample).select("rep", "vec").collect()
     window = n
-    if probe and n > 2 * block:
+    if probe:
         truth = _truth(points, probe, k)
         own = order.select("curve", F.col("rep").alias("q"), F.col("at").alias("own"))
         gap = truth.join(order, "rep").join(own, ["curve", "q"]).groupBy("q", "rep").agg(F.min(F.abs(F.col("at") - F.col("own"))).alias("gap"))
         window = int(gap.agg(F.percentile("gap", F.lit(target))).first()[0] or 0) + 1
     blocks = -(-n // block)
-    data = order.join(points.select("rep", "vec"), "rep").select("curve", F.floor(F.col("at") / block).alias("block"), "rep", "vec")
+    # a task looks at one block for at most about ``ASKERS`` queries; with more of them the block is dealt again per salt
+    salts = max(1, -(-askers.count() * min(n, 2 * window + block) // (n * ASKERS)))
+    data = order.join(points.select("rep", "vec"), "rep").select("curve", F.floor(F.col("at") / block).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), "rep", "vec")
     first = F.greatest(F.floor((F.col("at") - window) / block), F.lit(0))
     last = F.least(F.floor((F.col("at") + window) / block), F.lit(blocks - 1))
     asks = order.join(askers, "rep").select("curve", "rep", F.explode(F.sequence(first, last)).alias("block")).join(points.select("rep", "vec"), "rep")
@@ -172,8 +184,8 @@ def search(table: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_id
         q, i, s = _best(_matrix(left["vec"]), left["rep"].to_numpy(), _matrix(right["vec"]), right["rep"].to_numpy(), k + 1)
         return pd.DataFrame({"q": q, "rep": i, "score": s})
 
-    asks, data = asks.toDF("rep", "curve", "block", "vec"), data.toDF("curve", "block", "rep", "vec")
-    found = asks.groupBy("curve", "block").cogroup(data.groupBy("curve", "block")).applyInPandas(look, "q long, rep long, score double")
+    asks = asks.toDF("rep", "curve", "block", "vec").withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(salts)).cast("int"))
+    found = asks.groupBy("curve", "block", "salt").cogroup(data.groupBy("curve", "block", "salt")).applyInPandas(look, "q long, rep long, score double")
     best = Window.partitionBy("q").orderBy(F.desc("score"), "rep")
     found = found.dropDuplicates(["q", "rep"]).withColumn("place", F.row_number().over(best)).where(F.col("place") <= k + 1)
     near = stored(found.join(grouped.select("rep", "ids"), "rep").select("q", "score", F.explode("ids").alias("vec_id")))

@@ -274,11 +274,35 @@ def test_search_against_brute_force(spark):
     assert ann.search(df.where("vec_id = 5000"), F.lit(True)).count() == 0
 
 
+def test_many_equal_cosines_are_ranked_by_exact_score_and_id(spark):
+    """Multiples of one vector, which are no equal vectors, and 59 that round to the same cosine."""
+    rng = np.random.default_rng(3)
+    base = rng.standard_normal(16)
+    rows = [(i, (base * f).tolist()) for i, f in enumerate(rng.uniform(0.5, 2.0, 80))] + [(100 + i, (base * 2.0**i).tolist()) for i in range(-9, 10)]
+    rows += [(200 + i, rng.standard_normal(16).tolist()) for i in range(100)]
+    got = ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id").isin(0, 100, 205)).collect()
+    ids, v = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+    for q in (0, 100, 205):
+        own = v[ids == q][0]
+        score = ann.cosines(np.repeat(own[None], len(v), axis=0), v)
+        want = sorted((-s, i) for s, i in zip(score, ids.tolist(), strict=True) if i != q)[:5]
+        assert sorted((x["rank"], x["vec_id"], x["score"]) for x in got if x["query_id"] == q) == [(k, i, -s) for k, (s, i) in enumerate(want, 1)]
+
+
+def test_salted_queries_and_small_blocks_give_the_same(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    df = spark.createDataFrame([(i, rng.standard_normal(8).tolist()) for i in range(400)], "vec_id long, embedding array<double>")
+    want = sorted(map(tuple, ann.search(df, F.col("vec_id") % 2 == 0).collect()))
+    monkeypatch.setattr(ann, "ASKERS", 50)
+    monkeypatch.setattr(ann, "QUERIES", 3)
+    assert sorted(map(tuple, ann.search(df, F.col("vec_id") % 2 == 0).collect())) == want
+
+
 # ---- registration and pipeline ---------------------------------------------------
 
 
 def test_every_dealt_operator_is_registered():
-    assert [k.split("_")[0] for k in queries()] == [f"op{n}" for n in range(1, 11)]
+    assert [k.split("_")[0] for k in queries()] == [f"op{n}" for n in range(1, 14)]
 
 
 def test_pipeline_on_planted_rows(spark, tmp_path):
@@ -308,3 +332,25 @@ def test_pipeline_on_planted_rows(spark, tmp_path):
     for (_, stage), columns in zip(corpus_pipeline.STAGES[:-1], [None] * 4, strict=True):
         out = stage(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path))
         assert out.columns == ["doc_id", "text", "lang", "source"]
+
+
+def test_pipeline_on_odd_rows(spark, tmp_path):
+    """Null ids and texts, repeated rows, a very long text, columns named like the operators' own; then empty tables."""
+    import corpus_pipeline
+
+    r = random.Random(5)
+    prose = lambda n: " ".join("".join(r.choice("aeiostnr") for _ in range(5)) for _ in range(n))
+    rows = [(i, prose(60), "en", "s", "x", 1) for i in range(30)]
+    rows += [(None, None, None, None, None, None), (None, "", "en", None, "x", 1), (40, prose(40_000), "de", "s", "x", 1), rows[2], rows[2], (41, rows[3][1], "en", "t", "x", 1)]
+    schema = "doc_id long, text string, lang string, source string, h string, same int"
+    labels = [(i, 1, int(i % 5 == 0)) for i in range(20)]
+    for name, some in (("full", rows), ("none", [])):
+        folder = tmp_path / name
+        spark.createDataFrame(some, schema).write.parquet(f"{folder}/documents.parquet")
+        spark.createDataFrame(labels[: len(some)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+        spark.createDataFrame([(1, "a benchmark passage of eleven words that occurs in no document"), (2, None)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+        got = corpus_pipeline.run(spark, str(folder)).collect()
+        ids = {x["doc_id"] for x in got}
+        assert ids <= {x[0] if x[0] is not None else -(1 << 63) for x in some}
+        assert (40 in ids) == bool(some) and 41 not in ids
+        assert sorted(x["start"] for x in got) == [sum(y["n_tokens"] for y in sorted(got, key=lambda x: x["start"])[:k]) for k in range(len(got))]
