@@ -17,7 +17,7 @@ from corpuswash.operators.rowchain import HIT, apply_rule, apply_rules, explode_
 from corpuswash.operators.segmentation import Dictionary, segmented
 from corpuswash.operators.rules import BACK_RULES, FINAL_STRIP, FRONT_RULES, TM_RULE, Rule
 from corpuswash.plans.config import CleanConfig
-from corpuswash.plans.scale import checkpoint, fence, shared, tune
+from corpuswash.plans.scale import checkpoint, fence, shared, stored, tune
 
 
 @dataclass(frozen=True)
@@ -178,12 +178,16 @@ def clean(
     if cfg.re_name:
         turns = sessions.rename_names(turns, lex.name, long)
     segments = sessions.segment(turns, long, cfg.no_short_response, cfg.min_turns)
+    if cfg.no_ad or cfg.de_generic_dialog:
+        segments = stored(segments)  # the corpus passes read them several times
     ads = None
     if cfg.no_ad:
         ads = checkpoint(
             corpus.ad_responses(segments, long, SEGMENT, cfg.scope, cfg.ad_min_len, cfg.ad_min_contexts)
         )
         segments = corpus.cut_ads(segments, ads, long, SEGMENT, cfg.scope)
+        if cfg.de_generic_dialog:
+            segments = stored(segments)
     if cfg.de_generic_dialog:
         counts = corpus.trigram_counts(segments, cfg.scope, SEGMENT, long)
         generic = checkpoint(corpus.generic_trigrams(counts, cfg.generic_min_count))
