@@ -102,6 +102,11 @@ def normalise(text: Column) -> Column:
     return strip(text)
 
 
+def before_title_end(text: Column) -> Column:
+    """What stands before the first end of a title; all of it without one."""
+    return F.substring_index(text, P.TITLE_END, 1)
+
+
 def drop_controls(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, P.CONTROL, ""), P.BLANKS, " ")
 

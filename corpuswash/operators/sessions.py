@@ -133,6 +133,11 @@ def rename_names(rows: DataFrame, names: Lexicon, long: bool) -> DataFrame:
     return joined.withColumn("text", F.array_join(named, " ")).drop("_names")
 
 
+def cut_titles(rows: DataFrame) -> DataFrame:
+    """Every turn up to the first end of a title in it."""
+    return rows.withColumn("text", T.before_title_end(F.col("text")))
+
+
 def segment_sizes(rows: DataFrame) -> DataFrame:
     """Turns per segment."""
     return rows.groupBy(*SEGMENT).agg(F.count("*").alias("turns"))

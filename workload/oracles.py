@@ -289,6 +289,10 @@ occ AS MATERIALIZED (SELECT {key}, word, p + length(word) - 2 AS fin FROM scan)"
 def oracle_sql() -> dict[str, str]:
     out = {f"rule_{rid.lower()}": rule(rid) for rid in EXPR}
     out["title_cut"] = "SELECT page_id, split_part(html, '</title>', 1) AS html FROM pages"
+    out["title_turns"] = (
+        "SELECT page_id AS session_id, turn, split_part(text, '</title>', 1) AS text "
+        "FROM (SELECT page_id, 0 AS turn, url AS text FROM pages UNION ALL SELECT page_id, 1, html FROM pages) t"
+    )
     out["emoji_strip"] = f"WITH {U} SELECT {KEYS}, {sub(f'[{EMOJI}]+')('text')} AS text FROM u"
     out["emoji_first"] = (
         f"WITH {U} SELECT {KEYS}, emoji FROM (SELECT *, regexp_extract(text, {q(f'[{EMOJI}]')}) AS emoji FROM u) s WHERE emoji <> ''"

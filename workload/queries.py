@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from corpuswash.functions import patterns as P
 from corpuswash.functions import text as T
-from corpuswash.model import SEGMENT, SESSION, UTTERANCE
+from corpuswash.model import SEGMENT, SESSION, UTTERANCE, to_utterances
 from corpuswash.operators import audit as A
 from corpuswash.operators import blocks as B
 from corpuswash.operators import classify, corpus, lexicon, segmentation, sessions, stats
@@ -151,7 +151,15 @@ def audit_files(spark: SparkSession, sf: str) -> DataFrame:
 
 def title_cut(spark: SparkSession, sf: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf}/pages.parquet")
-    return pages.select("page_id", F.substring_index("html", P.TITLE_END, 1).alias("html"))
+    return pages.select("page_id", T.before_title_end(F.col("html")).alias("html"))
+
+
+def title_turns(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages as sessions of two turns, their address and their source, each cut at the end of a title."""
+    tune(spark)
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    turns = pages.select("page_id", F.posexplode(F.array("url", "html")).alias("turn", "text"))
+    return sessions.cut_titles(to_utterances(turns, "page_id", "turn")).select("session_id", "turn", "text")
 
 
 def emoji_strip(spark: SparkSession, sf: str) -> DataFrame:
@@ -371,8 +379,6 @@ def corpus_statistics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def raw_statistics(spark: SparkSession, sf: str) -> DataFrame:
-    from corpuswash.model import to_utterances
-
     tune(spark)
     chats = spark.read.parquet(f"{sf}/conversations.parquet")
     return stats.corpus_statistics(to_utterances(chats, "conv_id", "turn", dataset=F.lit("chats")))
@@ -450,7 +456,7 @@ def clean_everything(spark: SparkSession, sf: str) -> DataFrame:
 
 _NAMED: list[Query] = [
     dialogue_files, instances_files, cleaned_files, jsonl_files, audit_files,
-    title_cut, emoji_strip, emoji_first, repost_split, vote_drop, repeats_reduced, repeats_found, char_runs_capped,
+    title_cut, title_turns, emoji_strip, emoji_first, repost_split, vote_drop, repeats_reduced, repeats_found, char_runs_capped,
     uniform_sessions, uniform_drop, lexicon_load, lexicon_first_n, special_topic, substring_first, substring_set,
     alternation_last, substring_hits, large_lexicon, substring_remove, word_blacklist, alpha_noise, confused_word, word_repetition,
     tokenised, unspaced_words, segment_sessions, segment_lines, multi_turn_segments, short_response_trim, rename_names, ad_responses,
