@@ -4,9 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-import zipfile
 from collections.abc import Iterator
-from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -14,34 +12,21 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpuswash.plans.scale import fits_broadcast
+from corpuswash.plans.workers import send
 
 LOWEST = -(1 << 63)
 BATCH_ROWS = 512
 SLICE_BYTES = 4 << 20
-_SHIPPED: set[str] = set()
 
 
 def prepare(spark: SparkSession) -> None:
     """Arrow batches of at most ``BATCH_ROWS`` rows, since whole texts are long; and this package for the workers."""
-    ship(spark)
+    send(spark)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key)) > BATCH_ROWS:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
-def ship(spark: SparkSession) -> None:
-    """Send the package to the executors once per context, so that no one has to set their PYTHONPATH."""
-    sc = spark.sparkContext
-    if sc.applicationId in _SHIPPED:
-        return
-    top = Path(__file__).resolve().parents[1]
-    with zipfile.ZipFile(Path(tempfile.mkdtemp(prefix="corpuswash-")) / f"{top.name}.zip", "w") as z:
-        for f in sorted(top.rglob("*.py")):
-            z.write(f, f.relative_to(top.parent))
-    sc.addPyFile(z.filename)
-    _SHIPPED.add(sc.applicationId)
-
-
 def shared_dir(spark: SparkSession) -> str:
     """A new folder below ``spark.checkpoint.dir``; a temporary one only for a local master without that setting."""
     root = spark.conf.get("spark.checkpoint.dir", None)
