@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -55,6 +56,15 @@ def id_of(name: str) -> Column:
     return F.coalesce(F.col(name).cast("long"), F.lit(LOWEST))
 
 
+def _give_back() -> None:
+    """Return freed memory to the system: workers live on, and other stages need it.  Only glibc can trim its heap."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
 def slices(batch: pa.RecordBatch, column: int = 1, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with about ``most`` bytes in ``column``; a longer single value stands alone."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
@@ -66,7 +76,7 @@ def slices(batch: pa.RecordBatch, column: int = 1, most: int = SLICE_BYTES) -> I
         total += n
     if first < len(sizes):
         yield batch.slice(first)
-    pa.default_memory_pool().release_unused()  # workers live on, and other stages need the memory
+    _give_back()
 
 
 def ranked(df: DataFrame, by: list[str], name: str) -> DataFrame:
