@@ -96,8 +96,9 @@ def clean_utterances(rows: DataFrame, cfg: CleanConfig, lex: Lexicons = Lexicons
     key = [*SESSION, "block", *POSITION]
     rows = apply_rules(prepare(rows, cfg.audit), _chosen(FRONT_RULES, cfg))
     if cfg.joins:
-        # the joins read these rows twice each: once for the hits, once to apply them
-        rows = shared(rows, [*SESSION, "block"])
+        # the joins read these rows twice each: once for the hits, once to apply them.  Rows that lie by session already
+        # keep their place, so there would be no shuffle to read again, and each read would run the rules: they are written
+        rows = shared(stored(rows), [*SESSION, "block"])
     if cfg.no_special_topic:
         rows = lexicon.first_contained(rows, T.tight(F.col("orig")), lex.special_topic, "_topic", key)
         rows = _drop_on(rows, "_topic", "special_topic", cfg.audit).drop("_topic")
@@ -110,7 +111,7 @@ def clean_utterances(rows: DataFrame, cfg: CleanConfig, lex: Lexicons = Lexicons
     rows = apply_rules(rows, [*_chosen(BACK_RULES, cfg), *ext.rules, FINAL_STRIP])
     if cfg.word_level:
         if cfg.joins:
-            rows = shared(rows, [*SESSION, "block"])
+            rows = shared(stored(rows), [*SESSION, "block"])
         rows = _word_level(rows, cfg, lex, ext, key)
     return fence(rows, ["text", "hits"] if cfg.audit else ["text"])
 
