@@ -6,11 +6,14 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuswash.functions import patterns as P
+from corpuswash.functions import places
 from corpuswash.functions import text as T
 from corpuswash.operators.lexicon import Lexicon, substring_hits
 from corpuswash.plans import workers
@@ -20,6 +23,8 @@ from corpuswash.plans.scale import skew_join, stored
 SCALE = 1000
 #: A character that is no word costs as if it had been counted once in a text this many times as long.
 UNSEEN = 10
+#: Characters whose lattice is held at a time.
+PART = 1 << 18
 _CJK = re.compile("[" + re.sub(r"\\x\{([0-9A-F]+)\}", lambda m: chr(int(m[1], 16)), P.CJK_CLASS) + "]+")
 _ALL = re.compile(r"\S+")
 
@@ -45,24 +50,99 @@ class Dictionary:
         return Dictionary(Lexicon.of(costs, ord=None), costs, unknown)
 
 
+@dataclass(frozen=True)
+class Lattice:
+    """The words of a dictionary as arrays: sorted hashes with costs and characters, and filters of the words and their beginnings."""
+
+    seed: int
+    longest: int
+    bits: int
+    begun: np.ndarray
+    words: np.ndarray
+    hashes: np.ndarray
+    costs: np.ndarray
+    sizes: np.ndarray
+    first: np.ndarray
+    points: np.ndarray
+
+    @staticmethod
+    def _grow(points: np.ndarray, at: np.ndarray, h: np.ndarray, n: int) -> np.ndarray:
+        h = (h ^ points[at + n - 1]) * np.uint64(0x9E3779B97F4A7C15)
+        return h ^ (h >> np.uint64(29))
+
+    def _bit(self, h: np.ndarray) -> np.ndarray:
+        return (h >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    @staticmethod
+    def of(words: list[str], costs: np.ndarray) -> Lattice:
+        points, starts = places.codes(words)
+        first, sizes = starts[:-1], np.diff(starts) - 1
+        longest, bits = int(sizes.max(initial=0)), max(10, (32 * len(words) + 1).bit_length())
+        for seed in range(1, 100):
+            begun, known = np.zeros(1 << bits, bool), np.zeros(1 << bits, bool)
+            own = Lattice(seed, longest, bits, begun, known, *[np.zeros(0)] * 3, first, points)
+            ids, at, h, hashes = np.arange(len(words)), first, np.full(len(words), seed, np.uint64), np.zeros(len(words), np.uint64)
+            for n in range(1, longest + 1):
+                h = Lattice._grow(points, at, h, n)
+                last = sizes[ids] == n
+                hashes[ids[last]] = h[last]
+                known[own._bit(h[last])] = True
+                ids, at, h = ids[~last], at[~last], h[~last]
+                begun[own._bit(h)] = True
+            order = np.argsort(hashes)
+            if not (np.diff(hashes[order].view(np.int64)) == 0).any():
+                return Lattice(seed, longest, bits, begun, known, hashes[order], costs[order], sizes[order], first[order], points)
+        raise RuntimeError("words of equal hash under every seed")
+
+    def hits(self, texts: list[str]) -> list[list[tuple[int, int, int]]]:
+        """(start, length, cost) of all words in each text, in order."""
+        points, starts = places.codes(texts)
+        at, found = np.arange(len(points)), []
+        h = np.full(len(at), self.seed, np.uint64)
+        for n in range(1, self.longest + 1):
+            inside = at + n <= len(points)
+            at, h = at[inside], h[inside]
+            h = self._grow(points, at, h, n)
+            met = np.flatnonzero(self.words[self._bit(h)])
+            place = np.minimum(np.searchsorted(self.hashes, h[met]), max(len(self.hashes) - 1, 0))
+            same = (self.hashes[place] == h[met]) & (self.sizes[place] == n)
+            met, place = met[same], place[same]
+            for j in range(n):
+                same = points[at[met] + j] == self.points[self.first[place] + j]
+                if not same.all():
+                    met, place = met[same], place[same]
+            found.append((at[met], np.full(len(met), n), self.costs[place]))
+            open_ = self.begun[self._bit(h)]
+            at, h = at[open_], h[open_]
+        if not found:
+            return [[] for _ in texts]
+        begin, size, cost = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.argsort(begin, kind="stable")
+        begin, size, cost = begin[order], size[order], cost[order]
+        row = np.searchsorted(starts, begin, "right") - 1
+        cuts = np.searchsorted(row, np.arange(len(texts) + 1))
+        listed = list(zip((begin - starts[row]).tolist(), size.tolist(), cost.tolist(), strict=True))
+        return [listed[a:z] for a, z in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+
+
 def best_path(n: int, ending: dict[int, list[tuple[int, int]]], unknown: int) -> list[int]:
     """Ends of the words on the cheapest path over 0..n; ``ending`` has (length, cost) by the end of a word.
 
     Any single character may stand alone at ``unknown``.  Equal costs go to fewer words, then to the longer last word.
     """
-    best: list[tuple[int, int, int]] = [(0, 0, 0)]  # cost, words, minus the length of the last one
+    costs, words, sizes = [0] * (n + 1), [0] * (n + 1), [0] * (n + 1)
     for end in range(1, n + 1):
-        cost, words, _ = best[end - 1]
-        found = (cost + unknown, words + 1, -1)
-        for size, c in ending.get(end, ()):
-            if size <= end:
-                cost, words, _ = best[end - size]
-                found = min(found, (cost + c, words + 1, -size))
-        best.append(found)
+        cost, count, size = costs[end - 1] + unknown, words[end - 1] + 1, 1
+        for k, c in ending.get(end, ()):
+            if k <= end and (c := c + costs[end - k]) <= cost:
+                w = words[end - k] + 1
+                if c < cost or w < count or (w == count and k > size):
+                    cost, count, size = c, w, k
+        costs[end], words[end], sizes[end] = cost, count, size
     ends, at = [], n
     while at:
         ends.append(at)
-        at += best[at][2]
+        at -= sizes[at]
     return ends[::-1]
 
 
@@ -100,22 +180,42 @@ def _segmenting(unknown: int, whole: bool):
     return run
 
 
+def _cutting(sent: Broadcast, unknown: int, whole: bool):
+    """Rows (key..., text) to (key..., tokens) by a lattice that every worker has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lattice = sent.value
+        for b in batches:
+            texts = b.column(b.num_columns - 1).to_pylist()
+            tokens = [words_of(t, hits, unknown, whole) for lo, hi in places.parts(texts, PART) for t, hits in zip(texts[lo:hi], lattice.hits(texts[lo:hi]), strict=True)]
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(tokens, pa.list_(pa.string()))], [*b.schema.names[:-1], "tokens"])
+
+    return run
+
+
 def segmented(rows: DataFrame, text: Column, dictionary: Dictionary, out: str, key: list[str], whole: bool = False) -> DataFrame:
     """``rows`` with the array ``out``: the words of ``text`` by the dictionary.
 
     White space always parts words.  Runs of CJK characters are cut by the cheapest path through the lattice of all
-    dictionary words in them; other text stays as it is, unless ``whole`` asks to cut everything.  The lattice is found by
-    the substring search, so a dictionary of any size will do; each text's path is computed where its hits meet.  A null
-    text has no words.  ``key`` must name a row.
+    dictionary words in them; other text stays as it is, unless ``whole`` asks to cut everything.  A dictionary that was
+    measured small goes to every worker, which cuts the texts where they stand.  For a larger one the lattice is found by
+    the substring search, so any size will do; each text's path is computed where its hits meet.  A null text has no words.
+    ``key`` must name a row.
     """
     workers.prepare(rows.sparkSession)
     keyed = rows.select(*key, F.coalesce(text, F.lit("")).alias("_t"))
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keyed.schema.fields[:-1])
+    unknown = dictionary.unknown
+    if dictionary.lexicon.small:
+        listed = dictionary.costs.select("word", "cost").toArrow()
+        lattice = Lattice.of(listed["word"].to_pylist(), listed["cost"].to_numpy())
+        sent = rows.sparkSession.sparkContext.broadcast(lattice)
+        tokens = keyed.mapInArrow(lambda b: _cutting(sent, unknown, whole)(b), f"{kinds}, tokens array<string>")
+        return rows.join(tokens.withColumnRenamed("tokens", out), key, "left")
     hits = substring_hits(keyed, F.col("_t"), dictionary.lexicon, key)
     cost = dictionary.costs
     priced = skew_join(hits, cost, ["word"], "inner", [*key, "end"])
     lists = priced.groupBy(*key).agg(F.collect_list(F.struct((F.col("end") - F.col("len") + 1).alias("at"), "len", "cost")).alias("_h"))
     joined = keyed.join(lists, key, "left").select(*key, "_t", "_h")
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keyed.schema.fields[:-1])
-    unknown = dictionary.unknown
     tokens = joined.mapInArrow(lambda b: _segmenting(unknown, whole)(b), f"{kinds}, tokens array<string>")
     return rows.join(tokens.withColumnRenamed("tokens", out), key, "left")

@@ -271,7 +271,8 @@ def tokenised(spark: SparkSession, sf: str) -> DataFrame:
 def unspaced_words(spark: SparkSession, sf: str) -> DataFrame:
     """Dialogue turns with their blanks taken out, cut again by a dictionary of all words of the dialogues."""
     tune(spark)
-    chats = spark.read.parquet(f"{sf}/conversations.parquet").select("conv_id", "turn", "text")
+    path = f"{sf}/conversations.parquet"
+    chats = scale.spread(spark.read.parquet(path).select("conv_id", "turn", "text"), path, ["conv_id", "turn"])
     words = chats.select(F.explode(T.tokens(F.col("text"))).alias("word")).groupBy("word").agg(F.count("*").alias("count"))
     words = segmentation.Dictionary.of(words)
     rows = segmentation.segmented(chats, T.tight(F.col("text")), words, "words", ["conv_id", "turn"], whole=True)
@@ -335,6 +336,7 @@ def generic_trigrams(spark: SparkSession, sf: str) -> DataFrame:
 
 def generic_cut(spark: SparkSession, sf: str) -> DataFrame:
     segments, long = _segments(spark, sf)
+    segments = scale.stored(segments)  # both passes read them
     generic = checkpoint(corpus.generic_trigrams(corpus.trigram_counts(segments, long=long), GENERIC_MIN))
     return corpus.cut_generic(segments, generic, long).select(*SEGMENT, "turn", "text")
 
