@@ -11,7 +11,7 @@ from pyspark.ml.feature import HashingTF, RegexTokenizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpuswash.plans.scale import checkpoint, lookup_join
+from corpuswash.plans.scale import by_frequency, checkpoint, stored
 
 Scorer = Callable[[Column], Column]
 
@@ -61,21 +61,37 @@ def token_weights(labelled: DataFrame) -> tuple[DataFrame, float, float]:
     """Log-odds ``(token, weight)`` of each token of the labelled texts with add-one smoothing,
     the weight of any other token, and the log-odds of the classes.  Texts of one class only
     give no weights and a log-odds of zero."""
+    counted, other, odds = _counted_weights(labelled)
+    return counted.select("token", "weight"), other, odds
+
+
+def _counted_weights(labelled: DataFrame) -> tuple[DataFrame, float, float]:
+    """``token_weights`` with the number ``n`` of times that the labelled texts have the token."""
+    n = (F.col("c0") + F.col("c1")).alias("n")
     words = _token_counts(labelled, ["label"])
     per = checkpoint(words.groupBy("token").agg(*[F.sum(F.when(F.col("label") == y, F.col("n")).otherwise(0)).alias(f"c{y}") for y in (0, 1)]))
     size = per.agg(F.count("*").alias("v"), F.coalesce(F.sum("c0"), F.lit(0)).alias("n0"), F.coalesce(F.sum("c1"), F.lit(0)).alias("n1")).first()
     texts = {r["label"]: r["texts"] for r in class_counts(labelled).collect()}
     if not texts.get(0.0) or not texts.get(1.0):
-        return per.select("token", F.lit(0.0).alias("weight")), 0.0, 0.0
+        return per.select("token", F.lit(0.0).alias("weight"), n), 0.0, 0.0
     room = [size["n0"] + size["v"], size["n1"] + size["v"]]
     weight = F.log((F.col("c1") + 1) / room[1]) - F.log((F.col("c0") + 1) / room[0])
-    return per.select("token", weight.alias("weight")), math.log(max(1, room[0]) / max(1, room[1])), math.log(texts[1.0] / texts[0.0])
+    return per.select("token", weight.alias("weight"), n), math.log(max(1, room[0]) / max(1, room[1])), math.log(texts[1.0] / texts[0.0])
 
 
 def counted_scores(texts: DataFrame, labelled: DataFrame, key: str) -> DataFrame:
-    """``(key, offensive)``: is the sum of the token weights and the class log-odds above zero?"""
-    weights, other, odds = token_weights(labelled)
-    found = lookup_join(_token_counts(texts, [key]), weights, ["token"], "left", [key])
-    total = found.groupBy(key).agg(F.sum(F.col("n") * F.coalesce("weight", F.lit(other))).alias("total"))
+    """``(key, offensive)``: is the sum of the token weights and the class log-odds above zero?
+
+    Weights of frequent tokens are added up where the texts stand; of the other tokens a text sends each one once.
+    """
+    weights, other, odds = _counted_weights(labelled)
+    often, seldom = by_frequency(weights, "n")
+    tokens = texts.select(key, F.explode(F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0))).alias("token"))
+    met = tokens.join(F.broadcast(often.select("token", "weight")), "token", "left")
+    rest = F.when(F.col("weight").isNull(), F.col("token")).alias("rest")
+    sums = stored(met.groupBy(key, rest).agg(F.sum("weight").alias("sum"), F.count("*").alias("n")))
+    rare = sums.where("rest IS NOT NULL").join(seldom.select(F.col("token").alias("rest"), "weight"), "rest", "left")
+    rare = rare.select(key, (F.col("n") * F.coalesce("weight", F.lit(other))).alias("sum"))
+    total = sums.where("rest IS NULL").select(key, "sum").unionByName(rare).groupBy(key).agg(F.sum("sum").alias("total"))
     scored = texts.select(key).join(total, key, "left")
     return scored.select(key, (F.round(F.coalesce("total", F.lit(0.0)) + odds, 6) > 0).alias("offensive"))

@@ -127,6 +127,21 @@ def fits_broadcast(df: DataFrame) -> bool:
     return rows <= BROADCAST_ROWS and size + 64 * rows <= BROADCAST_BYTES
 
 
+def by_frequency(table: DataFrame, count: str) -> tuple[DataFrame, DataFrame]:
+    """The rows with the largest ``count``, as many as may be broadcast, and the rest.
+
+    Few keys make up most of a text.  Joined with the first part where they stand, nearly all rows need no shuffle, however
+    long the table is.
+    """
+    levels = [1 << i for i in range(48)]
+    size = sum((F.coalesce(F.octet_length(c), F.lit(0)) if kind == "string" else F.lit(8) for c, kind in table.dtypes), F.lit(64))
+    above = [F.struct(F.count(F.when(F.col(count) >= x, 1)).alias("n"), F.coalesce(F.sum(F.when(F.col(count) >= x, size)), F.lit(0)).alias("b")) for x in levels]
+    found = table.agg(F.array(*above).alias("at")).first()["at"]
+    least = next((x for x, at in zip(levels, found, strict=True) if at["n"] <= BROADCAST_ROWS and at["b"] <= BROADCAST_BYTES), levels[-1])
+    often = F.coalesce(F.col(count) >= least, F.lit(False))
+    return table.where(often), table.where(~often)
+
+
 def lookup_join(rows: DataFrame, table: DataFrame, on: list[str], how: str, salt_by: list[str]) -> DataFrame:
     """Join a large table with a lookup table whose keys may be hot.
 
