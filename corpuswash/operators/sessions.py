@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,6 +13,7 @@ from corpuswash.functions import text as T
 from corpuswash.model import POSITION, SEGMENT, SESSION, UTTERANCE
 from corpuswash.operators import blocks as B
 from corpuswash.operators.lexicon import Lexicon
+from corpuswash.plans import workers
 
 
 def split_parts(rows: DataFrame, drop_votes: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -106,31 +110,56 @@ def segment(rows: DataFrame, long: bool, no_short_response: bool = False, min_tu
     return rows
 
 
+def _renaming(block: list[str], place: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows (columns..., words, names) by ``block``: a row with names (word, k) holds for the rows of its block behind it,
+    which leave with their text.  A row without its whole key has no names."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        owner, tags = None, {}
+        for b in batches:
+            at, texts = [], []
+            keys = zip(*(b.column(c).to_pylist() for c in block), strict=True)
+            whole = zip(*(b.column(c).is_valid().to_pylist() for c in (*block, *place)), strict=True)
+            for i, (key, known, words, names) in enumerate(zip(keys, whole, b.column("_words").to_pylist(), b.column("_names").to_pylist(), strict=True)):
+                if names is not None:
+                    owner, tags = key, {x["word"]: f"<NAME{x['k']}>" for x in names}
+                    continue
+                own = tags if key == owner and all(known) else {}
+                at.append(i)
+                texts.append(None if words is None else " ".join([own.get(w, w) for w in words]))
+            kept = b.drop_columns(["_words", "_names"]).take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(texts, pa.string())], [*kept.schema.names, "text"])
+
+    return run
+
+
 def rename_names(rows: DataFrame, names: Lexicon, long: bool) -> DataFrame:
     """Replace name tokens by ``<NAMEk>``, k in order of first appearance in the session.
 
-    Turns are re-joined by single spaces.  Only tokens that are names are shuffled.
+    Turns are re-joined by single spaces.  Of the tokens that are names only the first places are shuffled; the names of a
+    block then go ahead of its turns, so that each turn looks its words up in one table.
     """
+    workers.prepare(rows.sparkSession)
+    block = [*SESSION, "block"]
     words = rows.select(*UTTERANCE, "block", F.posexplode(T.tokens(F.col("text"))).alias("pos", "word"))
     found = names.join(words, "word", "left_semi", UTTERANCE + ["pos"])
     where = F.struct(*POSITION, "pos")
-    key = SESSION + ["word"]
+    firsts = found.groupBy(*block, "word").agg(F.min(where).alias("_first"))
     if long:
-        firsts = B.facts_by(found, key, F.min(where).alias("_first"))
-        order = Window.partitionBy(*SESSION).orderBy("_first")
-        firsts = firsts.withColumn("k", F.row_number().over(order)).drop("_first")
-        ranked = B.join_facts(found, firsts, key, "inner", long)
+        key = SESSION + ["word"]
+        whole = B.facts_by(firsts, key, F.min("_first").alias("_least"))
+        order = Window.partitionBy(*SESSION).orderBy("_least")
+        whole = whole.withColumn("k", F.row_number().over(order)).drop("_least")
+        ranked = B.join_facts(firsts, whole, key, "inner", long)
     else:
-        first = found.withColumn("_first", F.min(where).over(Window.partitionBy(*SESSION, "block", "word")))
-        ranked = first.withColumn("k", F.dense_rank().over(Window.partitionBy(*SESSION, "block").orderBy("_first")))
-    tag = F.concat(F.lit("<NAME"), F.col("k").cast("string"), F.lit(">"))
-    entry = F.struct(F.col("word"), tag.alias("tag"))
-    maps = ranked.groupBy(*SESSION, "block", *POSITION).agg(F.map_from_entries(F.collect_set(entry)).alias("_names"))
-    joined = rows.join(maps, [*SESSION, "block", *POSITION], "left")
-    named = F.transform(
-        T.tokens(F.col("text")), lambda w: F.coalesce(F.try_element_at(F.col("_names"), w), w)
-    )
-    return joined.withColumn("text", F.array_join(named, " ")).drop("_names")
+        ranked = firsts.withColumn("k", F.dense_rank().over(Window.partitionBy(*block).orderBy("_first")))
+    lists = ranked.groupBy(*block).agg(F.collect_list(F.struct("word", "k")).alias("_names"))
+    rest = [f for f in rows.schema.fields if f.name not in (*block, "text")]
+    ahead = lists.select(*block, *[F.lit(None).cast(f.dataType).alias(f.name) for f in rest], F.lit(None).cast("array<string>").alias("_words"), "_names")
+    turns = rows.select(*block, *[f.name for f in rest], T.tokens(F.col("text")).alias("_words"), F.lit(None).cast(ahead.schema["_names"].dataType).alias("_names"))
+    laid = ahead.unionByName(turns).repartition(*block).sortWithinPartitions(*block, F.col("_names").isNull())
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in (*[rows.schema[c] for c in block], *rest))
+    return laid.mapInArrow(lambda b: _renaming(block, POSITION)(b), f"{kinds}, text string").select(*rows.columns)
 
 
 def cut_titles(rows: DataFrame) -> DataFrame:
