@@ -75,6 +75,27 @@ class Beginnings:
                 yield n, row, passed - starts[row]
 
 
+def whole_words(found: Beginnings, whole: Beginnings, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """(number of the text, position, length) of the places that pass, for each length at which a whole word passes too."""
+    points, starts = codes(texts)
+    for least, row, at in found.scan(texts):
+        begin, h = starts[row] + at, np.zeros(len(row), np.uint64)
+        end = starts[row + 1] - 1
+        most = least if least < max(found.lens) else max(whole.lens)  # shorter beginnings are words
+        for n in range(1, most + 1):
+            inside = begin + n <= end  # no word reaches over the end of its text
+            if not inside.all():
+                row, begin, end, h = row[inside], begin[inside], end[inside], h[inside]
+            if not len(row):
+                break
+            h = (h * _BASE) + points[begin + n - 1]
+            h ^= h >> np.uint64(31)
+            if n >= least and n in whole.lens:
+                mixed = h * _SPREAD
+                own = np.flatnonzero(whole.has(mixed ^ (mixed >> np.uint64(29))))
+                yield row[own], begin[own] - starts[row[own]], n
+
+
 def beginning_hashes(prefixes: list[str]) -> np.ndarray:
     """Hashes of strings that are looked up as a whole."""
     out = np.zeros(len(prefixes), np.uint64)
@@ -100,26 +121,37 @@ def marked(bits: int):
 PART = 32768
 
 
-def candidates(found: Beginnings, ahead: int):
-    """Rows (key..., text) to (key..., n, at, ahead): places that pass, with up to ``ahead`` characters from there."""
+def candidates(found: Beginnings, ahead: int, whole: Beginnings | None = None):
+    """Rows (key..., text) to (key..., n, at, ahead): places that pass, with up to ``ahead`` characters from there.
+
+    With ``whole``, a filter of whole words (of their first ``ahead`` characters), a place comes once for each length ``n``
+    at which it passes, and carries so many characters.
+    """
+
+    def passed(own: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        if whole is None:
+            yield from found.scan(own)
+        else:
+            yield from ((n, row, at) for row, at, n in whole_words(found, whole, own))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keys = b.schema.names[:-1]
             texts = b.column(len(keys)).to_pylist()
-            for lo, hi in _parts(texts):
+            for lo, hi in parts(texts):
                 own = texts[lo:hi]
-                for n, row, at in found.scan(own):
+                for n, row, at in passed(own):
+                    most = ahead if whole is None else n
                     for k in range(0, len(row), 1 << 15):
                         r, p = row[k : k + (1 << 15)], at[k : k + (1 << 15)]
-                        cut = [own[i][j : j + ahead] for i, j in zip(r.tolist(), p.tolist(), strict=True)]
+                        cut = [own[i][j : j + most] for i, j in zip(r.tolist(), p.tolist(), strict=True)]
                         taken = [b.column(c).take(pa.array(r + lo)) for c in range(len(keys))]
                         yield pa.RecordBatch.from_arrays([*taken, pa.array(np.full(len(r), n, np.int32)), pa.array(p.astype(np.int32)), pa.array(cut, pa.string())], [*keys, "n", "at", "ahead"])
 
     return run
 
 
-def _parts(texts: list[str], most: int = 4 * WINDOW) -> Iterator[tuple[int, int]]:
+def parts(texts: list[str], most: int = 4 * WINDOW) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about ``most`` characters."""
     first = total = 0
     for i, t in enumerate(texts):

@@ -18,7 +18,7 @@ from corpuswash.functions import places
 from corpuswash.functions import text as T
 from corpuswash.model import UTTERANCE
 from corpuswash.plans import workers
-from corpuswash.plans.scale import BROADCAST_BYTES, BROADCAST_ROWS, SALTS, checkpoint
+from corpuswash.plans.scale import BROADCAST_BYTES, BROADCAST_ROWS, SALTS, by_frequency, checkpoint, lookup_join, stored
 
 # words are joined on 4 to 8 leading characters, as many as the shortest word allows
 PREFIX_MIN = 4
@@ -81,16 +81,27 @@ class Lexicon:
         return [r["word"] for r in self.df.orderBy("ord").collect()]
 
 
-def beginnings(lexicon: Lexicon) -> places.Beginnings:
-    """The Bloom filter over the words' beginnings: 32 MiB at most reach the driver, however long the list is."""
-    bits = places.Beginnings.bits_for(lexicon.rows)
-    k = max(lexicon.prefix_lens)
-    heads = lexicon.df.select(F.left("word", F.lit(k)).alias("head")).distinct()
-    marks = heads.mapInArrow(places.marked(bits), "part long, bit long")
+def _filter(strings: DataFrame, rows: int, lens: tuple[int, ...]) -> places.Beginnings:
+    """The Bloom filter over a column of strings: 32 MiB at most reach the driver, however many there are."""
+    bits = places.Beginnings.bits_for(rows)
+    marks = strings.distinct().mapInArrow(places.marked(bits), "part long, bit long")
     data = np.zeros(max(places.PART, 1 << bits) // 8, np.uint8)
     for r in marks.groupBy("part").agg(F.bitmap_construct_agg("bit").alias("map")).collect():
         data[r["part"] * (places.PART // 8) :][: places.PART // 8] = np.frombuffer(r["map"], np.uint8)
-    return places.Beginnings(bits, data, lexicon.prefix_lens)
+    return places.Beginnings(bits, data, lens)
+
+
+def beginnings(lexicon: Lexicon) -> places.Beginnings:
+    """The Bloom filter over the words' beginnings."""
+    k = max(lexicon.prefix_lens)
+    return _filter(lexicon.df.select(F.left("word", F.lit(k)).alias("head")), lexicon.rows, lexicon.prefix_lens)
+
+
+def whole_words(lexicon: Lexicon) -> places.Beginnings:
+    """The Bloom filter over the words themselves, as far as a place carries them."""
+    heads = lexicon.df.select(F.left("word", F.lit(AHEAD)).alias("head"))
+    lens = heads.select(F.length("head").alias("n")).distinct().collect()
+    return _filter(heads, lexicon.rows, tuple(sorted(r["n"] for r in lens)))
 
 
 def substring_hits(rows: DataFrame, text: Column, lexicon: Lexicon, key: list[str]) -> DataFrame:
@@ -98,6 +109,7 @@ def substring_hits(rows: DataFrame, text: Column, lexicon: Lexicon, key: list[st
 
     A place leaves the scan only if its first characters may begin a word, and carries at most ``AHEAD`` characters.
     Words are compared after the join on their beginning; longer ones are compared once more with the text itself.
+    With a list too long to broadcast, a place is shuffled only if a whole word may stand there, with that word alone.
     """
     keyed = rows.select(*key, F.coalesce(text, F.lit("")).alias("_t"))
     if lexicon.rows == 0:
@@ -106,14 +118,16 @@ def substring_hits(rows: DataFrame, text: Column, lexicon: Lexicon, key: list[st
         )
     spark = rows.sparkSession
     workers.prepare(spark)
-    sent = spark.sparkContext.broadcast(beginnings(lexicon))
+    sent = spark.sparkContext.broadcast((beginnings(lexicon), None if lexicon.small else whole_words(lexicon)))
     ahead = min(AHEAD, lexicon.max_len)
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keyed.schema.fields[:-1])
-    at = keyed.mapInArrow(lambda b: places.candidates(sent.value, ahead)(b), f"{kinds}, n int, at int, ahead string")
-    at = at.withColumn("prefix", F.left("ahead", "n"))
-    k = max(lexicon.prefix_lens)
-    table = lexicon.df.select(F.left("word", F.lit(k)).alias("prefix"), "word", "ord", F.length("word").alias("len"))
-    found = lexicon.join(at, "prefix", "inner", [*key, "at"], table)
+    at = keyed.mapInArrow(lambda b: places.candidates(sent.value[0], ahead, sent.value[1])(b), f"{kinds}, n int, at int, ahead string")
+    table = lexicon.df.select("word", "ord", F.length("word").alias("len"))
+    if lexicon.small:
+        k = max(lexicon.prefix_lens)
+        found = at.withColumn("prefix", F.left("ahead", "n")).join(F.broadcast(table.withColumn("prefix", F.left("word", F.lit(k)))), "prefix")
+    else:  # a frequent word is one large partition of the places, which Spark splits
+        found = at.drop("n").join(table.withColumn("ahead", F.left("word", F.lit(AHEAD))), "ahead")
     if lexicon.max_len > AHEAD:
         found = found.where(F.startswith("ahead", F.left("word", F.lit(AHEAD))))
         long = found.where(F.col("len") > AHEAD).join(keyed, key)
@@ -223,7 +237,7 @@ def word_facts(
         letters = placed.where(F.rlike("word", F.lit("^[A-Za-z]+$")) & ~F.col("word").isin(*P.ENGLISH_EXTRA))
         letters = letters.withColumn("lower", F.lower("word"))
         known = english.df.select(F.lower("word").alias("lower")).distinct()
-        noise = english.join(letters, "lower", "left_anti", [*key, "pos"], known)
+        noise = english.join(letters, "lower", "left_anti", [*key, "pos"], known) if english.small else _not_in(letters, known, key)
         parts.append(noise.select(*key, "pos", "word", F.lit("noise").alias("kind")))
     if blacklist is not None:
         bad = blacklist.join(placed, "word", "left_semi", [*key, "pos"])
@@ -236,6 +250,22 @@ def word_facts(
     return both.groupBy(*key).agg(first("noise").alias("noise_word"), first("black").alias("black_token"))
 
 
+def _not_in(letters: DataFrame, known: DataFrame, key: list[str]) -> DataFrame:
+    """First token ``(key, pos, word)`` of each utterance, and some later ones, that a list too long to broadcast lacks.
+
+    The vocabulary is compared with the list once.  Its frequent words decide where the tokens stand; of the others each
+    utterance sends a word once.
+    """
+    listed = known.withColumn("known", F.lit(True))
+    vocabulary = letters.groupBy("lower").agg(F.count("*").alias("n")).join(listed, "lower", "left")
+    often, seldom = by_frequency(stored(vocabulary.withColumn("known", F.coalesce("known", F.lit(False)))), "n")
+    marked = letters.join(F.broadcast(often.select("lower", "known")), "lower", "left").where("known IS NULL OR NOT known")
+    first = F.min(F.struct("pos", "word")).alias("_f")
+    open_ = stored(marked.groupBy(*key, F.when(F.col("known").isNull(), F.col("lower")).alias("_seldom")).agg(first))
+    rare = open_.join(seldom.where("NOT known").select(F.col("lower").alias("_seldom")), "_seldom", "left_semi")
+    return open_.where("_seldom IS NULL").unionByName(rare).select(*key, "_f.pos", "_f.word")
+
+
 def confused_token(words: Column, lexicon: Lexicon) -> Column:
     """First token that contains a confusable string; for lists short enough to inline."""
     known = lexicon.inline()
@@ -247,11 +277,15 @@ def confused_token(words: Column, lexicon: Lexicon) -> Column:
 
 
 def confused_tokens(rows: DataFrame, words: Column, lexicon: Lexicon, out: str, key: list[str]) -> DataFrame:
-    """Add the first token that contains a confusable string, or null."""
+    """Add the first token that contains a confusable string, or null.
+
+    Every different token is searched once.
+    """
     if lexicon.rows <= INLINE_WORDS:
         return rows.withColumn(out, confused_token(words, lexicon))
     placed = rows.select(*key, F.posexplode(words).alias("pos", "token"))
-    hits = substring_hits(placed, F.col("token"), lexicon, [*key, "pos", "token"])
+    found = stored(substring_hits(placed.select("token").distinct(), F.col("token"), lexicon, ["token"]).select("token").distinct())
+    hits = lookup_join(placed, found, ["token"], "left_semi", [*key, "pos"])
     first = hits.groupBy(*key).agg(F.min_by("token", "pos").alias(out))
     return rows.join(first, key, "left")
 
