@@ -64,8 +64,14 @@ def write_jsonl(segments: DataFrame, path: str, max_turns: int = MAX_LINE_TURNS,
 
 
 def write_audit(audit: DataFrame, path: str) -> None:
-    """Distinct audit entries, the lexicon word counts and the word → utterance lists."""
-    A.distinct_hits(audit).write.mode("overwrite").partitionBy("category").parquet(f"{path}/entries")
+    """Distinct audit entries, the lexicon word counts and the word → utterance lists.
+
+    The lists are made from the written entries, of which they read the lexicon categories only, so that the job behind the
+    audit runs once.
+    """
+    entries = A.distinct_hits(audit)
+    entries.write.mode("overwrite").partitionBy("category").parquet(f"{path}/entries")
+    audit = audit.sparkSession.read.schema(entries.schema).parquet(f"{path}/entries")
     A.word_counts(audit).write.mode("overwrite").json(f"{path}/word_counts")
     A.word_utterances(audit).repartition("word", "utterance").sortWithinPartitions("category", "word").write.mode(
         "overwrite"
