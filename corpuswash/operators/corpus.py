@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuswash.functions import patterns as P
+from corpuswash.functions import repeats
 from corpuswash.functions import text as T
 from corpuswash.model import SEGMENT, UTTERANCE
 from corpuswash.operators import blocks as B
+from corpuswash.plans import workers
 from corpuswash.plans.scale import lookup_join
 
 SCOPES = {"corpus": [], "file": ["dataset", "file_id"]}
@@ -87,36 +91,39 @@ def generic_trigrams(counts: DataFrame, min_count: int = P.GENERIC_MIN_COUNT) ->
     return counts.where(F.col("responses") > min_count)
 
 
-def covering_trigrams(text: Column) -> Column:
+def covering(text: str) -> list[str]:
     """Trigrams that make up more than nine tenths of a text.
 
     Such a trigram fills more than 30 % of the sorted trigram list, so it stands at one of the
     list positions 0, s, 2s, ... with s = 30 % of the length; only these few are counted.
     """
+    n = len(text)
+    if n < 3:
+        return []
+    c = repeats.points_of(text).astype(np.int64)
+    grams = np.sort(c[:-2] << 42 | c[1:-1] << 21 | c[2:])  # three code points of 21 bits
+    some = np.unique(grams[:: max(n * 3 // 10, 1)])
+    count = np.searchsorted(grams, some, "right") - np.searchsorted(grams, some, "left")
+    return ["".join(chr(g >> k & 0x1FFFFF) for k in (42, 21, 0)) for g in some[count * 30 > n * 9].tolist()]
 
-    def probe(t: Column) -> Column:
-        n = F.length(t)
-
-        def among(g: Column) -> Column:
-            step = F.greatest(F.floor(n * 3 / 10).cast("int"), F.lit(1))
-            at = F.sequence(F.lit(0), F.greatest(F.size(g) - 1, F.lit(0)), step)
-            candidates = F.array_distinct(F.transform(at, lambda i: F.get(g, i)))
-            return F.filter(candidates, lambda c: F.size(F.filter(g, lambda x: x == c)) * 30 > n * 9)
 
-        return let_grams(t, among)
+def covering_trigrams(text: Column) -> Column:
+    """``covering`` of the text without its spaces, as an array."""
+    workers.prepare(SparkSession.active())
 
-    def let_grams(t: Column, fn) -> Column:
-        return T.let(F.sort_array(T.grams(t, 3)), fn)
+    @F.pandas_udf("array<string>")
+    def found(texts: pd.Series) -> pd.Series:
+        return texts.map(covering, na_action="ignore")
 
-    none = F.array().cast("array<string>")
-    return T.let(T.tight(text), lambda t: F.when(F.length(t) >= 3, probe(t)).otherwise(none))
+    return found(T.tight(text))
 
 
 def generic_responses(rows: DataFrame, generic: DataFrame, scope: str = "corpus") -> DataFrame:
     """Utterances covered by one generic trigram.  Few rows have a covering trigram at all, and
     only those reach the join."""
     by = SCOPES[scope]
-    dominated = rows.select(*UTTERANCE, F.explode(covering_trigrams(F.col("text"))).alias("trigram"))
+    covered = rows.select(*UTTERANCE, covering_trigrams(F.col("text")).alias("_c"))
+    dominated = covered.select(*UTTERANCE, F.explode("_c").alias("trigram"))
     table = generic.select(*by, "trigram")
     return lookup_join(dominated, table, [*by, "trigram"], "left_semi", UTTERANCE).select(*UTTERANCE).distinct()
 
