@@ -10,13 +10,13 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Callable
-from itertools import islice, pairwise
+from itertools import pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Bytes of pieces that one worker remembers per tokenizer, about; the older half goes when they are used up.
+#: Bytes of pieces that one worker remembers per tokenizer, about; when they are used up, pieces met again stay, in half the room.
 MEMORY = 56 << 20
 #: Longer pieces are not remembered.
 LONG = 400
@@ -31,8 +31,9 @@ class Memory:
     def __init__(self, encode: Callable[[list[str]], Flat], most: int = MEMORY) -> None:
         self.encode, self.most = encode, most
         self.place: dict[str, int] = {}
-        self.base = self.count = self.used = self.bytes = 0  # number of the first piece held; pieces, ids and bytes in use
+        self.base = self.count = self.used = self.bytes = 0  # pieces dropped; pieces, ids and bytes in use
         self.ids, self.start, self.size = np.zeros(1 << 16, np.uint32), np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int32)
+        self.cost, self.again = np.zeros(1 << 14, np.int32), np.zeros(1 << 14, bool)  # bytes; whether met again since the last drop
 
     def _room(self, name: str, need: int) -> None:
         have = getattr(self, name)
@@ -42,35 +43,47 @@ class Memory:
             setattr(self, name, more)
 
     def _forget(self) -> None:
-        """Drop the older half of the pieces."""
-        n, half = self.count, self.count // 2
-        for piece in [p for p, i in islice(self.place.items(), half) if i < self.base + half]:
-            del self.place[piece]
-        cut = int(self.start[half]) if half < n else self.used
-        self.ids[: self.used - cut] = self.ids[cut : self.used].copy()
-        self.start[: n - half], self.size[: n - half] = self.start[half:n] - cut, self.size[half:n].copy()
-        self.base, self.count, self.used, self.bytes = self.base + half, n - half, self.used - cut, self.bytes // 2
+        """Drop the pieces that were not met again, and the older ones of the others if they take more than half the room."""
+        stay = np.flatnonzero(self.again[: self.count])
+        behind = np.cumsum(self.cost[stay][::-1], dtype=np.int64)[::-1]
+        stay = stay[behind <= self.most // 2]
+        n = len(stay)
+        first, self.base = self.base, self.base + self.count - n
+        number = np.full(self.count, -1)
+        number[stay] = self.base + np.arange(n)
+        now = number.tolist()
+        self.place = {p: k for p, i in self.place.items() if (k := now[i - first]) >= 0}
+        size = self.size[stay]
+        last = np.cumsum(size, dtype=np.int64)
+        self.used = int(last[-1]) if n else 0
+        self.ids[: self.used] = self.ids[np.repeat(self.start[stay] - (last - size), size) + np.arange(self.used)]
+        self.start[:n], self.size[:n], self.cost[:n], self.again[:n] = last - size, size, self.cost[stay], False
+        self.count, self.bytes = n, int(self.cost[:n].sum(dtype=np.int64))
 
     def __call__(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, start, size): the ids of piece i are ``ids[start[i] : start[i] + size[i]]``."""
         while self.bytes > self.most and self.count:
             self._forget()
-        known = self.place.get
-        at = np.array([known(p, -1) for p in pieces], np.int64)
+        at = np.fromiter(map(self.place.get, pieces, repeat(-1)), np.int64, len(pieces))
         fresh = at < 0
         at -= self.base
+        self.again[at[~fresh]] = True
         if fresh.any():
             missing = [pieces[i] for i in np.flatnonzero(fresh).tolist()]
             flat, sizes = self.encode(missing)
             n, new = self.count, len(missing)
-            self._room("ids", self.used + len(flat)), self._room("start", n + new), self._room("size", n + new)
+            self._room("ids", self.used + len(flat))
+            for name in ("start", "size", "cost", "again"):
+                self._room(name, n + new)
             self.ids[self.used : self.used + len(flat)] = flat
             self.start[n : n + new] = self.used + np.cumsum(sizes) - sizes
             self.size[n : n + new] = sizes
+            self.cost[n : n + new] = np.minimum(np.fromiter(map(len, missing), np.int64, new), LONG) + 130 + 4 * sizes
+            self.again[n : n + new] = False
             at[fresh] = n + np.arange(new)
             self.place.update((p, self.base + n + i) for i, p in enumerate(missing) if len(p) <= LONG)
             self.count, self.used = n + new, self.used + len(flat)
-            self.bytes += sum(min(len(p), LONG) for p in missing) + 130 * new + 4 * len(flat)
+            self.bytes += int(self.cost[n : n + new].sum(dtype=np.int64))
         return self.ids, self.start[at], self.size[at]
 
 
@@ -85,7 +98,7 @@ def cut(texts: list[str], odd: str) -> tuple[np.ndarray, list[str], np.ndarray,
     marked = pc.replace_substring(pc.replace_substring(marked, " ", "\x01 "), "\n", "\x01\n\x01")
     lists = pc.split_pattern(marked, "\x01")
     coded = lists.flatten().dictionary_encode()
-    return plain, coded.dictionary.to_pylist(), coded.indices.to_numpy(), lists.offsets.to_numpy().astype(np.int64)
+    return plain, coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy(), lists.offsets.to_numpy().astype(np.int64)
 
 
 def gathered(ids: np.ndarray, start: np.ndarray, size: np.ndarray, codes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -89,6 +89,22 @@ def test_memory_forgets_the_older_half():
     assert coder.memory.base > 0
 
 
+def test_memory_keeps_pieces_that_come_again():
+    asked = []
+
+    def encode(some):
+        asked.extend(some)
+        return np.array([len(p) for p in some], np.uint32), np.ones(len(some), np.int64)
+
+    memory = pieces.Memory(encode, most=20_000)
+    for at in range(100):
+        batch = [*[f"once{at}-{i}" for i in range(50)], "often", "x" * (at + pieces.LONG - 20)]
+        ids, start, size = memory(batch)
+        assert ids[start].tolist() == [len(p) for p in batch] and size.tolist() == [1] * len(batch)
+        assert memory.bytes == memory.cost[: memory.count].sum() and len(memory.place) <= memory.count
+    assert memory.base > 3_000 and asked.count("often") == 1
+
+
 def test_expansion_in_parts_is_the_same():
     rng = np.random.default_rng(2)
     docs = []
