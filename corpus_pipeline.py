@@ -17,7 +17,8 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def not_copied(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies: five-word shingles, similarity 0.8 or more."""
+    """One document of each class of near copies: five-word shingles, similarity 0.8 or more, by SimHash fingerprints split
+    into blocks, joined on blocks and verified; pairs beyond the reach of these blocks by shared rare shingles."""
     return simhash.dedup(docs)
 
 

@@ -3,11 +3,12 @@
 Two jobs share the fingerprinting:
 
 * ``fingerprints`` + ``links`` + ``classes``: 64-bit SimHash, links at a Hamming distance of at most ``max_distance``.
-* ``near_duplicates``: five-word shingles, Jaccard similarity of 0.8 or more.  A distance that wide leaves no useful
-  block of *bits*, so the pigeonhole argument is applied to the shingles that the fingerprint is made of: in any common
-  order two similar sets share one of their first n - ceil(0.8 n) + 1 shingles.  Rare ones come first, so blocks are
-  small; candidates are verified by SimHash distance and exactly.  No pair is lost (but for a SimHash distance five
-  deviations beyond that of a pair at 0.8).
+* ``near_duplicates``: five-word shingles, Jaccard similarity of 0.8 or more.  The fingerprints are split into blocks,
+  joined on blocks and verified by distance as above; what is linked is compared exactly.  Pairs that differ in more bits
+  (about ten at 0.8) leave no useful block of *bits*, so for them the pigeonhole argument is applied to the shingles that
+  the fingerprint is made of: in any common order two similar sets share one of their first n - ceil(0.8 n) + 1 shingles.
+  Rare ones come first, so blocks are small; candidates are verified by SimHash distance and exactly.  No pair is lost
+  (but for a SimHash distance five deviations beyond that of a pair at 0.8).
 
 Defined results: a null text is an empty one; no words give the fingerprint 0 and form one class; repeated rows and equal
 texts fall into one class; null ids count as one id; extra columns are kept or ignored, never read; an empty table gives
@@ -274,7 +275,7 @@ def _shared(sent: object) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
 
 
 class _Search:
-    """The candidates of the crowded and the other blocks, and what has been compared so far."""
+    """The candidates of blocks of bits and of blocks of shingles, and what has been compared so far."""
 
     def __init__(self, nodes: DataFrame, source: DataFrame, shingle: int, similarity: float) -> None:
         self.least = similarity
@@ -287,7 +288,8 @@ class _Search:
         listed = nodes.select("same", "n", "fp", "keys").mapInArrow(_shared(sent), "key long, same long, n long, fp long, pos int")
         self.block = stored(listed)
         self.full = stored(lookup_join(self.block, full, ["key"], "inner", ["same"]).select("key", "c", "same", "n", "fp", "pos"))
-        self.pairs = stored(self._few(full))
+        self.linked = stored(self._linked(nodes))
+        self.pairs = stored(self._few(full).unionByName(self.linked.select("same", "same_b")).distinct())
         wanted = self.pairs.select(F.explode(F.array("same", "same_b")).alias("same")).unionByName(self.full.select("same")).distinct()
         first = stored(nodes.join(wanted, "same").select("same", "n", "first.id", "first.h"))
         self.sizes = first.select("same", "n")
@@ -297,6 +299,17 @@ class _Search:
         self.done: DataFrame | None = None
         self.roots = spark.createDataFrame([], "node long, root long")
 
+    def _linked(self, nodes: DataFrame) -> DataFrame:
+        """(same, same_b, nearest): sets whose fingerprints are linked by blocks of bits.  One set stands for each
+        fingerprint and is paired with the others that have it; ``nearest`` marks one pair of every set."""
+        of = stored(nodes.select("same", "fp"))
+        low = stored(of.groupBy("fp").agg(F.min("same").alias("same_b")))
+        equal = of.join(low, "fp").where("same <> same_b").select("same", "same_b", F.lit(True).alias("nearest"))
+        near = stored(links(low))
+        first = near.groupBy("a").agg(F.min("b").alias("first"))
+        ends = near.join(first, "a").join(low.select(F.col("fp").alias("a"), F.col("same_b").alias("same")), "a").join(low.withColumnRenamed("fp", "b"), "b")
+        return equal.unionByName(ends.select("same", "same_b", (F.col("b") == F.col("first")).alias("nearest")))
+
     def _few(self, full: DataFrame) -> DataFrame:
         """All pairs of the blocks of up to ``FULL_BLOCK`` members that can be near."""
         rows = self.block.join(sized(full.select("key")), "key", "left_anti")
@@ -307,6 +320,17 @@ class _Search:
     def rooted(self, rows: DataFrame) -> DataFrame:
         return rows.join(self.roots.withColumnRenamed("node", "same"), "same", "left").withColumn("root", F.coalesce("root", "same"))
 
+    def search(self) -> None:
+        """Compare what the blocks of bits link, first one pair of every set, then all that is still apart: links and pairs
+        of the blocks of shingles."""
+        nearest = self.linked.where("nearest")
+        if not nearest.isEmpty():
+            self.compare(nearest)
+        other = self.roots.select(F.col("node").alias("same_b"), F.col("root").alias("root_b"))
+        apart = self.rooted(self.pairs).join(other, "same_b", "left").where(F.col("root") != F.coalesce("root_b", "same_b"))
+        self.compare(apart)
+        self.crowded()
+
     def close(self) -> Column:
         """Whether two members of a block can reach the similarity, by size, by what follows the shared shingle in the
         common order, and by SimHash distance."""
@@ -380,9 +404,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: float =
     """(id, h, group, keep): class of every row and whether it is the one that stays (smallest id, then smallest h).
 
     ``h`` is the hash of the text; rows equal in id and text share one result row.  Equal shingle sets are one node, so
-    thousands of copies cost one row.  A node is listed under its rarest shingles, by the pigeonhole argument all that a
-    similar set must share one of; pairs that meet there are compared by size, place and SimHash distance first, then
-    exactly.
+    thousands of copies cost one row.  Nodes are linked by their fingerprints, split into blocks, joined on blocks and
+    verified, and compared exactly.  For pairs of more different bits a node is listed under its rarest shingles, by the
+    pigeonhole argument all that a similar set must share one of; pairs that meet there are compared by size, place and
+    SimHash distance first, then exactly.
     """
     prepare(docs.sparkSession)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -394,8 +419,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: float =
     first = stored(rows.groupBy("same").agg(F.min(F.struct("id", "h", "at")).alias("first")).select(F.col("first.at").alias("at"), F.struct("first.id", "first.h").alias("first")))
     nodes = rows.join(sized(first), "at").select("same", "first", "n", "fp", "keys")
     search = _Search(nodes, source, shingle, similarity)
-    search.compare(search.pairs)
-    search.crowded()
+    search.search()
     low = stored(nodes.select("same", "first").join(search.roots.withColumnRenamed("node", "same"), "same", "left").select("same", "first", F.coalesce("root", "same").alias("root")))
     least = low.groupBy("root").agg(F.min("first").alias("group"))
     chosen = low.join(least, "root").select("same", "group")

@@ -131,6 +131,31 @@ def test_near_duplicates_against_jaccard(spark):
     assert sorted(ids) == sorted({g for g, _ in marks.values()})
 
 
+def test_near_copies_are_found_by_blocks_of_fingerprints(spark, monkeypatch):
+    r = random.Random(13)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(r.randint(3, 7)))
+    texts = []
+    for k in range(30):
+        base = [word() for _ in range(600)]
+        texts.append(" ".join(base))
+        for _ in range(40 if k == 0 else 1):  # the first family fills a block beyond simhash.HOT
+            w = list(base)
+            w[r.randrange(len(w))] = word()
+            texts.append(" ".join(w))
+    df = spark.createDataFrame([(i, t, "", "", "") for i, t in enumerate(texts)], DOCS)
+    whole = {x["id"]: x["group"] for x in simhash.near_duplicates(df).collect()}
+    # without the pairs of rare shingles, those within two bits of each other are still found
+    monkeypatch.setattr(simhash._Search, "_few", lambda self, full: self.block.select("same", F.col("same").alias("same_b")).limit(0))
+    monkeypatch.setattr(simhash._Search, "crowded", lambda self: None)
+    marks = {x["id"]: x["group"] for x in simhash.near_duplicates(df).collect()}
+    sets = simhash.shingle_sets(texts, 5)
+    fps = [int.from_bytes(simhash.simhash(h.tobytes()), "big") for h in sets]
+    want = _classes(range(len(texts)), lambda a, b: bin(fps[a] ^ fps[b]).count("1") <= 2 and _jaccard(texts[a], texts[b]) >= 0.8)
+    assert len({*want.values()}) < len(texts) - 40
+    assert marks == want
+    assert all(whole[i] == whole[g] for i, g in marks.items())
+
+
 def test_a_large_group_of_near_copies_leaves_one(spark):
     r = random.Random(1)
     base = ["".join(r.choice("abcdefgh") for _ in range(4)) for _ in range(300)]
