@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuswash.llm.common import prepare, shared_dir, slices
+from corpuswash.llm.common import kept, prepare, shared_dir, slices
 from corpuswash.llm.pieces import ByteLevel, SentencePiece, cut, gathered
 from corpuswash.plans.scale import SALTS
 
@@ -92,15 +92,9 @@ class Aligner:
         return h.hexdigest()
 
 
-_ALIGNERS: dict[tuple[str, str], Aligner] = {}
-
-
 def aligner(byte_level: str, piece_model: str) -> Aligner:
-    """One per worker process."""
-    key = (byte_level, piece_model)
-    if key not in _ALIGNERS:
-        _ALIGNERS[key] = Aligner(*key)
-    return _ALIGNERS[key]
+    """One per worker process and stage."""
+    return kept(("aligner", byte_level, piece_model), lambda: Aligner(byte_level, piece_model))
 
 
 def expanded(docs: list[Aligned], most: int = LINKS) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:

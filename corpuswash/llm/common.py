@@ -5,10 +5,11 @@ from __future__ import annotations
 import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Hashable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -56,8 +57,27 @@ def id_of(name: str) -> Column:
     return F.coalesce(F.col(name).cast("long"), F.lit(LOWEST))
 
 
-def _give_back() -> None:
-    """Return freed memory to the system: workers live on, and other stages need it.  Only glibc can trim its heap."""
+_KEPT: dict[Hashable, tuple[int, object]] = {}
+
+
+def _stage() -> int:
+    task = TaskContext.get()
+    return -1 if task is None else task.stageId()
+
+
+def kept[T](name: Hashable, make: Callable[[], T]) -> T:
+    """What a worker process remembers over its tasks, made when it is first asked for; see ``give_back``."""
+    value = _KEPT[name][1] if name in _KEPT else make()
+    _KEPT[name] = _stage(), value
+    return value  # type: ignore[return-value]
+
+
+def give_back() -> None:
+    """Drop what tasks of other stages remember and return freed memory to the system: workers live on, and other stages
+    need it.  Only glibc can trim its heap."""
+    stage = _stage()
+    for name in [x for x, (own, _) in _KEPT.items() if own != stage]:
+        del _KEPT[name]
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
@@ -76,7 +96,7 @@ def slices(batch: pa.RecordBatch, column: int = 1, most: int = SLICE_BYTES) -> I
         total += n
     if first < len(sizes):
         yield batch.slice(first)
-    _give_back()
+    give_back()
 
 
 def ranked(df: DataFrame, by: list[str], name: str) -> DataFrame:

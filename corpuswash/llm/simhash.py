@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpuswash.llm.common import components, id_of, numbered, prepare, sized, slices, stored
+from corpuswash.llm.common import components, give_back, id_of, numbered, prepare, sized, slices, stored
 from corpuswash.llm.phrases import _BYTE_BASE, _LOWER, _WORD_BASE, WINDOW, Bitmap, _ranges, _salt, bitmap
 from corpuswash.plans.scale import lookup_join
 
@@ -251,6 +251,7 @@ def _sets(shingle: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(a, b, both): hashes that the two sets of a row share."""
     for b in batches:
+        give_back()
         both = [len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True)) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(both, pa.int64())], ["a", "b", "both"])
 
@@ -262,6 +263,7 @@ def _shared(sent: object) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = sent.value  # type: ignore[attr-defined]
         for b in batches:
+            give_back()
             lists = b.column(3)
             key = lists.flatten().to_numpy()
             size = np.diff(lists.offsets.to_numpy())

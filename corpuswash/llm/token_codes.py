@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuswash.llm.common import id_of, prepare, shared_dir, slices, stored
+from corpuswash.llm.common import id_of, kept, prepare, shared_dir, slices, stored
 from corpuswash.llm.pieces import ByteLevel as Encoder
 
 CHUNK, STEP = 8, 512
@@ -113,14 +113,9 @@ def unpack(data: bytes) -> tuple[np.ndarray, np.ndarray, int, Codes]:
 # ---- tokenizing ---------------------------------------------------------------
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
-    """One per worker process, so that what it remembers serves all its tasks."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    """One per worker process, so that what it remembers serves all its tasks of a stage."""
+    return kept(("byte level", path), lambda: Encoder(path))
 
 
 # ---- files --------------------------------------------------------------------
