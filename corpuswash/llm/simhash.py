@@ -23,6 +23,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,6 +44,8 @@ SLICE, PART, LEVELS = 1 << 20, 600_000, (8, 64, 512, 4096)
 FULL_BLOCK, TURNS, CHUNK = 24, 2, 256
 #: A pair at 0.8 or more differs in 10 of 64 bits, with a deviation of 3; five deviations more are let through.
 FAR_BITS = 25
+#: Classes of hashes, in bits, whose parities say how much two sets must differ at least.
+MARK_BITS = 9
 
 
 def shingle_digests(text: str | None, k: int, seed: int = SEED) -> bytes:
@@ -211,8 +214,19 @@ def frequent(source: DataFrame, shingle: int, levels: tuple[int, ...] = LEVELS)
     return [bitmap(found.where(F.col("c") >= x).select(F.lit("").alias("lang"), F.col("h").alias("fp"))) for x in levels]
 
 
+def marks(h: np.ndarray) -> list[int]:
+    """For each class of hashes (by their first ``MARK_BITS`` bits) whether their number is odd, packed into longs.
+
+    Every bit in which two sets differ stands for a hash that only one of them has, so the bits bound their difference from
+    below.
+    """
+    odd = np.bincount((h >> np.uint64(64 - MARK_BITS)).astype(np.int64), minlength=1 << MARK_BITS).astype(np.uint8) & 1
+    return np.packbits(odd).view(np.int64).tolist()
+
+
 def _features(shingle: int, similarity: float, maps: list[Bitmap]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(id, h, same, n, fp, keys): signature, size and SimHash of the shingle set, and its rarest shingles in order.
+    """(id, h, same, n, fp, keys, marks): signature, size and SimHash of the shingle set, its rarest shingles in order, and
+    its marks.
 
     Two sets at the similarity share one of their n - ceil(similarity * n) + 1 first shingles in any common order.
     """
@@ -231,8 +245,8 @@ def _features(shingle: int, similarity: float, maps: list[Bitmap]) -> Callable[[
                 sets = shingle_sets(b.column(1).to_pylist(), shingle)
                 fps = [int(np.frombuffer(simhash(h.tobytes()), ">i8")[0]) if len(h) else 0 for h in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0), b.column(2), pa.array([_signature(h) for h in sets], pa.int64()), pa.array([len(h) for h in sets], pa.int64()), pa.array(fps, pa.int64()), pa.array([keys(h) for h in sets], pa.list_(pa.int64()))],
-                    ["id", "h", "same", "n", "fp", "keys"],
+                    [b.column(0), b.column(2), pa.array([_signature(h) for h in sets], pa.int64()), pa.array([len(h) for h in sets], pa.int64()), pa.array(fps, pa.int64()), pa.array([keys(h) for h in sets], pa.list_(pa.int64())), pa.array([marks(h) for h in sets], pa.list_(pa.int64()))],
+                    ["id", "h", "same", "n", "fp", "keys", "marks"],
                 )
 
     return run
@@ -249,11 +263,12 @@ def _sets(shingle: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
 
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, b, both): hashes that the two sets of a row share."""
+    """(a, b, both, n_a, n_b): hashes that the two sets of a row share, and the sizes of the sets."""
     for b in batches:
         give_back()
         both = [len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True)) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(both, pa.int64())], ["a", "b", "both"])
+        sizes = [pa.array(pc.binary_length(b.column(k)).to_numpy().astype(np.int64) // 8) for k in (2, 3)]
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(both, pa.int64()), *sizes], ["a", "b", "both", "n_a", "n_b"])
 
 
 def _shared(sent: object) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -282,7 +297,7 @@ class _Search:
     def __init__(self, nodes: DataFrame, source: DataFrame, shingle: int, similarity: float) -> None:
         self.least = similarity
         self.far = FAR_BITS + 64 * math.acos(min(1.0, 2 * similarity / (1 + similarity))) / math.pi - 64 * math.acos(1.6 / 1.8) / math.pi
-        spark = nodes.sparkSession
+        self.spark = spark = nodes.sparkSession
         many = stored(nodes.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("c")).where("c > 1"))
         full = stored(many.where(F.col("c") > FULL_BLOCK))
         # only keys of several nodes are listed; the few others that the bitmap lets through meet nobody
@@ -291,11 +306,10 @@ class _Search:
         self.block = stored(listed)
         self.full = stored(lookup_join(self.block, full, ["key"], "inner", ["same"]).select("key", "c", "same", "n", "fp", "pos"))
         self.linked = stored(self._linked(nodes))
-        self.pairs = stored(self._few(full).unionByName(self.linked.select("same", "same_b")).distinct())
+        self.marks = stored(nodes.select("same", "n", "marks"))
+        self.pairs = stored(self.hopeful(self._few(full)).unionByName(self.linked.select("same", "same_b")).distinct())
         wanted = self.pairs.select(F.explode(F.array("same", "same_b")).alias("same")).unionByName(self.full.select("same")).distinct()
-        first = stored(nodes.join(wanted, "same").select("same", "n", "first.id", "first.h"))
-        self.sizes = first.select("same", "n")
-        slim = first.select("same", "id", "h")
+        slim = stored(nodes.join(wanted, "same").select("same", "first.id", "first.h"))
         picked = source.join(sized(slim), ["id", "h"]).select("same", "text").dropDuplicates(["same"])
         self.sets = stored(picked.mapInArrow(_sets(shingle), "same long, hashes binary"))
         self.done: DataFrame | None = None
@@ -341,20 +355,35 @@ class _Search:
         rest = F.least(F.col("n") - F.col("pos"), F.col("n_b") - F.col("pos_b")) >= t / (1 + t) * (F.col("n") + F.col("n_b")) - 1e-6
         return size & rest & (F.bit_count(F.col("fp").bitwiseXOR(F.col("fp_b"))) <= self.far)
 
+    def hopeful(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (same, same_b) whose marks allow the similarity: sets of n and m hashes that reach t differ in
+        (1 - t) / (1 + t) * (n + m) hashes at most.  Marks are small, so few pairs are left that need whole sets."""
+        other = self.marks.select(*[F.col(x).alias(f"{x}_b") for x in ("same", "n", "marks")])
+        both = pairs.select("same", "same_b").distinct().join(self.marks, "same").join(other, "same_b")
+        differ = sum((F.bit_count(F.col("marks")[i].bitwiseXOR(F.col("marks_b")[i])) for i in range((1 << MARK_BITS) // 64)), F.lit(0))
+        return both.where(differ <= (1 - self.least) / (1 + self.least) * (F.col("n") + F.col("n_b")) + 1e-6).select("same", "same_b")
+
     def compare(self, pairs: DataFrame) -> DataFrame:
         """Compare new pairs (same, same_b) exactly; keeps the links and returns (a, b, gap), a Jaccard distance."""
         pair = pairs.select(F.greatest("same", "same_b").alias("a"), F.least("same", "same_b").alias("b")).distinct()
         if self.done is not None:
             pair = pair.join(self.done.select("a", "b"), ["a", "b"], "left_anti")
-        side = lambda k, h: self.sets.join(self.sizes, "same").select(F.col("same").alias(k), F.col("hashes").alias(h), F.col("n").alias(f"n_{k}"))
+        pair = stored(pair)
+        # only the sets of these pairs are shuffled, once for both sides; they hold the sizes too
+        wanted = stored(pair.select(F.explode(F.array("a", "b")).alias("same")).distinct())
+        if wanted.isEmpty():
+            got = self.spark.createDataFrame([], "a long, b long, gap double, near boolean")
+            self.done = got if self.done is None else self.done
+            return got
+        sets = self.sets.join(sized(wanted), "same")
+        side = lambda k, h: sets.select(F.col("same").alias(k), F.col("hashes").alias(h))
         two = pair.join(side("a", "x"), "a").join(side("b", "y"), "b")
-        got = two.select("a", "b", "x", "y").mapInArrow(_compared, "a long, b long, both long")
-        got = got.join(self.sizes.select(F.col("same").alias("a"), F.col("n").alias("n_a")), "a").join(self.sizes.select(F.col("same").alias("b"), F.col("n").alias("n_b")), "b")
+        got = two.select("a", "b", "x", "y").mapInArrow(_compared, "a long, b long, both long, n_a long, n_b long")
         gap = 1 - F.col("both") / F.greatest(F.col("n_a") + F.col("n_b") - F.col("both"), F.lit(1))
         got = stored(got.select("a", "b", gap.alias("gap"), (F.col("both") >= self.least * (F.col("n_a") + F.col("n_b") - F.col("both")) - 1e-9).alias("near")))
         self.done = got if self.done is None else self.done.unionByName(got)
-        near = self.done.where("near").select("a", "b")
-        self.roots = components(near)
+        if not got.where("near").isEmpty():  # without a new link the classes stay
+            self.roots = components(self.done.where("near").select("a", "b"))
         return got
 
     def crowded(self) -> None:
@@ -388,7 +417,7 @@ class _Search:
         outside = apart.where("out").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)))
         outside = outside.select("key", "salt", *[F.col(x).alias(f"{x}_b") for x in (*names, "out")])
         once = ~F.col("out") | (F.col("same") > F.col("same_b"))
-        self.compare(members.join(outside, ["key", "salt"]).where((F.col("root") != F.col("root_b")) & once & self.close() & self._gap()))
+        self.compare(self.hopeful(members.join(outside, ["key", "salt"]).where((F.col("root") != F.col("root_b")) & once & self.close() & self._gap())))
 
     def _gap(self) -> Column:
         return F.coalesce(F.abs(F.col("gap") - F.col("gap_b")) <= 1 - self.least + 1e-9, F.lit(True))
@@ -415,11 +444,11 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: float =
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     source = docs.select(id_of(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("h"))
     sent = docs.sparkSession.sparkContext.broadcast(frequent(source, shingle))
-    rows = source.mapInArrow(lambda b: _features(shingle, similarity, sent.value)(b), "id long, h long, same long, n long, fp long, keys array<long>")
+    rows = source.mapInArrow(lambda b: _features(shingle, similarity, sent.value)(b), "id long, h long, same long, n long, fp long, keys array<long>, marks array<long>")
     rows = stored(rows.withColumn("at", F.monotonically_increasing_id()))
     # one row stands for each set; the lists of keys are not shuffled to find it
     first = stored(rows.groupBy("same").agg(F.min(F.struct("id", "h", "at")).alias("first")).select(F.col("first.at").alias("at"), F.struct("first.id", "first.h").alias("first")))
-    nodes = rows.join(sized(first), "at").select("same", "first", "n", "fp", "keys")
+    nodes = rows.join(sized(first), "at").select("same", "first", "n", "fp", "keys", "marks")
     search = _Search(nodes, source, shingle, similarity)
     search.search()
     low = stored(nodes.select("same", "first").join(search.roots.withColumnRenamed("node", "same"), "same", "left").select("same", "first", F.coalesce("root", "same").alias("root")))

@@ -202,3 +202,43 @@ def test_no_task_numbers_a_large_block(spark, monkeypatch):
     rows = [(i, " ".join([*base[:i], f"edit{i}", *base[i + 1 :]]), "", "", "") for i in range(100)]
     assert simhash.dedup(spark.createDataFrame(rows, DOCS)).count() == 1
     assert seen and max(seen) <= simhash.FULL_BLOCK
+
+
+def test_a_comparison_shuffles_only_the_sets_of_its_pairs(spark, monkeypatch):
+    """The sets of the pairs are picked before the joins, and without a new link the classes are not formed again."""
+    picked, formed = [], []
+    own_sized, own_components = simhash.sized, simhash.components
+    monkeypatch.setattr(simhash, "sized", lambda t: picked.append(sorted(r["same"] for r in t.collect())) or own_sized(t))
+    monkeypatch.setattr(simhash, "components", lambda e: formed.append(e.count()) or own_components(e))
+    search = object.__new__(simhash._Search)
+    search.spark, search.least, search.done, search.roots = spark, 0.8, None, spark.createDataFrame([], "node long, root long")
+    pack = lambda *h: bytearray(b"".join(x.to_bytes(8, "little") for x in h))
+    search.sets = spark.createDataFrame([(1, pack(1, 2, 3, 4)), (2, pack(1, 2, 3, 4, 5)), (3, pack(7)), (4, pack())], "same long, hashes binary")
+    pairs = lambda *p: spark.createDataFrame(list(p), "same long, same_b long")
+    assert [(r["a"], r["b"], round(r["gap"], 6), r["near"]) for r in search.compare(pairs((1, 2), (2, 1))).collect()] == [(2, 1, 0.2, True)]
+    assert [(r["a"], r["b"], r["gap"], r["near"]) for r in search.compare(pairs((1, 2), (3, 1))).collect()] == [(3, 1, 1.0, False)]
+    assert search.compare(pairs((3, 1))).count() == 0
+    assert picked == [[1, 2], [1, 3]] and formed == [1]
+    assert {(r["node"], r["root"]) for r in search.roots.collect()} == {(2, 1)}
+
+
+def test_marks_never_rule_out_a_near_pair(spark):
+    """Marks bound the difference of two sets from below, and leave hardly any pair that is far apart."""
+    import numpy as np
+
+    r, rows, pairs, near = np.random.default_rng(5), [], [], set()
+    for i in range(200):
+        n = int(r.integers(0, 600))
+        a = np.unique(r.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2))
+        b = a[r.random(len(a)) < r.choice([0.2, 0.8, 0.85, 0.95, 1.0])]
+        b = np.unique(np.concatenate([b, r.integers(0, 1 << 63, int(r.integers(0, 30)), dtype=np.uint64)]))
+        rows += [(2 * i, len(a), simhash.marks(a)), (2 * i + 1, len(b), simhash.marks(b))]
+        pairs.append((2 * i, 2 * i + 1))
+        assert sum((x ^ y & -1).bit_count() if x ^ y >= 0 else ((x ^ y) + (1 << 64)).bit_count() for x, y in zip(rows[-1][2], rows[-2][2], strict=True)) <= len(np.setxor1d(a, b))
+        if len(np.intersect1d(a, b)) >= 0.8 * len(np.union1d(a, b)):
+            near.add((2 * i, 2 * i + 1))
+    search = object.__new__(simhash._Search)
+    search.least, search.marks = 0.8, spark.createDataFrame(rows, "same long, n long, marks array<long>")
+    got = {(x["same"], x["same_b"]) for x in search.hopeful(spark.createDataFrame(pairs, "same long, same_b long")).collect()}
+    assert near <= got
+    assert len(got) < len(near) + 40 < 200
