@@ -18,6 +18,8 @@ import pyarrow.compute as pc
 
 #: Bytes of pieces that one worker remembers per tokenizer, about; when they are used up, pieces met again stay, in half the room.
 MEMORY = 56 << 20
+#: Pieces that the library is given in one text; longer texts leave the caches of the processor.
+RUN = 500
 #: Longer pieces are not remembered.
 LONG = 400
 _BLANKS = r"\x00-\x09\x0b-\x1f\x7f-\xa0\x{1680}\x{180e}\x{2000}-\x{200f}\x{2028}-\x{202f}\x{205f}-\x{206f}\x{3000}\x{feff}"
@@ -135,9 +137,11 @@ class ByteLevel:
         return [np.array(e.ids, np.uint32) for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
     def pieces(self, pieces: list[str]) -> Flat:
-        """Pieces without blanks inside are encoded in one go with line feeds between and cut at these."""
+        """Pieces without blanks inside are encoded ``RUN`` at a time with line feeds between and cut at these."""
         own = [p for p in pieces if p and p != "\n"]
-        ids = self.whole(["\n".join(own)])[0] if own else np.zeros(0, np.uint32)
+        runs = [self.whole(["\n".join(own[i : i + RUN])])[0] for i in range(0, len(own), RUN)]
+        feed = np.array(self.feed, np.uint32)
+        ids = np.concatenate([x for run in runs for x in (feed, run)][1:]) if runs else np.zeros(0, np.uint32)
         return _parted(pieces, own, ids, self.feed, self.whole)
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:

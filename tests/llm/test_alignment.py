@@ -121,3 +121,12 @@ def test_query_over_the_given_table(spark):
     got = queries()["op13_alignment"](spark, "/root/testdata/sf0.001").collect()
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     assert sorted(tuple(r) for r in got) == plain(docs)
+
+
+def test_new_pieces_reach_the_library_in_short_runs(monkeypatch):
+    coder = pieces.ByteLevel(PATHS[0])
+    own, seen = coder.whole, []
+    monkeypatch.setattr(coder, "whole", lambda texts: seen.extend(t.count("\n") + 1 for t in texts) or own(texts))
+    text = " ".join(f"w{i}x" for i in range(3 * pieces.RUN + 7)) + "\nend"
+    assert [x.tolist() for x in coder([text])] == [x.tolist() for x in own([text])]
+    assert max(seen) == pieces.RUN and len(seen) == 4
