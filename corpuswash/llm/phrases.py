@@ -34,6 +34,8 @@ WINDOW = 1 << 19
 SLICE = 2 << 20
 #: Distinct fingerprints held before they are handed on, and bytes of text read before phrases are.
 HELD, HELD_BYTES = 2_000_000, 6 << 20
+#: Longer phrases are joined one by one.
+LONG = 1000
 #: Bits per frequent fingerprint and the largest bitmap.
 BITS_EACH, MOST_BITS = 16, 28
 MAP_BITS = 32768
@@ -130,6 +132,20 @@ class Words:
     def text(self, first: int, k: int) -> bytes:
         return b" ".join([self.raw[a:z] for a, z in zip(self.starts[first : first + k].tolist(), self.ends[first : first + k].tolist(), strict=True)])
 
+    def texts(self, first: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, pa.Array]]:
+        """(places in ``first``, texts of the k-grams that begin there): those with one blank between words are copied
+        together as they stand, the others and long ones are joined one by one."""
+        size = self.ends[first + k - 1] - self.starts[first]
+        words = sum(self.ends[first + j] - self.starts[first + j] for j in range(k))
+        tight = (size == words + k - 1) & (size <= LONG)
+        a, n = self.starts[first[tight]], size[tight]
+        step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        out = np.frombuffer(self.raw, np.uint8)[np.repeat(a, n) + step]
+        out[out == BLANKS[1]] = BLANKS[0]
+        bounds = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
+        yield np.flatnonzero(tight), pa.StringArray.from_buffers(len(n), pa.py_buffer(bounds), pa.py_buffer(out))
+        yield np.flatnonzero(~tight), pa.array([self.text(i, k).decode("utf-8", "surrogatepass") for i in first[~tight].tolist()], pa.string())
+
     def exact(self) -> np.ndarray:
         """A number for each word, equal where the *texts* are equal: hashes first, then all bytes are compared."""
         _, pointer, number = np.unique(self.value, return_index=True, return_inverse=True)
@@ -162,10 +178,12 @@ class Bitmap:
 
 
 def bitmap(frequent: DataFrame) -> Bitmap:
-    """From (lang, fp): built by Spark in parts of 4 KiB; 32 MiB at most reach the driver, however many rows there are."""
+    """From (lang, fp), or from (fp) with the language mixed in: built by Spark in parts of 4 KiB; 32 MiB at most reach the
+    driver, however many rows there are."""
     rows = frequent.count()
     bits = min(MOST_BITS, max(16, (BITS_EACH * rows - 1).bit_length()))
-    at = F.shiftrightunsigned(F.col("fp").bitwiseXOR(F.xxhash64("lang")), 64 - bits)
+    mixed = F.col("fp").bitwiseXOR(F.xxhash64("lang")) if "lang" in frequent.columns else F.col("fp")
+    at = F.shiftrightunsigned(mixed, 64 - bits)
     parts = frequent.select(at.alias("at")).groupBy(F.floor(F.col("at") / MAP_BITS).alias("part")).agg(F.bitmap_construct_agg(F.pmod("at", F.lit(MAP_BITS))).alias("map"))
     data = np.zeros(1 << (bits - 3), np.uint8)
     for r in parts.collect():
@@ -188,7 +206,8 @@ def _by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[
 
 
 def _counting(k: int, maps: list[Bitmap]) -> object:
-    """(lang, fp, c): k-grams of the task, added up; for k = 1 also the number of all words, under a null fingerprint."""
+    """(fp, c): k-grams of the task, added up; the language is mixed into the fingerprint, so that the shuffle adds up by one
+    number (equal ones of two languages only let a phrase through to the pass that compares texts)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
@@ -204,16 +223,14 @@ def _counting(k: int, maps: list[Bitmap]) -> object:
         def flush() -> Iterator[pa.RecordBatch]:
             for lang in held:
                 fps, counts = merged(lang)
+                fps = (fps ^ np.uint64(_salt(lang))).view(np.int64)
                 for at in range(0, len(fps), 1 << 16):
-                    part = fps[at : at + (1 << 16)].view(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part), pa.string()), pa.array(part), pa.array(counts[at : at + (1 << 16)])], ["lang", "fp", "c"])
+                    yield pa.RecordBatch.from_arrays([pa.array(fps[at : at + (1 << 16)]), pa.array(counts[at : at + (1 << 16)])], ["fp", "c"])
             held.clear()
 
         for lang, texts in _by_language(batches):
             words = Words.of(texts)
             _, fps = words.hopeful(k, maps, _salt(lang))
-            if k == 1 and len(words):
-                yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([None], pa.int64()), pa.array([len(words)], pa.int64())], ["lang", "fp", "c"])
             fps, counts = np.unique(fps, return_counts=True)
             held.setdefault(lang, []).append((fps, counts.astype(np.int64)))
             size += len(fps)
@@ -229,12 +246,15 @@ def _counting(k: int, maps: list[Bitmap]) -> object:
     return run
 
 
-def _reading(most: int, maps: list[Bitmap]) -> object:
-    """(lang, k, phrase, c): the texts behind the pointers of frequent fingerprints, all occurrences compared."""
+def _reading(most: int, maps: list[Bitmap], totals: bool = False) -> object:
+    """(lang, phrase, c): the texts behind the pointers of frequent fingerprints, all occurrences compared; with
+    ``totals`` the number of all words stands under the empty phrase."""
 
     def rows(lang: str, texts: list[str]) -> Iterator[pa.RecordBatch]:
         words, salt = Words.of(texts), _salt(lang)
         number = words.exact()
+        if totals and len(words):
+            yield pa.RecordBatch.from_arrays([pa.array([lang], pa.string()), pa.array([""], pa.string()), pa.array([len(words)], pa.int64())], ["lang", "phrase", "c"])
         for k in range(1, most + 1):
             first, fp = words.hopeful(k, maps, salt)
             keep = maps[k - 1].has(fp, salt)
@@ -249,9 +269,10 @@ def _reading(most: int, maps: list[Bitmap]) -> object:
             out_first, out_count = np.concatenate([first[pointer], first[other]]), np.concatenate([counts, np.ones(len(other), np.int64)])
             for at in range(0, len(out_first), 1 << 14):
                 to = slice(at, at + (1 << 14))
-                phrases = [words.text(i, k).decode("utf-8", "surrogatepass") for i in out_first[to].tolist()]
-                n = len(phrases)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * n, pa.string()), pa.array(np.full(n, k, np.int32)), pa.array(phrases, pa.string()), pa.array(out_count[to].astype(np.int64))], ["lang", "k", "phrase", "c"])
+                c = out_count[to].astype(np.int64)
+                for places, phrases in words.texts(out_first[to], k):
+                    if len(places):
+                        yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang, pa.string()), len(places)), phrases, pa.array(c[places])], ["lang", "phrase", "c"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[str]] = {}
@@ -275,18 +296,17 @@ def frequent_phrases(docs: DataFrame, most: int = 3, least: int = 10, text_col:
     prepare(spark)
     source = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     maps: list[Bitmap] = []
-    sizes = None
     for k in range(1, most + 1):
         sent = spark.sparkContext.broadcast(maps)
-        counted = source.mapInArrow(lambda b, k=k, sent=sent: _counting(k, sent.value)(b), "lang string, fp long, c long").groupBy("lang", "fp").agg(F.sum("c").alias("f"))
-        kept = stored(counted.where((F.col("f") >= least) | F.col("fp").isNull()))
-        if k == 1:
-            sizes = kept.where("fp is null").select("lang", F.col("f").alias("n"))
-        maps = [*maps, bitmap(kept.where("fp is not null"))]
+        counted = source.mapInArrow(lambda b, k=k, sent=sent: _counting(k, sent.value)(b), "fp long, c long")
+        # the tasks have added up what they hold, so the rows are dealt by fingerprint first and added up once
+        counted = counted.repartition("fp").groupBy("fp").agg(F.sum("c").alias("f"))
+        maps = [*maps, bitmap(stored(counted.where(F.col("f") >= least).select("fp")))]
     sent = spark.sparkContext.broadcast(maps)
-    read = source.mapInArrow(lambda b: _reading(most, sent.value)(b), "lang string, k int, phrase string, c long")
-    exact = read.groupBy("lang", "k", "phrase").agg(F.sum("c").alias("f")).where(F.col("f") >= least)
-    return stored(exact.select("lang", "k", "phrase", "f")), sizes
+    read = source.mapInArrow(lambda b: _reading(most, sent.value, totals=True)(b), "lang string, phrase string, c long")
+    exact = stored(read.groupBy("lang", "phrase").agg(F.sum("c").alias("f")).where((F.col("f") >= least) | (F.col("phrase") == "")))
+    found = exact.where("phrase <> ''").select("lang", F.size(F.split("phrase", " ")).alias("k"), "phrase", "f")
+    return found, exact.where("phrase = ''").select("lang", F.col("f").alias("n"))
 
 
 def scored(phrases: DataFrame) -> DataFrame:

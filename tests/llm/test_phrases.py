@@ -89,3 +89,20 @@ def test_large_counts_stay_exact(spark):
     rows = [("en", 1, "a", big), ("en", 1, "b", big + 1), ("en", 2, "a b", big - 1)]
     got = phrases.scored(spark.createDataFrame(rows, "lang string, k int, phrase string, f long")).first()
     assert got["score"] == 10**6 * (big - 1) ** 2 // (big * (big + 1))
+
+
+def test_counts_leave_the_task_under_one_number():
+    """The language is mixed into the fingerprint: the shuffle adds up by it, without the language's text."""
+    batch = pa.RecordBatch.from_arrays([pa.array(["en", "de"]), pa.array(["a b", "a a"])], ["lang", "text"])
+    rows = [r for b in phrases._counting(1, [])(iter([batch])) for r in b.to_pylist()]
+    assert all(r.keys() == {"fp", "c"} for r in rows) and sorted(r["c"] for r in rows) == [1, 1, 2]
+    assert len({r["fp"] for r in rows}) == 3
+
+
+def test_texts_of_phrases_are_copied_together():
+    """One blank or tab between words: copied as they stand; more blanks and long phrases: joined."""
+    words = phrases.Words.of(["A\tb c  d \u00e4\u20ac " + "x" * 2000 + " y", "one. two three"])
+    for k in (1, 2, 3):
+        first, _ = words.grams(k)
+        got = {int(first[i]): x for places, texts in words.texts(first, k) for i, x in zip(places.tolist(), texts.to_pylist(), strict=True)}
+        assert got == {i: words.text(i, k).decode() for i in first.tolist()}
