@@ -81,6 +81,11 @@ def large(spark: SparkSession, sf: str) -> Lexicon:
     return Lexicon.of(_words(spark, sf, "documents", LETTERS + "{9,}"))
 
 
+def confusables(spark: SparkSession, sf: str) -> Lexicon:
+    """Capitalised words.  Topics and blacklist are in lower case, so the rules before the word level leave these standing."""
+    return Lexicon.of(_words(spark, sf, "benchmark", "[A-Z][a-z]{4,}", lower=False, ranked=True))
+
+
 def symbols(spark: SparkSession, sf: str) -> Lexicon:
     return Lexicon.of(_words(spark, sf, "documents", r"[^A-Za-z0-9 \n]", lower=False))
 
@@ -443,17 +448,21 @@ def clean_full(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def clean_everything(spark: SparkSession, sf: str) -> DataFrame:
-    """Every rule and pass at once, with lexicons."""
+    """Every rule and pass at once, with lexicons: the segments and, with ``category`` set, the audit.
+
+    The confusable rule only tags, so its whole result is in the audit.
+    """
     rows = _u(spark, sf)
     lex = Lexicons(
-        black(spark, sf), bad_tokens(spark, sf), topics(spark, sf), names(spark, sf), english(spark, sf), topics(spark, sf)
+        black(spark, sf), bad_tokens(spark, sf), topics(spark, sf), names(spark, sf), english(spark, sf), confusables(spark, sf)
     )
     cfg = CleanConfig.full().on(
-        "no_utter_dup", "no_str_blacklist", "no_special_topic", "no_word_blacklist", "check_confuse_word",
+        "no_utter_dup", "no_str_blacklist", "no_special_topic", "no_alpha_noise", "no_word_blacklist", "check_confuse_word",
         "yda_dedupl", "re_name", "no_short_response", "no_ad", "de_generic_dialog", "de_angle", "de_emotion",
         "de_html", "de_mention", "de_repost", "no_short",
     ).off("contain_zh", "no_mention")
-    return clean(rows, cfg, lex).segments.select(*SEGMENT, "turn", "part", "text")
+    out = clean(rows, cfg, lex)
+    return out.segments.select(*SEGMENT, "turn", "part", "text").unionByName(out.audit, allowMissingColumns=True)
 
 
 _NAMED: list[Query] = [
