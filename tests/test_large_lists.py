@@ -188,3 +188,29 @@ def test_names_by_first_place_without_a_map_for_each_turn(spark, size):
     assert [got["f", 1, t] for t in range(5)] == ["<NAME1> met <NAME2>", "<NAME2> met <NAME3> <NAME1>", "", "x <NAME4>", "<NAME3> <NAME4> <NAME2>"]
     assert got["f", 2, 0] == "no names" and got[None, 3, 0] == "Tom here" and got["f", 4, None] == "Bob Tom" and got["f", 5, 0] is None
     assert got["f", 4, 1].startswith("<NAME")
+
+
+def test_a_block_asks_once_for_each_seldom_word_of_a_long_dictionary(spark, short_bound, monkeypatch):
+    r = random.Random(11)
+    words = list({"".join(r.choice("ab中é🐹") for _ in range(r.randint(1, 6))) for _ in range(40)} | {"ab" * 150})
+    data = [(i, "".join(r.choice("ab中é🐹 x\n") for _ in range(r.randint(0, 40)))) for i in range(60)] + [(60, ""), (61, None), (62, "ab" * 400), (62, "ab" * 400), (None, "ab")]
+    rows = spark.createDataFrame(data, "k long, t string").repartition(3)
+    known = segmentation.Dictionary.of(spark.createDataFrame([(w, 1 + i % 7) for i, w in enumerate(words)], "word string, count long"))
+    assert not known.lexicon.small
+    costs = {x["word"]: x["cost"] for x in known.costs.collect()}
+
+    def want(t):
+        hits = [(p, len(w), c) for w, c in costs.items() for p in range(len(t)) if t.startswith(w, p)]
+        return segmentation.words_of(t, hits, known.unknown, whole=True)
+
+    for block in (1 << 20, 100):
+        monkeypatch.setattr(segmentation, "BLOCK", block)
+        out = segmentation.segmented(rows, F.col("t"), known, "w", ["k"], whole=True)
+        assert "collect_list" not in out._jdf.queryExecution().toString()
+        got = sorted(((x["k"], x["t"] or "", x["w"]) for x in out.where("k IS NOT NULL").collect()), key=lambda x: x[:2])
+        assert got == sorted(((k, t or "", want(t or "")) for k, t in [*data[:-1], *data[62:64]] if k is not None), key=lambda x: x[:2])
+    place = "ab" * 400
+    filters = segmentation._filters(known.costs)
+    found = segmentation.may_hold(*filters, [place, "x", place])
+    assert {w for w in words if w in place} <= found and len(found) < 12  # 800 places, one row a word
+    assert segmentation.segmented(rows.limit(0), F.col("t"), known, "w", ["k"], whole=True).collect() == []
